@@ -1,0 +1,22 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension up to this many rows is shipped to every task instead of
+# shuffling the (large) fact side.
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``dim`` for broadcast only after checking its size.
+
+    The check reads at most ``max_rows + 1`` rows of the dimension, so it is
+    cheap. A dimension that is larger is returned unchanged and the join
+    falls back to the planner's choice (shuffle join; AQE may still convert
+    it at run time from measured sizes, and splits skewed partitions).
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
