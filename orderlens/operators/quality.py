@@ -8,19 +8,14 @@ metrics are one conditional aggregate (partial aggregation map-side, no join).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens import schemas as S
-from orderlens.functions.columns import (
-    as_of_column,
-    interval,
-    interval_seconds,
-    timestamp_type_of,
-)
+from orderlens.functions.columns import as_of_column, interval, timestamp_type_of
 
 VALID = "valid"
 
@@ -66,7 +61,7 @@ def quality_reason(
 
     if strict and "raw_value" in df.columns:
         add(F.col("raw_value").isNotNull() & F.col("event_id").isNull() & event_type.isNull()
-            & F.col("order_id").isNull() & F.col("customer_id").isNull(), "malformed_json")
+            & F.col("customer_id").isNull() & F.col("payload").isNull(), "malformed_json")
     add(F.col("order_id").isNull(), "null_order_id")
     add((event_type == "order_created") & (total.isNull() | (total <= 0)), "invalid_total_amount")
     add(~event_type.isin(*S.VALID_EVENT_TYPES), "invalid_event_type")
@@ -147,6 +142,11 @@ DEFAULT_RULES = (
 )
 
 
+def with_max_age(rules, max_age_seconds: int):
+    """The rule list with every not_older_than rule set to a new age."""
+    return tuple(replace(r, max_age_seconds=max_age_seconds) if r.check == "not_older_than" else r for r in rules)
+
+
 def _rule_fails(rule: Rule, value: Column, ref: Column) -> Column:
     if rule.check == "not_null":
         return value.isNull()

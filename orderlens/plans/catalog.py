@@ -91,3 +91,332 @@ def order_metrics_1h_chained(spark, sf_dir):
     """O-77: the stream-legal chained distinct form, run in batch."""
     m = W.metrics_rows(W.tumbling_metrics_chained(B.valid_enriched(spark, sf_dir), "1 hour"))
     return _round(m, money=["total_revenue"], ratios=["avg_order_value"])
+
+
+# ---------------------------------------------------------------------------
+# Parse, quality metrics, rules, contract, reconciliation
+# ---------------------------------------------------------------------------
+from orderlens.operators import anomalies as A  # noqa: E402
+from orderlens.operators import lifecycle as L  # noqa: E402
+from orderlens.operators import monitor as M  # noqa: E402
+from orderlens.operators import quality as Q  # noqa: E402
+from orderlens.operators.parse import parse_events  # noqa: E402
+from orderlens.sources import testdata as T  # noqa: E402
+
+
+def _parsed(spark, sf_dir):
+    return parse_events(T.raw_messages(spark, sf_dir), processing_time=F.col("kafka_timestamp"))
+
+
+@register(
+    "parsed_events",
+    O.with_parsed("""
+SELECT message_key, event_id, event_type, order_id, customer_id, event_timestamp, total_amount,
+       shipping_province AS province, kafka_partition, kafka_offset
+FROM parsed"""),
+)
+def parsed_events(spark, sf_dir):
+    """O-10: JSON messages (with malformed bodies) back to typed events."""
+    return _parsed(spark, sf_dir).select(
+        "message_key", "event_id", "event_type", "order_id", "customer_id",
+        F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+        F.col("payload.total_amount").alias("total_amount"),
+        F.col("payload.shipping_address.province").alias("province"),
+        "kafka_partition", "kafka_offset",
+    )
+
+
+_QM_SELECT = """
+SELECT {ts} AS check_timestamp,
+       count(*) AS records_checked,
+       count(*) FILTER (WHERE quality_check_result = 'valid') AS records_valid,
+       count(*) FILTER (WHERE quality_check_result <> 'valid') AS records_invalid,
+       round(count(*) FILTER (WHERE quality_check_result <> 'valid') / count(*), 4) AS quarantine_rate
+       {extra}
+FROM checked {group}"""
+
+
+@register("quality_metrics", O.with_checked(_QM_SELECT.format(ts=O.AS_OF_SQL, extra="", group="")))
+def quality_metrics(spark, sf_dir):
+    """O-33: one quality row for the whole input, checked at as_of."""
+    return Q.quality_metrics(B.checked(spark, sf_dir), check_timestamp=B.AS_OF).select(
+        "check_timestamp", "records_checked", "records_valid", "records_invalid", "quarantine_rate"
+    )
+
+
+_DAILY = _QM_SELECT.format(ts="batch_date", extra="", group="GROUP BY batch_date").replace(
+    "FROM checked", "FROM (SELECT *, CAST(processing_time AS DATE) AS batch_date FROM checked)"
+).replace("SELECT batch_date AS check_timestamp", "SELECT batch_date")
+
+
+@register("quality_metrics_daily", O.with_checked(_DAILY))
+def quality_metrics_daily(spark, sf_dir):
+    """O-33 per ingest day (one 'micro-batch' per day of broker time)."""
+    checked = B.checked(spark, sf_dir).withColumn("batch_date", F.to_date("processing_time"))
+    return Q.quality_metrics(checked, check_timestamp=B.AS_OF, by=["batch_date"]).select(
+        "batch_date", "records_checked", "records_valid", "records_invalid", "quarantine_rate"
+    )
+
+
+@register("quarantine_alerts", O.with_checked(f"SELECT * FROM ({_DAILY}) WHERE quarantine_rate > 0.05"))
+def quarantine_alerts(spark, sf_dir):
+    """O-17: ingest days whose quarantine rate is above 5 %."""
+    return Q.quarantine_alerts(quality_metrics_daily(spark, sf_dir))
+
+
+_RULE_CONDS = [
+    ("no_null_order_ids", "critical", "order_id IS NULL"),
+    ("valid_event_type", "critical", f"NOT (event_type IN {O.VALID_TYPES_SQL})"),
+    ("reasonable_revenue", "warning", "total_amount < 0.01 OR total_amount > 50000.0"),
+    ("timestamp_not_future", "warning", f"event_timestamp > {O.AS_OF_SQL} + INTERVAL 300 SECOND"),
+    ("timestamp_not_too_old", "warning", f"event_timestamp < {O.AS_OF_SQL} - INTERVAL 2678400 SECOND"),
+]
+
+
+def _rule_sql():
+    name = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, _, c in _RULE_CONDS) + " END"
+    sev = "CASE " + " ".join(f"WHEN {c} THEN '{s}'" for _, s, c in _RULE_CONDS) + " END"
+    n = " + ".join(f"CAST(coalesce({c}, false) AS INTEGER)" for _, _, c in _RULE_CONDS)
+    return O.with_events(f"SELECT event_id, {name} AS failed_rule, {sev} AS failure_severity, "
+                         f"CAST({n} AS INTEGER) AS n_failed FROM ev")
+
+
+@register("rule_checks", _rule_sql())
+def rule_checks(spark, sf_dir):
+    """O-13: the declarative rule list (positive item quantity included;
+    the age rule set to the batch's 31 days)."""
+    rules = Q.with_max_age(Q.DEFAULT_RULES, 31 * 86400)
+    ruled = Q.apply_rules(T.order_events(spark, sf_dir), rules, as_of=B.AS_OF)
+    return ruled.select("event_id", "failed_rule", "failure_severity", F.size("failed_rules").alias("n_failed"))
+
+
+_UUID = r"'^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$'"
+_CONTRACT = [
+    ("missing_event_id", "event_id IS NULL"),
+    ("missing_event_type", "event_type IS NULL"),
+    ("missing_order_id", "order_id IS NULL"),
+    ("missing_customer_id", "customer_id IS NULL"),
+    ("missing_timestamp", "event_timestamp IS NULL"),
+    ("missing_payload", "malformed"),
+    ("event_id_not_uuid", f"NOT regexp_matches(event_id, {_UUID})"),
+    ("order_id_not_uuid", f"NOT regexp_matches(order_id, {_UUID})"),
+    ("event_type_not_allowed", f"NOT (event_type IN {O.VALID_TYPES_SQL})"),
+    ("total_negative", "total_amount < 0"),
+    ("currency_not_eur", "currency <> 'EUR'"),
+    ("payment_method_not_allowed",
+     "NOT (payment_method IN ('credit_card', 'debit_card', 'paypal', 'bizum', 'bank_transfer'))"),
+]
+
+
+def _contract_sql():
+    parts = ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _CONTRACT)
+    n = " + ".join(f"CAST(coalesce({c}, false) AS INTEGER)" for _, c in _CONTRACT)
+    return O.with_parsed(f"SELECT kafka_offset, concat_ws(',', {parts}) AS violations, "
+                         f"CAST({n} AS INTEGER) AS n_violations FROM parsed")
+
+
+@register("contract_violations", _contract_sql())
+def contract_violations(spark, sf_dir):
+    """O-14: violated clauses of the published event contract, per parsed
+    message (item clauses cannot fire here: adapter events carry no items)."""
+    v = Q.contract_violations(_parsed(spark, sf_dir))
+    return v.select("kafka_offset", F.concat_ws(",", "contract_violations").alias("violations"),
+                    F.size("contract_violations").alias("n_violations"))
+
+
+@register(
+    "items_total_mismatch",
+    """
+WITH lines AS (
+  SELECT 'ORD-' || CAST(l_orderkey AS VARCHAR) AS order_id, round(l_extendedprice, 2) AS subtotal,
+         CAST(trunc(l_quantity) AS INTEGER) AS quantity, round(l_extendedprice / l_quantity, 2) AS unit_price
+  FROM lineitem
+),
+per AS (
+  SELECT order_id, sum(subtotal) AS s, count(*) AS n,
+         count(*) FILTER (WHERE quantity <= 0 OR unit_price <= 0) AS bad
+  FROM lines GROUP BY order_id
+),
+h AS (
+  SELECT 'ORD-' || CAST(o_orderkey AS VARCHAR) AS order_id,
+         'CUST-' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS customer_id, round(o_totalprice, 2) AS total_amount
+  FROM orders
+)
+SELECT h.order_id, h.customer_id, h.total_amount, round(coalesce(per.s, 0), 2) AS items_total,
+       coalesce(per.n, 0) AS line_count, coalesce(per.bad, 0) AS bad_item_count
+FROM h LEFT JOIN per ON h.order_id = per.order_id
+WHERE abs(round(coalesce(per.s, 0), 2) - h.total_amount) >= 0.01 OR coalesce(per.bad, 0) > 0""",
+)
+def items_total_mismatch(spark, sf_dir):
+    """O-15 over orders + lineitem + part: orders whose lines do not add up
+    to the order total, or with a non-positive quantity or price."""
+    return Q.reconcile_order_lines(T.order_headers(spark, sf_dir), T.order_lines(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Anomalies
+# ---------------------------------------------------------------------------
+@register(
+    "large_orders",
+    O.with_valid("""
+SELECT event_id, order_id, customer_id, total_amount AS anomaly_value, 'large_order' AS anomaly_type
+FROM valid WHERE event_type = 'order_created' AND total_amount > 2000"""),
+)
+def large_orders(spark, sf_dir):
+    """O-16: order_created events above 2000."""
+    return A.large_orders(B.valid_enriched(spark, sf_dir)).select(
+        "event_id", "order_id", "customer_id", "anomaly_value", "anomaly_type"
+    )
+
+
+_SPIKES_SQL = """
+SELECT time_bucket(INTERVAL '1 minute', event_timestamp, TIMESTAMP '1970-01-01') AS window_start,
+       time_bucket(INTERVAL '1 minute', event_timestamp, TIMESTAMP '1970-01-01') + INTERVAL '1 minute' AS window_end,
+       shipping_province AS region, count(*) AS total_events,
+       CAST(sum(CASE WHEN event_type = 'order_cancelled' THEN 1 ELSE 0 END) AS BIGINT) AS cancelled,
+       sum(CASE WHEN event_type = 'order_cancelled' THEN 1 ELSE 0 END) / count(*) AS cancel_rate,
+       'cancellation_spike' AS anomaly_type
+FROM valid GROUP BY 1, 2, 3
+HAVING sum(CASE WHEN event_type = 'order_cancelled' THEN 1 ELSE 0 END) / count(*) > 0.3"""
+
+
+@register("cancellation_spikes", O.with_valid(_SPIKES_SQL))
+def cancellation_spikes(spark, sf_dir):
+    """O-32: 1-minute (window, region) groups with cancel rate above 0.3."""
+    s = A.cancellation_spikes(B.valid_enriched(spark, sf_dir))
+    return s.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                    "region", "total_events", "cancelled", "cancel_rate", "anomaly_type")
+
+
+def _rapid_sql(n: int, width: str) -> str:
+    return O.with_valid(f"""
+SELECT event_id, customer_id, order_id, event_timestamp, orders_in_window FROM (
+  SELECT *, count(*) OVER (PARTITION BY customer_id ORDER BY event_timestamp
+                           RANGE BETWEEN INTERVAL '{width}' PRECEDING AND CURRENT ROW) AS orders_in_window
+  FROM valid WHERE event_type = 'order_created' AND customer_id IS NOT NULL
+) WHERE orders_in_window > {n}""")
+
+
+def _rapid(spark, sf_dir, n, width):
+    r = A.rapid_fire(B.valid_enriched(spark, sf_dir), n=n, window=width)
+    return r.select("event_id", "customer_id", "order_id", "event_timestamp", "orders_in_window")
+
+
+@register("rapid_fire", _rapid_sql(5, "5 minutes"))
+def rapid_fire(spark, sf_dir):
+    """O-34 with the documented parameters: > 5 orders within 5 minutes."""
+    return _rapid(spark, sf_dir, 5, "5 minutes")
+
+
+@register("rapid_fire_1h", _rapid_sql(1, "1 hour"))
+def rapid_fire_1h(spark, sf_dir):
+    """O-34 at > 1 order within 1 hour (the driver data is sparse)."""
+    return _rapid(spark, sf_dir, 1, "1 hour")
+
+
+@register("rapid_fire_24h", _rapid_sql(2, "24 hours"))
+def rapid_fire_24h(spark, sf_dir):
+    """O-34 at > 2 orders within 24 hours."""
+    return _rapid(spark, sf_dir, 2, "24 hours")
+
+
+def _anomalies_sql():
+    large = f"""SELECT 'large_order' AS anomaly_type, {O.AS_OF_SQL} AS detected_at, order_id, customer_id,
+       shipping_province AS region, total_amount, CAST(NULL AS DOUBLE) AS cancel_rate, CAST(NULL AS VARCHAR) AS details
+FROM valid WHERE event_type = 'order_created' AND total_amount > 2000"""
+    spikes = f"""SELECT 'cancellation_spike', {O.AS_OF_SQL}, NULL, NULL, region, NULL, cancel_rate,
+       'window_start=' || strftime(window_start, '%Y-%m-%d %H:%M:%S') || ';events=' || CAST(total_events AS VARCHAR)
+       || ';cancelled=' || CAST(cancelled AS VARCHAR)
+FROM ({_SPIKES_SQL})"""
+    rapid = f"""SELECT 'rapid_fire', {O.AS_OF_SQL}, order_id, customer_id, shipping_province, total_amount, NULL,
+       'orders_in_window=' || CAST(orders_in_window AS VARCHAR)
+FROM (SELECT *, count(*) OVER (PARTITION BY customer_id ORDER BY event_timestamp
+                              RANGE BETWEEN INTERVAL '24 hours' PRECEDING AND CURRENT ROW) AS orders_in_window
+      FROM valid WHERE event_type = 'order_created' AND customer_id IS NOT NULL) WHERE orders_in_window > 2"""
+    return O.with_valid(f"{large}\nUNION ALL\n{spikes}\nUNION ALL\n{rapid}")
+
+
+@register("anomalies", _anomalies_sql())
+def anomalies(spark, sf_dir):
+    """O-06: every detector in the order_anomalies shape (large orders,
+    1-minute cancellation spikes, rapid fire > 2 in 24 h)."""
+    ev = B.valid_enriched(spark, sf_dir)
+    out = A.anomalies(
+        large=A.large_orders(ev),
+        spikes=A.cancellation_spikes(ev),
+        rapid=A.rapid_fire(ev, n=2, window="24 hours"),
+        detected_at=B.AS_OF,
+    )
+    return out.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------------------
+# Lifecycle
+# ---------------------------------------------------------------------------
+@register(
+    "order_state",
+    O.with_valid(f"""
+SELECT order_id,
+       arg_max(status, event_timestamp) FILTER (WHERE status IS NOT NULL) AS current_status,
+       round(arg_max(total_amount, event_timestamp), 2) AS last_total,
+       arg_max(customer_id, event_timestamp) AS customer_id,
+       min(event_timestamp) AS first_event_time, max(event_timestamp) AS last_event_time,
+       count(*) AS event_count
+FROM (SELECT *, {O.STATUS_SQL} AS status FROM valid) GROUP BY order_id"""),
+)
+def order_state(spark, sf_dir):
+    """O-40: replayed state of every order."""
+    s = L.current_order_state(B.valid_enriched(spark, sf_dir))
+    return _round(s, money=["last_total"])
+
+
+@register(
+    "active_orders",
+    O.with_valid(f"""
+SELECT count(*) FILTER (WHERE NOT coalesce(current_status IN ('delivered', 'cancelled'), false)) AS active_orders,
+       count(*) AS total_orders
+FROM (SELECT order_id, arg_max(status, event_timestamp) FILTER (WHERE status IS NOT NULL) AS current_status
+      FROM (SELECT *, {O.STATUS_SQL} AS status FROM valid WHERE event_timestamp <= {O.AS_OF_SQL}) GROUP BY order_id)"""),
+)
+def active_orders(spark, sf_dir):
+    """O-43: orders not delivered or cancelled at as_of."""
+    return L.active_orders(B.valid_enriched(spark, sf_dir), as_of=B.AS_OF)
+
+
+@register(
+    "backfill_region",
+    O.with_valid("""
+SELECT event_id, order_id,
+  last_value(shipping_province IGNORE NULLS) OVER w AS shipping_province,
+  last_value(shipping_city IGNORE NULLS) OVER w AS shipping_city,
+  last_value(payment_method IGNORE NULLS) OVER w AS payment_method
+FROM valid
+WINDOW w AS (PARTITION BY order_id ORDER BY event_timestamp, kafka_offset
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+)
+def backfill_region(spark, sf_dir):
+    """O-41: region, city and payment method carried to later events."""
+    f = L.backfill_region(B.valid_enriched(spark, sf_dir))
+    return f.select("event_id", "order_id", "shipping_province", "shipping_city", "payment_method")
+
+
+@register(
+    "illegal_transitions",
+    O.with_valid(f"""
+SELECT event_id, order_id, event_type, previous_status,
+  CASE WHEN previous_status IS NULL THEN 'first_event_not_created' ELSE 'transition_not_allowed' END AS violation
+FROM (
+  SELECT *, last_value(status IGNORE NULLS) OVER (PARTITION BY order_id ORDER BY event_timestamp, kafka_offset
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_status
+  FROM (SELECT *, {O.STATUS_SQL} AS status FROM valid)
+)
+WHERE (previous_status IS NULL AND event_type <> 'order_created')
+   OR (previous_status = 'created' AND event_type NOT IN ('order_item_added', 'order_confirmed', 'order_cancelled'))
+   OR (previous_status = 'confirmed' AND event_type NOT IN ('order_shipped', 'order_cancelled'))
+   OR (previous_status = 'shipped' AND event_type NOT IN ('order_delivered'))
+   OR previous_status IN ('delivered', 'cancelled')"""),
+)
+def illegal_transitions(spark, sf_dir):
+    """O-42: events the order's previous status does not allow."""
+    t = L.illegal_transitions(B.valid_enriched(spark, sf_dir))
+    return t.select("event_id", "order_id", "event_type", "previous_status", "violation")

@@ -128,3 +128,35 @@ SELECT window_start, window_start + INTERVAL '{width_min} minutes' AS window_end
 FROM members
 WHERE event_timestamp < window_start + INTERVAL '{width_min} minutes'
 GROUP BY 1, 2, 3""", members)
+
+
+# The raw messages of the adapter, parsed: every 127th body is not JSON, so
+# all its fields are NULL (the message key and broker columns survive).
+PARSED_CTE = EVENTS_CTE + """,
+parsed AS (
+  SELECT message_key,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE event_id END AS event_id,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE event_type END AS event_type,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE order_id END AS order_id,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE customer_id END AS customer_id,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE event_timestamp END AS event_timestamp,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE total_amount END AS total_amount,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE currency END AS currency,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE shipping_province END AS shipping_province,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE payment_method END AS payment_method,
+    kafka_offset % 127 = 0 AS malformed,
+    kafka_partition, kafka_offset
+  FROM ev
+)"""
+
+
+def with_parsed(select_sql: str, extra: str = "") -> str:
+    return _with(PARSED_CTE, select_sql, extra)
+
+
+STATUS_SQL = """CASE event_type WHEN 'order_created' THEN 'created' WHEN 'order_confirmed' THEN 'confirmed'
+    WHEN 'order_shipped' THEN 'shipped' WHEN 'order_delivered' THEN 'delivered'
+    WHEN 'order_cancelled' THEN 'cancelled' END"""
+
+VALID_TYPES_SQL = ("('order_created', 'order_item_added', 'order_confirmed', 'order_shipped', "
+                   "'order_delivered', 'order_cancelled')")
