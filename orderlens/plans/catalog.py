@@ -420,3 +420,224 @@ def illegal_transitions(spark, sf_dir):
     """O-42: events the order's previous status does not allow."""
     t = L.illegal_transitions(B.valid_enriched(spark, sf_dir))
     return t.select("event_id", "order_id", "event_type", "previous_status", "violation")
+
+
+# ---------------------------------------------------------------------------
+# Monitoring
+# ---------------------------------------------------------------------------
+_LAT_SQL = "(epoch_us(processing_time) - epoch_us(event_timestamp)) / 1000.0"
+
+
+_KPI_CTES = f"""
+upto AS (SELECT *, epoch_us(event_timestamp) AS t_us, epoch_us({O.AS_OF_SQL}) AS ref_us
+         FROM valid WHERE event_timestamp <= {O.AS_OF_SQL}),
+c AS (
+  SELECT count(*) FILTER (WHERE t_us >= ref_us - 60000000) AS n_min,
+         min(t_us) FILTER (WHERE t_us >= ref_us - 60000000) AS first_min,
+         max(ref_us) AS ref,
+         count(*) FILTER (WHERE t_us >= ref_us - 3600000000 AND event_type = 'order_created') AS orders_last_hour,
+         sum(total_amount) FILTER (WHERE t_us >= ref_us - 3600000000 AND event_type = 'order_created') AS rev,
+         count(*) FILTER (WHERE t_us >= ref_us - 3600000000 AND event_type = 'order_cancelled') AS canc,
+         count(*) FILTER (WHERE t_us >= ref_us - 3600000000) AS total_events_processed,
+         arg_max({_LAT_SQL}, processing_time) AS lat
+  FROM upto
+),
+s AS (
+  SELECT count(*) FILTER (WHERE NOT coalesce(st IN ('delivered', 'cancelled'), false)) AS active_orders
+  FROM (SELECT order_id, arg_max(status, event_timestamp) FILTER (WHERE status IS NOT NULL) AS st
+        FROM (SELECT *, {O.STATUS_SQL} AS status FROM upto) GROUP BY order_id)
+)"""
+
+
+@register(
+    "kpis",
+    O.with_valid("""
+SELECT CASE WHEN n_min = 0 THEN 0.0
+            ELSE n_min / greatest(CASE WHEN n_min > 1 THEN (ref - first_min) / 1e6 ELSE 60.0 END, 1.0) END
+         AS events_per_second,
+       orders_last_hour, round(coalesce(rev, 0.0), 2) AS revenue_last_hour,
+       CASE WHEN orders_last_hour > 0 THEN round(canc / orders_last_hour, 4) ELSE 0.0 END AS cancellation_rate,
+       total_events_processed, round(lat, 3) AS avg_processing_latency_ms, active_orders
+FROM c JOIN s ON true""", _KPI_CTES),
+)
+def kpis(spark, sf_dir):
+    """O-50: dashboard headline numbers at as_of."""
+    k = M.kpis(B.valid_enriched(spark, sf_dir), as_of=B.AS_OF)
+    return k.withColumns({"revenue_last_hour": F.round("revenue_last_hour", 2),
+                          "avg_processing_latency_ms": F.round("avg_processing_latency_ms", 3)})
+
+
+@register(
+    "revenue_trend",
+    O.with_valid(f"""
+SELECT time_bucket(INTERVAL '5 minutes', event_timestamp, TIMESTAMP '1970-01-01') AS window_start,
+       time_bucket(INTERVAL '5 minutes', event_timestamp, TIMESTAMP '1970-01-01') + INTERVAL '5 minutes' AS window_end,
+       round(sum(total_amount), 2) AS revenue, count(*) AS order_count
+FROM valid
+WHERE event_type = 'order_created' AND event_timestamp >= {O.AS_OF_SQL} - INTERVAL 300 MINUTE
+  AND event_timestamp < {O.AS_OF_SQL}
+GROUP BY 1, 2"""),
+)
+def revenue_trend(spark, sf_dir):
+    """O-51: revenue per 5-minute bucket, the 60 buckets before as_of."""
+    return _round(M.revenue_trend(B.valid_enriched(spark, sf_dir), as_of=B.AS_OF), money=["revenue"])
+
+
+@register(
+    "orders_by_region",
+    O.with_valid("""
+SELECT shipping_province AS region, count(*) AS order_count, round(sum(total_amount), 2) AS revenue
+FROM valid WHERE event_type = 'order_created' AND shipping_province IS NOT NULL
+GROUP BY 1 ORDER BY order_count DESC, region ASC LIMIT 15"""),
+)
+def orders_by_region(spark, sf_dir):
+    """O-52: top 15 regions by orders."""
+    return _round(M.orders_by_region(B.valid_enriched(spark, sf_dir), 15), money=["revenue"])
+
+
+@register(
+    "event_type_distribution",
+    O.with_valid("SELECT event_type, count(*) AS event_count FROM valid GROUP BY 1"),
+)
+def event_type_distribution(spark, sf_dir):
+    """O-53: valid events per type."""
+    return M.event_type_distribution(B.valid_enriched(spark, sf_dir))
+
+
+@register(
+    "hourly_pattern",
+    O.with_valid("""
+SELECT CAST(h.hour AS INTEGER) AS hour, coalesce(o.orders, 0) AS orders, d.days,
+       round(coalesce(o.orders, 0) / d.days, 4) AS avg_orders
+FROM (SELECT unnest(range(0, 24)) AS hour) h
+JOIN (SELECT count(DISTINCT CAST(event_timestamp AS DATE)) AS days FROM valid) d ON true
+LEFT JOIN (SELECT hour(event_timestamp) AS hour, count(*) AS orders FROM valid
+           WHERE event_type = 'order_created' GROUP BY 1) o ON o.hour = h.hour"""),
+)
+def hourly_pattern(spark, sf_dir):
+    """O-54: average orders per hour of day."""
+    return _round(M.hourly_pattern(B.valid_enriched(spark, sf_dir)), ratios=["avg_orders"])
+
+
+@register(
+    "recent_events",
+    O.with_valid("""
+SELECT event_id, event_type, order_id, customer_id, event_timestamp, total_amount
+FROM valid ORDER BY event_timestamp DESC, event_id DESC LIMIT 100"""),
+)
+def recent_events(spark, sf_dir):
+    """O-55: the newest 100 valid events."""
+    r = M.recent_events(B.valid_enriched(spark, sf_dir), 100)
+    return r.select("event_id", "event_type", "order_id", "customer_id", "event_timestamp",
+                    F.col("payload.total_amount").alias("total_amount"))
+
+
+@register(
+    "latency_bands",
+    O.with_valid(f"""
+SELECT event_id, {_LAT_SQL} AS latency_ms,
+       CASE WHEN {_LAT_SQL} < 100 THEN 'ok' WHEN {_LAT_SQL} < 300 THEN 'warn' ELSE 'bad' END AS latency_band,
+       {_LAT_SQL} > 300 AS latency_alert
+FROM valid"""),
+)
+def latency_bands(spark, sf_dir):
+    """O-56: processing latency per event and its band."""
+    return M.latency_bands(B.valid_enriched(spark, sf_dir)).select(
+        "event_id", "latency_ms", "latency_band", "latency_alert"
+    )
+
+
+@register(
+    "kpi_alerts",
+    O.with_valid("""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL '1 hour', event_timestamp, TIMESTAMP '1970-01-01') AS window_start,
+         time_bucket(INTERVAL '1 hour', event_timestamp, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end,
+         count(*) FILTER (WHERE event_type = 'order_created') AS orders,
+         round(coalesce(sum(total_amount) FILTER (WHERE event_type = 'order_created'), 0.0), 2) AS revenue,
+         count(*) FILTER (WHERE event_type = 'order_cancelled') AS cancellations,
+         CASE WHEN count(*) FILTER (WHERE event_type = 'order_created') > 0
+              THEN round(count(*) FILTER (WHERE event_type = 'order_cancelled')
+                         / count(*) FILTER (WHERE event_type = 'order_created'), 4)
+              ELSE 0.0 END AS cancellation_rate,
+         'high_cancellation_rate' AS alert
+  FROM valid GROUP BY 1, 2
+) WHERE cancellation_rate > 0.10"""),
+)
+def kpi_alerts(spark, sf_dir):
+    """O-57: hours whose last-hour cancellation rate (per order) is above 10 %."""
+    return _round(M.kpi_alerts(M.kpis_by_hour(B.valid_enriched(spark, sf_dir))), money=["revenue"])
+
+
+# ---------------------------------------------------------------------------
+# Quarantine and sink projections
+# ---------------------------------------------------------------------------
+def _invalid_parsed(spark, sf_dir):
+    checked = Q.check_events(_parsed(spark, sf_dir), **B.CHECK_ARGS)
+    return Q.split_checked(checked)[1]
+
+
+_PARSED_REASON = O.REASON_SQL
+
+
+@register(
+    "quarantine_messages",
+    O.with_parsed(f"""
+SELECT order_id AS key, event_id AS json_event_id, reason AS json_failure_reason, kafka_offset AS json_offset
+FROM (SELECT *, {_PARSED_REASON} AS reason FROM parsed) WHERE reason <> 'valid'"""),
+)
+def quarantine_messages(spark, sf_dir):
+    """O-07: quarantine records (key = order id, value = row JSON with the
+    failure reason and the raw message)."""
+    q = Q.quarantine_messages(_invalid_parsed(spark, sf_dir))
+    return q.select(
+        "key",
+        F.get_json_object("value", "$.event_id").alias("json_event_id"),
+        F.get_json_object("value", "$.failure_reason").alias("json_failure_reason"),
+        F.get_json_object("value", "$.kafka_offset").cast("long").alias("json_offset"),
+    )
+
+
+_STRICT_REASON = O.REASON_SQL.replace(
+    "CASE\n", "CASE\n    WHEN malformed THEN 'malformed_json'\n", 1
+).replace("    ELSE 'valid' END", "    WHEN event_type IS NULL THEN 'null_event_type'\n"
+          "    WHEN event_timestamp IS NULL THEN 'null_event_timestamp'\n    ELSE 'valid' END")
+
+
+@register(
+    "quarantine_replay",
+    O.with_parsed(f"""
+SELECT event_id, order_id, first_reason AS previous_failure_reason FROM (
+  SELECT * REPLACE (coalesce(order_id, message_key) AS order_id), first_reason
+  FROM (SELECT *, {_PARSED_REASON} AS first_reason FROM parsed) WHERE first_reason <> 'valid'
+) WHERE ({_STRICT_REASON}) = 'valid'"""),
+)
+def quarantine_replay(spark, sf_dir):
+    """O-18: quarantined messages re-parsed from their raw text, repaired
+    (order id from the message key) and re-checked strictly; the rows that
+    now pass."""
+    quarantined = Q.quarantine_messages(_invalid_parsed(spark, sf_dir))
+    replayed = Q.replay_quarantine(quarantined, repair=Q.order_id_from_key, strict=True, **B.CHECK_ARGS)
+    return replayed.select("event_id", "order_id", "previous_failure_reason")
+
+
+@register(
+    "raw_events_table",
+    O.with_valid("""
+SELECT event_id, event_type, order_id, customer_id, event_timestamp, total_amount AS payload_total_amount,
+       shipping_city, shipping_province, payment_method, order_status, revenue_bucket, item_count,
+       order_hour, order_day_of_week, is_weekend
+FROM valid"""),
+)
+def raw_events_table(spark, sf_dir):
+    """O-03: enriched events in the order_events sink shape (payload kept as
+    JSON text; its total read back to check the round trip)."""
+    from orderlens.tables.sinks import order_events_rows
+
+    rows = order_events_rows(B.valid_enriched(spark, sf_dir))
+    return rows.select(
+        "event_id", "event_type", "order_id", "customer_id", "event_timestamp",
+        F.get_json_object("payload", "$.total_amount").cast("double").alias("payload_total_amount"),
+        "shipping_city", "shipping_province", "payment_method", "order_status", "revenue_bucket", "item_count",
+        "order_hour", "order_day_of_week", "is_weekend",
+    )
