@@ -338,11 +338,9 @@ def replay_quarantine(
         j("$.kafka_partition").cast("int").alias("partition"),
         j("$.kafka_offset").cast("long").alias("offset"),
         j("$.kafka_timestamp").cast("timestamp").alias("timestamp"),
-        F.col("value").alias("quarantine_value"),
+        j("$.failure_reason").alias("previous_failure_reason"),
     )
-    reparsed = parse_events(raw).withColumn(
-        "previous_failure_reason", F.get_json_object(F.col("quarantine_value"), "$.failure_reason")
-    ).drop("quarantine_value")
+    reparsed = parse_events(raw, carry=("previous_failure_reason",))
     if repair is not None:
         reparsed = repair(reparsed)
     valid, _ = apply_quality_checks(reparsed, **check_kwargs)
