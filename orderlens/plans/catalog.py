@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from orderlens.operators import windows as W
 from orderlens.plans import batch as B
 from orderlens.plans import oracle as O
+from orderlens.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -616,7 +617,10 @@ def quarantine_replay(spark, sf_dir):
     """O-18: quarantined messages re-parsed from their raw text, repaired
     (order id from the message key) and re-checked strictly; the rows that
     now pass."""
-    quarantined = Q.quarantine_messages(_invalid_parsed(spark, sf_dir))
+    # The replay reads stored quarantine records; materializing them here
+    # stands for that table (and keeps the optimizer from pushing the new
+    # checks back through the first parse).
+    quarantined = materialize(Q.quarantine_messages(_invalid_parsed(spark, sf_dir)))
     replayed = Q.replay_quarantine(quarantined, repair=Q.order_id_from_key, strict=True, **B.CHECK_ARGS)
     return replayed.select("event_id", "order_id", "previous_failure_reason")
 

@@ -16,8 +16,25 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A filter on a parsed field is pushed below the parse; with per-field
+    # schema pruning every pushed copy re-parses the JSON text. Without it,
+    # the copies are the same expression and codegen evaluates it once.
+    "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
 }
 
+# Runtime (SQL) settings the queries need in any session, also one a caller
+# built: applied by ``pin_session``.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
+}
+
+
+def pin_session(spark: SparkSession) -> SparkSession:
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def build_session(
     master: str | None = None,
@@ -66,3 +83,12 @@ def checkpoint_root(spark: SparkSession, allow_local_fallback: bool = False) ->
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+def materialize(df):
+    """Cut the lineage of ``df``: a reliable checkpoint written to the
+    shared checkpoint folder (recomputation after a lost executor restarts
+    from it, and the optimizer cannot push later filters back through it).
+    A folder of its own is set only when the session names none."""
+    checkpoint_root(df.sparkSession, allow_local_fallback=True)
+    return df.checkpoint(eager=True)

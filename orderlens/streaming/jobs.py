@@ -9,7 +9,8 @@ Layout (each query has its own name and checkpoint under the shared root):
 * ``order_metrics`` / ``order_metrics_sliding`` — tumbling and sliding
   window metrics with an event-time watermark, exact distinct counts by
   chained aggregation, append mode.
-* ``cancellation_spikes`` — windowed detector, append mode.
+  The metrics writer also emits the cancellation spikes among the closed
+  windows (same grouping), so no extra stateful query re-reads the stream.
 
 Sinks write through ``TableStore.write`` keyed by (query, batch_id), so a
 micro-batch re-run after a failure replaces its own output: restart from
@@ -123,6 +124,20 @@ def spikes_stream(valid: DataFrame, settings: StreamSettings) -> DataFrame:
     return A.cancellation_spikes(wm, settings.spike_threshold, settings.tumbling)
 
 
+def write_metrics_batch(batch: DataFrame, batch_id: int, store: TableStore, settings: StreamSettings) -> None:
+    """Closed tumbling windows -> order_metrics, and the cancellation spikes
+    among them -> order_anomalies. Spikes group by the same (window, region)
+    as the metrics, so they come from these rows instead of a second
+    stateful query that would read and parse the stream again."""
+    rows = conform(batch, S.ORDER_METRICS_SCHEMA).persist()
+    try:
+        store.write("order_metrics", rows, "tumbling", batch_id)
+        spikes = A.spikes_from_metrics(rows, settings.spike_threshold)
+        store.write("order_anomalies", A.anomalies(spikes=spikes, detected_at=settings.detected_at), "spikes", batch_id)
+    finally:
+        rows.unpersist()
+
+
 def _table_writer(store: TableStore, table: str, source: str, shape):
     def write(batch: DataFrame, batch_id: int) -> None:
         store.write(table, shape(batch), source, batch_id)
@@ -160,13 +175,10 @@ class OrderStreams:
                     lambda b, i: process_events_batch(b, i, store, s))
         valid = valid_event_stream(self.raw, s.check_kwargs)
         self._start(tumbling_stream(valid, s), "order_metrics",
-                    _table_writer(store, "order_metrics", "tumbling", lambda b: conform(b, S.ORDER_METRICS_SCHEMA)))
+                    lambda b, i: write_metrics_batch(b, i, store, s))
         self._start(sliding_stream(valid, s), "order_metrics_sliding",
                     _table_writer(store, "order_metrics_sliding", "sliding",
                                   lambda b: conform(b, S.ORDER_METRICS_SLIDING_SCHEMA)))
-        self._start(spikes_stream(valid, s), "cancellation_spikes",
-                    _table_writer(store, "order_anomalies", "spikes",
-                                  lambda b: A.anomalies(spikes=b, detected_at=s.detected_at)))
         return self.queries
 
     def process_all_available(self) -> None:

@@ -104,7 +104,13 @@ class TableStore:
         out = rows.select(*schema.fieldNames()).withColumns(
             {COMMITTED_AT: stamp, HOUR_COLUMN: hour_key(ts_col)}
         )
-        (out.write.mode("overwrite").partitionBy(HOUR_COLUMN)
+        # Range partitioning on (hour, time) gives every task a contiguous run
+        # of hours, so a commit spanning many hours writes about tasks + hours
+        # files instead of tasks x hours, and a hot hour is split over tasks.
+        # One wave of write tasks (the cluster's cores): per-file cost, not
+        # bytes, dominates small commits, so they must not collapse to one task.
+        tasks = self.spark.sparkContext.defaultParallelism
+        (out.repartitionByRange(tasks, HOUR_COLUMN, ts_col).write.mode("overwrite").partitionBy(HOUR_COLUMN)
          .parquet(f"{self.path(table)}/{COMMIT_COLUMN}={commit_id(source, batch_id)}"))
 
     # -- reads -------------------------------------------------------------
