@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens import schemas as S
-from orderlens.functions.joins import bounded_broadcast
 
 NATIONS = 25
 INGEST_LAG_MS_PER_K = 5
@@ -57,7 +56,11 @@ def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("geo_province"),
         F.col("r_name").alias("geo_city"),
     )
-    return bounded_broadcast(geo)
+    # nation and region are fixed-size dimensions (25 and 5 rows): the
+    # planner's own size check (file statistics against
+    # spark.sql.autoBroadcastJoinThreshold) broadcasts them, and would fall
+    # back to a sort-merge join (AQE re-plans from measured sizes) if not.
+    return geo
 
 
 def _mapped_type(src: Column, event_id: Column) -> Column:
@@ -84,8 +87,13 @@ def order_events(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataF
     df = ev.join(geo, (ev.user_id % NATIONS) == geo.geo_key, "left")
 
     eid = F.col("event_id")
-    mapped = _mapped_type(F.col("event_type"), eid)
-    key = F.concat(F.lit("ORD-"), F.col("user_id").cast("string"), F.lit("-"), F.dayofmonth("ts").cast("string"))
+    # The mapped type and the message key feed many fields: computed once.
+    df = df.withColumns({
+        "_mapped": _mapped_type(F.col("event_type"), eid),
+        "_key": F.concat(F.lit("ORD-"), F.col("user_id").cast("string"), F.lit("-"),
+                         F.dayofmonth("ts").cast("string")),
+    })
+    mapped, key = F.col("_mapped"), F.col("_key")
     on = F.lit(faults)
     event_type = F.when(on & (eid % 103 == 0), F.lit("bogus")).otherwise(mapped)
     order_id = F.when(on & (eid % 101 == 0), F.lit(None).cast("string")).otherwise(key)
