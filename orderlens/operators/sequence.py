@@ -48,8 +48,12 @@ def count_in_trailing_range(
     probe = base.select(
         "_k", (F.col("_b") - 1).alias("_b"), (F.col("_t") - F.lit(width_us)).alias("_t"), "_id", F.lit(0).alias("_real")
     )
+    # One sort serves both frames: ordered by (time, real), the RANGE frame of
+    # a real row (its peers share time and real=1) holds every real row at or
+    # before its time; the ROWS frame of a probe (probes sort first at equal
+    # time) holds exactly the real rows strictly before it.
     part = Window.partitionBy("_k", "_b")
-    upto_peers = part.orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    upto_peers = part.orderBy("_t", "_real").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     strictly_before = part.orderBy("_t", "_real").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = real.unionByName(probe).withColumns(
         {
