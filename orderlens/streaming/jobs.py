@@ -196,6 +196,24 @@ class OrderStreams:
             if failed:
                 raise RuntimeError(f"stream {failed[0].name} failed: {failed[0].exception()}")
 
+    def run(self) -> None:
+        """Start everything and block; SIGINT / SIGTERM stop all queries
+        (the process then exits cleanly), a failed query stops the rest and
+        its error is raised."""
+        import signal
+
+        def _stop(signum, frame):  # noqa: ARG001
+            log.info("signal %s: stopping %d queries", signum, len(self.queries))
+            self.stop()
+
+        previous = {sig: signal.signal(sig, _stop) for sig in (signal.SIGINT, signal.SIGTERM)}
+        try:
+            self.start()
+            self.await_termination()
+        finally:
+            for sig, handler in previous.items():
+                signal.signal(sig, handler)
+
     def stop(self) -> None:
         for q in self.queries:
             try:
