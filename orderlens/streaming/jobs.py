@@ -50,6 +50,9 @@ class StreamSettings:
     spike_threshold: float = S.CANCELLATION_SPIKE_RATE
     quarantine_kafka: dict | None = None  # Kafka sink options; None -> quarantine table
     detected_at: object = None  # fixed instant for tests; None -> batch time
+    # "rocksdb" keeps window state off the JVM heap with changelog
+    # checkpoints (large state on a cluster); None keeps the session's choice.
+    state_store: str | None = None
 
 
 def event_stream(raw: DataFrame) -> DataFrame:
@@ -171,6 +174,10 @@ class OrderStreams:
     def start(self) -> list[StreamingQuery]:
         """Start every query (unique names, own checkpoints)."""
         s, store = self.settings, self.store
+        if s.state_store == "rocksdb":
+            self.spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+            self.spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         self._start(self.raw, "order_events_batch",
                     lambda b, i: process_events_batch(b, i, store, s))
         valid = valid_event_stream(self.raw, s.check_kwargs)
