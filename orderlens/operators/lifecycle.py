@@ -88,3 +88,33 @@ def illegal_transitions(df: DataFrame, chunk: str = "1 day", ts: str = "event_ti
         .filter(F.col("violation").isNotNull())
         .drop("_status", "_status_prior")
     )
+
+
+def backfill_region_stream(
+    valid: DataFrame, bound: str = "7 days", watermark: str = "10 minutes", ts: str = "event_timestamp"
+) -> DataFrame:
+    """O-41 on a stream (OVER windows are refused there): a time-bounded
+    stream-stream left join of every event with its order's order_created
+    event within ``bound`` before it. The created side is de-duplicated per
+    order within the watermark, so an order with several created events
+    cannot fan out. Fills only from the order_created event (the batch form
+    takes the latest earlier event); an event without a match is emitted
+    once the watermark passes it + ``bound``. Enriched input with TIMESTAMP
+    event time."""
+    cols = ["shipping_province", "shipping_city", "payment_method"]
+    left = valid.withWatermark(ts, watermark)
+    created = (
+        valid.filter((F.col("event_type") == "order_created") & F.col("shipping_province").isNotNull())
+        .select(F.col("order_id").alias("_c_order"), F.col(ts).alias("_c_ts"), *[F.col(c).alias(f"_c_{c}") for c in cols])
+        .withWatermark("_c_ts", watermark)
+        .dropDuplicatesWithinWatermark(["_c_order"])
+    )
+    cond = (
+        (F.col("order_id") == F.col("_c_order"))
+        & (F.col("_c_ts") <= F.col(ts))
+        & (F.col(ts) <= F.col("_c_ts") + F.expr(f"INTERVAL {bound}"))
+    )
+    joined = left.join(created, cond, "leftOuter")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_c_{c}")) for c in cols}).drop(
+        "_c_order", "_c_ts", *[f"_c_{c}" for c in cols]
+    )

@@ -19,8 +19,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def order_events_rows(enriched: DataFrame) -> DataFrame:
     """O-03: enriched events as order_events rows; the payload is stored as
-    JSON text (to_json of the parsed struct)."""
-    return conform(enriched.withColumn("payload", F.to_json("payload")), S.ORDER_EVENTS_SCHEMA)
+    JSON text. When the raw message is at hand its payload object is kept
+    verbatim, so fields the parse schema does not know survive (schema
+    evolution by the producers); otherwise the parsed struct is serialized."""
+    text = F.to_json("payload")
+    if "raw_value" in enriched.columns:
+        text = F.coalesce(F.get_json_object("raw_value", "$.payload"), text)
+    return conform(enriched.withColumn("payload", text), S.ORDER_EVENTS_SCHEMA)
 
 
 def not_null_violation(schema: T.StructType) -> Column:
