@@ -159,12 +159,65 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _commit_dirs(self, table: str) -> list[str]:
+    def _path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _commit_path(self, table: str, cid: str) -> str:
+        return f"{self.path(table)}/{COMMIT_COLUMN}={cid}"
+
+    def _staging_path(self, table: str, cid: str) -> str:
+        return f"{self.path(table)}/_staging_{COMMIT_COLUMN}={cid}"
+
+    def _stage(self, table: str, target: str, sources: list[str], rows: DataFrame) -> None:
+        """Write ``rows`` (the union of commits ``sources``) as the future
+        commit ``target``, then publish it: manifest, delete the sources,
+        rename. A crash at any point leaves either the old commits or a
+        complete staging folder that ``recover`` finishes."""
+        staged = self._staging_path(table, target)
+        rows.write.mode("overwrite").partitionBy(HOUR_COLUMN).parquet(staged)
+        fs, _ = self._fs(staged)
+        out = fs.create(self._path(f"{staged}/_sources"), True)
+        out.write(bytearray("\n".join(sources).encode()))
+        out.close()
+        self._publish(table, target)
+
+    def _publish(self, table: str, target: str) -> None:
+        staged = self._staging_path(table, target)
+        fs, _ = self._fs(staged)
+        stream = fs.open(self._path(f"{staged}/_sources"))
+        sources = []
+        line = stream.readLine()
+        while line is not None:
+            if line:
+                sources.append(line)
+            line = stream.readLine()
+        stream.close()
+        for cid in sources:
+            fs.delete(self._path(self._commit_path(table, cid)), True)
+        fs.rename(self._path(staged), self._path(self._commit_path(table, target)))
+
+    def recover(self, table: str) -> list[str]:
+        """Finish maintenance interrupted by a crash: a staging folder that is
+        complete (data committed and source manifest written) holds exactly
+        the rows of its source commits, so it is published; an incomplete one
+        is dropped (its sources are untouched). Returns the commits touched."""
         fs, p = self._fs(self.path(table))
         if not fs.exists(p):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-        return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{COMMIT_COLUMN}="))
+        touched = []
+        prefix = f"_staging_{COMMIT_COLUMN}="
+        for status in fs.listStatus(p):
+            name = status.getPath().getName()
+            if not (status.isDirectory() and name.startswith(prefix)):
+                continue
+            target = name[len(prefix):]
+            staged = status.getPath().toString()
+            if fs.exists(self._path(f"{staged}/_SUCCESS")) and fs.exists(self._path(f"{staged}/_sources")):
+                self._publish(table, target)
+            else:
+                fs.delete(status.getPath(), True)
+            touched.append(target)
+        return touched
 
     def expire_snapshots(self, table: str, older_than=None, keep_last: int = 1) -> int:
         """O-62: forget commit history older than ``older_than`` (default:
@@ -178,6 +231,7 @@ class TableStore:
                            f"older_than => TIMESTAMP '{ts}')" if older_than else
                            f"CALL {self.catalog}.system.expire_snapshots(table => '{self.qualified(table)}')")
             return -1
+        self.recover(table)
         cutoff = (as_of_column(older_than).cast("timestamp") if older_than is not None
                   else F.current_timestamp() - F.expr("INTERVAL 7 DAYS"))
         commits = self.snapshots(table).filter(F.col(COMMIT_COLUMN) != BASE_COMMIT)
@@ -189,16 +243,9 @@ class TableStore:
         merge = [BASE_COMMIT, *old_ids]
         rows = self.read(table).filter(F.col(COMMIT_COLUMN).isin(*merge))
         stamp = rows.agg(F.max(COMMITTED_AT)).first()[0]
-        staged = f"{self.path(table)}/_staging_{COMMIT_COLUMN}={BASE_COMMIT}"
         schema, _ = S.TABLES[table]
-        (rows.select(*schema.fieldNames(), HOUR_COLUMN).withColumn(COMMITTED_AT, F.lit(stamp))
-         .write.mode("overwrite").partitionBy(HOUR_COLUMN).parquet(staged))
-        fs, _ = self._fs(self.path(table))
-        jvm = self.spark.sparkContext._jvm
-        for cid in merge:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{COMMIT_COLUMN}={cid}"), True)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staged),
-                  jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{COMMIT_COLUMN}={BASE_COMMIT}"))
+        merged = rows.select(*schema.fieldNames(), HOUR_COLUMN).withColumn(COMMITTED_AT, F.lit(stamp))
+        self._stage(table, BASE_COMMIT, merge, merged)
         return len(old_ids)
 
     def compact(self, table: str, commit: str, target_bytes: int = S.COMPACTION_TARGET_BYTES) -> dict:
@@ -209,21 +256,17 @@ class TableStore:
             self.spark.sql(f"CALL {self.catalog}.system.rewrite_data_files(table => '{self.qualified(table)}', "
                            f"strategy => 'binpack', options => map('target-file-size-bytes', '{int(target_bytes)}'))")
             return {}
-        src = f"{self.path(table)}/{COMMIT_COLUMN}={commit}"
+        self.recover(table)
+        src = self._commit_path(table, commit)
         fs, p = self._fs(src)
         summary = fs.getContentSummary(p)
         before, size = summary.getFileCount(), summary.getLength()
         n_files = max(1, math.ceil(size / target_bytes))
         _, ts_col = S.TABLES[table]
         rows = self.spark.read.option("basePath", src).parquet(src)
-        staged = f"{self.path(table)}/_staging_{COMMIT_COLUMN}={commit}"
         # Range partitioning on (hour, time) packs small hours together and
         # splits a large hour over several files, so no hour is one task.
-        (rows.repartitionByRange(n_files, HOUR_COLUMN, ts_col)
-         .write.mode("overwrite").partitionBy(HOUR_COLUMN).parquet(staged))
-        jvm = self.spark.sparkContext._jvm
-        fs.delete(p, True)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staged), p)
+        self._stage(table, commit, [commit], rows.repartitionByRange(n_files, HOUR_COLUMN, ts_col))
         after = fs.getContentSummary(p).getFileCount()
         return {"files_before": int(before), "files_after": int(after), "bytes": int(size)}
 

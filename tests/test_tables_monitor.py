@@ -97,3 +97,24 @@ def test_orders_by_region_ties(spark):
     assert [(r.region, r.order_count) for r in top] == [("A", 2), ("B", 2)]
     assert conform(enrich_orders(events(spark, rows)).withColumn("payload", F.to_json("payload")),
                    S.ORDER_EVENTS_SCHEMA).columns == S.ORDER_EVENTS_SCHEMA.fieldNames()
+
+
+def test_maintenance_recovers_after_a_crash(spark, tmp_dir):
+    store = TableStore(spark, root=os.path.join(tmp_dir, "t"))
+    ev = order_events_rows(_enriched(spark, 20))
+    store.write("order_events", ev.filter("event_id < 'e010'"), "events", 0, committed_at="2024-01-01 00:00:00")
+    store.write("order_events", ev.filter("event_id >= 'e010'"), "events", 1, committed_at="2024-01-05 00:00:00")
+    before = sorted(r.event_id for r in store.read("order_events").collect())
+    rows = store.read("order_events").filter(F.col("commit") == "events-000000000000").drop("commit")
+    # crash 1: staging written, nothing published yet
+    rows.write.mode("overwrite").partitionBy("event_hour").parquet(store._staging_path("order_events", "base"))
+    fs, _ = store._fs(store.path("order_events"))
+    out = fs.create(store._path(store._staging_path("order_events", "base") + "/_sources"), True)
+    out.write(bytearray(b"base\nevents-000000000000"))
+    out.close()
+    # crash 2: an incomplete staging folder (no manifest)
+    rows.write.mode("overwrite").parquet(store._staging_path("order_events", "events-000000000001"))
+    assert sorted(store.recover("order_events")) == ["base", "events-000000000001"]
+    assert sorted(r.event_id for r in store.read("order_events").collect()) == before
+    commits = {r.commit for r in store.snapshots("order_events").collect()}
+    assert commits == {"base", "events-000000000001"}
