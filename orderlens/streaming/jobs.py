@@ -53,6 +53,10 @@ class StreamSettings:
     # "rocksdb" keeps window state off the JVM heap with changelog
     # checkpoints (large state on a cluster); None keeps the session's choice.
     state_store: str | None = None
+    # State partitions of the windowed queries. They are fixed in the
+    # checkpoint at the first start, so size them for peak volume
+    # (e.g. a few per executor core); None keeps spark.sql.shuffle.partitions.
+    state_partitions: int | None = None
 
 
 def event_stream(raw: DataFrame) -> DataFrame:
@@ -178,6 +182,8 @@ class OrderStreams:
             self.spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
             self.spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        if s.state_partitions:
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(int(s.state_partitions)))
         self._start(self.raw, "order_events_batch",
                     lambda b, i: process_events_batch(b, i, store, s))
         valid = valid_event_stream(self.raw, s.check_kwargs)

@@ -1,8 +1,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
-
 from orderlens.operators import quality as Q
 from tests.helpers import events, ts
 
@@ -154,4 +152,3 @@ def test_quarantine_round_trip_and_replay(spark):
     assert [(r.event_id, r.order_id, r.previous_failure_reason) for r in rows] == [("e1", "ORD-9", "null_order_id")]
     # without the repair nothing comes back; malformed stays quarantined
     assert Q.replay_quarantine(msgs, strict=True, as_of=AS_OF).count() == 0
-    assert F is not None
