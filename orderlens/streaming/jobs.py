@@ -57,6 +57,9 @@ class StreamSettings:
     # checkpoint at the first start, so size them for peak volume
     # (e.g. a few per executor core); None keeps spark.sql.shuffle.partitions.
     state_partitions: int | None = None
+    # Which outputs to start: "events" (the shared foreachBatch), "metrics"
+    # (tumbling + spikes), "sliding".
+    outputs: tuple[str, ...] = ("events", "metrics", "sliding")
 
 
 def event_stream(raw: DataFrame) -> DataFrame:
@@ -184,14 +187,17 @@ class OrderStreams:
             self.spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         if s.state_partitions:
             self.spark.conf.set("spark.sql.shuffle.partitions", str(int(s.state_partitions)))
-        self._start(self.raw, "order_events_batch",
-                    lambda b, i: process_events_batch(b, i, store, s))
+        if "events" in s.outputs:
+            self._start(self.raw, "order_events_batch",
+                        lambda b, i: process_events_batch(b, i, store, s))
         valid = valid_event_stream(self.raw, s.check_kwargs)
-        self._start(tumbling_stream(valid, s), "order_metrics",
-                    lambda b, i: write_metrics_batch(b, i, store, s))
-        self._start(sliding_stream(valid, s), "order_metrics_sliding",
-                    _table_writer(store, "order_metrics_sliding", "sliding",
-                                  lambda b: conform(b, S.ORDER_METRICS_SLIDING_SCHEMA)))
+        if "metrics" in s.outputs:
+            self._start(tumbling_stream(valid, s), "order_metrics",
+                        lambda b, i: write_metrics_batch(b, i, store, s))
+        if "sliding" in s.outputs:
+            self._start(sliding_stream(valid, s), "order_metrics_sliding",
+                        _table_writer(store, "order_metrics_sliding", "sliding",
+                                      lambda b: conform(b, S.ORDER_METRICS_SLIDING_SCHEMA)))
         return self.queries
 
     def process_all_available(self) -> None:
