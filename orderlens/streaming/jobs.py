@@ -20,6 +20,7 @@ the checkpoint adds nothing twice.
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -207,8 +208,14 @@ class OrderStreams:
     def await_termination(self, timeout: float | None = None) -> None:
         """Block until any query ends; stop the rest and re-raise its error
         (a failed query must not leave the others running unnoticed)."""
+        # Wait on these queries only: the session-wide awaitAnyTermination
+        # also returns for queries other code ran (and stopped) earlier.
+        end = None if timeout is None else time.monotonic() + timeout
         try:
-            self.spark.streams.awaitAnyTermination(timeout)
+            while all(q.isActive for q in self.queries):
+                if end is not None and time.monotonic() >= end:
+                    break
+                time.sleep(0.5)
         finally:
             failed = [q for q in self.queries if q.exception() is not None]
             self.stop()
