@@ -685,12 +685,11 @@ def stream_order_metrics(spark, sf_dir):
     from orderlens.tables.store import TableStore
 
     root = f"{checkpoint_root(spark, allow_local_fallback=True)}/stream-query-{uuid.uuid4().hex}"
-    T.raw_messages(spark, sf_dir).withColumn("day", F.to_date("timestamp")).write.partitionBy("day").parquet(
-        f"{root}/raw")
+    files = T.write_daily_raw_files(spark, sf_dir, f"{root}/raw")
     settings = StreamSettings(trigger={"availableNow": True}, check_kwargs=dict(B.CHECK_ARGS), tumbling="1 hour",
                               detected_at=B.AS_OF, outputs=("metrics",))
     store = TableStore(spark, root=f"{root}/tables")
-    jobs = OrderStreams(spark, read_raw_files(spark, f"{root}/raw/day=*", max_files_per_trigger=7), store,
+    jobs = OrderStreams(spark, read_raw_files(spark, files, max_files_per_trigger=10), store,
                         settings, checkpoint_dir=f"{root}/streams")
     try:
         jobs.start()
