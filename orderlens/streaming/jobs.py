@@ -59,8 +59,10 @@ class StreamSettings:
     # (e.g. a few per executor core); None keeps spark.sql.shuffle.partitions.
     state_partitions: int | None = None
     # Which outputs to start: "events" (the shared foreachBatch), "metrics"
-    # (tumbling + spikes), "sliding".
+    # (tumbling + spikes), "sliding", and opt-in "rapid_fire" (windowed
+    # streaming form of the detector, into order_anomalies).
     outputs: tuple[str, ...] = ("events", "metrics", "sliding")
+    rapid_fire: tuple[int, str, str] = (S.RAPID_FIRE_ORDERS, S.RAPID_FIRE_WINDOW, "1 minute")
 
 
 def event_stream(raw: DataFrame) -> DataFrame:
@@ -199,6 +201,12 @@ class OrderStreams:
             self._start(sliding_stream(valid, s), "order_metrics_sliding",
                         _table_writer(store, "order_metrics_sliding", "sliding",
                                       lambda b: conform(b, S.ORDER_METRICS_SLIDING_SCHEMA)))
+        if "rapid_fire" in s.outputs:
+            n, width, slide = s.rapid_fire
+            wm = valid.withWatermark("event_timestamp", s.watermark)
+            self._start(A.rapid_fire_stream(wm, n, width, slide), "rapid_fire",
+                        _table_writer(store, "order_anomalies", "rapid_fire",
+                                      lambda b: A.rapid_fire_window_rows(b, s.detected_at)))
         return self.queries
 
     def process_all_available(self) -> None:

@@ -54,6 +54,38 @@ def test_runner_stops_everything_and_raises_on_failure(spark, tmp_dir):
     assert not any(q.isActive for q in jobs.queries)
 
 
+def test_rapid_fire_stream_counts_distinct_orders(spark, tmp_dir):
+    import datetime as dt
+
+    from orderlens import schemas as S
+
+    t = dt.datetime(2024, 1, 1, 10, 0)
+    msgs = []
+    for i in range(7):  # customer c1: 6 distinct orders (one sent twice) inside [10:00, 10:05)
+        order = f"o{min(i, 5)}"
+        body = {"event_id": f"e{i}", "event_type": "order_created", "order_id": order, "customer_id": "c1",
+                "timestamp": (t + dt.timedelta(seconds=30 * i)).isoformat() + "+00:00",
+                "payload": {"total_amount": 1.0}}
+        msgs.append((order.encode(), json.dumps(body).encode(), "t", 0, i, t))
+    far = {"event_id": "z", "event_type": "order_created", "order_id": "oz", "customer_id": "c2",
+           "timestamp": (t + dt.timedelta(hours=3)).isoformat() + "+00:00", "payload": {"total_amount": 1.0}}
+    src = os.path.join(tmp_dir, "src")
+    spark.createDataFrame(msgs, S.RAW_SCHEMA).coalesce(1).write.parquet(os.path.join(src, "a"))
+    spark.createDataFrame([(b"oz", json.dumps(far).encode(), "t", 0, 9, t)], S.RAW_SCHEMA).coalesce(1).write.parquet(
+        os.path.join(src, "b"))
+    stream = read_raw_files(spark, os.path.join(src, "*"), max_files_per_trigger=1)
+    store = TableStore(spark, root=os.path.join(tmp_dir, "t"))
+    settings = StreamSettings(trigger={"availableNow": True}, outputs=("rapid_fire",),
+                              check_kwargs={"as_of": "2024-01-02 00:00:00", "max_age": "2 days"},
+                              rapid_fire=(5, "5 minutes", "5 minutes"), detected_at="2024-01-02 00:00:00")
+    jobs = OrderStreams(spark, stream, store, settings, checkpoint_dir=os.path.join(tmp_dir, "c"))
+    jobs.start()
+    jobs.process_all_available()
+    jobs.stop()
+    got = [(r.customer_id, r.details) for r in store.read("order_anomalies").collect()]
+    assert got == [("c1", "window_start=2024-01-01 10:00:00;orders_in_window=6")]
+
+
 def test_rapid_fire_stream_form(spark):
     rows = [{"event_id": f"e{i}", "customer_id": "c1", "ts": f"2024-01-01 10:0{i}:00", "total": 1.0}
             for i in range(7)]
