@@ -458,8 +458,9 @@ SELECT CASE WHEN n_min = 0 THEN 0.0
          AS events_per_second,
        orders_last_hour, round(coalesce(rev, 0.0), 2) AS revenue_last_hour,
        CASE WHEN orders_last_hour > 0 THEN round(canc / orders_last_hour, 4) ELSE 0.0 END AS cancellation_rate,
-       total_events_processed, round(lat, 3) AS avg_processing_latency_ms, active_orders
-FROM c JOIN s ON true""", _KPI_CTES),
+       total_events_processed, round(lat, 3) AS avg_processing_latency_ms,
+       (SELECT active_orders FROM s) AS active_orders
+FROM c""", _KPI_CTES),
 )
 def kpis(spark, sf_dir):
     """O-50: dashboard headline numbers at as_of."""
@@ -508,10 +509,10 @@ def event_type_distribution(spark, sf_dir):
 @register(
     "hourly_pattern",
     O.with_valid("""
-SELECT CAST(h.hour AS INTEGER) AS hour, coalesce(o.orders, 0) AS orders, d.days,
-       round(coalesce(o.orders, 0) / d.days, 4) AS avg_orders
-FROM (SELECT unnest(range(0, 24)) AS hour) h
-JOIN (SELECT count(DISTINCT CAST(event_timestamp AS DATE)) AS days FROM valid) d ON true
+SELECT CAST(h.hour AS INTEGER) AS hour, coalesce(o.orders, 0) AS orders, h.days,
+       round(coalesce(o.orders, 0) / h.days, 4) AS avg_orders
+FROM (SELECT unnest(range(0, 24)) AS hour,
+             (SELECT count(DISTINCT CAST(event_timestamp AS DATE)) FROM valid) AS days) h
 LEFT JOIN (SELECT hour(event_timestamp) AS hour, count(*) AS orders FROM valid
            WHERE event_type = 'order_created' GROUP BY 1) o ON o.hour = h.hour"""),
 )
