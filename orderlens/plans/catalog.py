@@ -13,10 +13,16 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.operators import anomalies as A
+from orderlens.operators import lifecycle as L
+from orderlens.operators import monitor as M
+from orderlens.operators import quality as Q
 from orderlens.operators import windows as W
+from orderlens.operators.parse import parse_events
 from orderlens.plans import batch as B
 from orderlens.plans import oracle as O
 from orderlens.session import materialize
+from orderlens.sources import testdata as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,12 +103,6 @@ def order_metrics_1h_chained(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Parse, quality metrics, rules, contract, reconciliation
 # ---------------------------------------------------------------------------
-from orderlens.operators import anomalies as A  # noqa: E402
-from orderlens.operators import lifecycle as L  # noqa: E402
-from orderlens.operators import monitor as M  # noqa: E402
-from orderlens.operators import quality as Q  # noqa: E402
-from orderlens.operators.parse import parse_events  # noqa: E402
-from orderlens.sources import testdata as T  # noqa: E402
 
 
 def _parsed(spark, sf_dir):
