@@ -25,7 +25,7 @@ message body is not JSON.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens import schemas as S
@@ -63,84 +63,69 @@ def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo
 
 
-def _mapped_type(src: Column, event_id: Column) -> Column:
-    expr = F.when((src == "signup") & (event_id % 2 == 0), F.lit("order_item_added")).when(
-        src == "signup", F.lit("order_confirmed")
-    )
-    for source, target in SOURCE_TYPE_MAP:
-        expr = expr.when(src == source, F.lit(target))
-    return expr
+def _sql_list(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+def _mapped_type_sql() -> str:
+    whens = "".join(f" WHEN event_type = '{src}' THEN '{dst}'" for src, dst in SOURCE_TYPE_MAP)
+    return ("CASE WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'order_item_added'"
+            f" WHEN event_type = 'signup' THEN 'order_confirmed'{whens} END")
 
 
 def order_events(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
     """Parsed-shape order events (the output shape of ``parse_events``).
 
     Batch keeps ``event_timestamp`` as TIMESTAMP_NTZ (the driver data type);
-    the streaming path casts it to TIMESTAMP for watermarks.
+    the streaming path casts it to TIMESTAMP for watermarks. The columns are
+    SQL expressions: one parse in the JVM instead of hundreds of Python ->
+    JVM calls to assemble the same expression trees.
     """
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     geo = geo_dimension(spark, sf_dir)
     df = ev.join(geo, (ev.user_id % NATIONS) == geo.geo_key, "left")
 
-    eid = F.col("event_id")
+    on = "true" if faults else "false"
     # The mapped type and the message key feed many fields: computed once.
-    df = df.withColumns({
-        "_mapped": _mapped_type(F.col("event_type"), eid),
-        "_key": F.concat(F.lit("ORD-"), F.col("user_id").cast("string"), F.lit("-"),
-                         F.dayofmonth("ts").cast("string")),
-    })
-    mapped, key = F.col("_mapped"), F.col("_key")
-    on = F.lit(faults)
-    event_type = F.when(on & (eid % 103 == 0), F.lit("bogus")).otherwise(mapped)
-    order_id = F.when(on & (eid % 101 == 0), F.lit(None).cast("string")).otherwise(key)
-    shift = F.when(on & (eid % 109 == 0), F.expr("INTERVAL 60 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS")) - F.when(
-        on & (eid % 113 == 0), F.expr("INTERVAL 400 DAYS")
-    ).otherwise(F.expr("INTERVAL 0 DAYS"))
-    total = F.when(on & (eid % 107 == 0), F.lit(999999.0)).otherwise(F.round(F.col("value") * 10, 2))
-    addressed = mapped.isin("order_created", "order_confirmed")
-    lag_ms = F.get_json_object("props", "$.k").cast("long") * INGEST_LAG_MS_PER_K
-    ingest = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + lag_ms * 1000)
-
-    address = F.struct(
-        F.concat(F.lit("Street "), F.col("user_id").cast("string")).alias("street"),
-        F.col("geo_city").alias("city"),
-        F.col("geo_province").alias("province"),
-        F.lpad((F.col("user_id") % 100000).cast("string"), 5, "0").alias("postal_code"),
-        F.lit("ES").alias("country"),
+    df = df.selectExpr(
+        "*",
+        f"{_mapped_type_sql()} AS _mapped",
+        "concat('ORD-', CAST(user_id AS STRING), '-', CAST(dayofmonth(ts) AS STRING)) AS _key",
     )
-    payload = F.struct(
-        F.lit(None).cast("array<struct<product_id:string,product_name:string,quantity:int,unit_price:double,subtotal:double>>").alias("items"),
-        total.alias("total_amount"),
-        F.lit(S.CONTRACT_CURRENCY).alias("currency"),
-        F.when(addressed, address).alias("shipping_address"),
-        F.when(addressed, _pick(S.PAYMENT_METHODS, F.col("user_id"))).alias("payment_method"),
-        F.when(mapped == "order_item_added", F.lit("created"))
-        .otherwise(F.regexp_replace(mapped, "^order_", ""))
-        .alias("status"),
-        F.when(mapped == "order_created", F.lit("")).alias("notes"),
-        F.when(mapped == "order_cancelled", F.lit("customer_request")).alias("cancellation_reason"),
-        F.when(mapped == "order_shipped", F.concat(F.lit("ES"), F.lpad(eid.cast("string"), 9, "0"))).alias(
-            "tracking_number"
-        ),
-        F.when(mapped == "order_shipped", _pick(CARRIERS, eid)).alias("carrier"),
+    addressed = "_mapped IN ('order_created', 'order_confirmed')"
+    items_type = "array<struct<product_id:string,product_name:string,quantity:int,unit_price:double,subtotal:double>>"
+    ingest = f"timestamp_micros(unix_micros(CAST(ts AS TIMESTAMP)) + CAST(get_json_object(props, '$.k') AS BIGINT) * {INGEST_LAG_MS_PER_K} * 1000)"
+    address = (
+        "named_struct('street', concat('Street ', CAST(user_id AS STRING)), 'city', geo_city, "
+        "'province', geo_province, 'postal_code', lpad(CAST(user_id % 100000 AS STRING), 5, '0'), 'country', 'ES')"
     )
-    return df.select(
-        key.alias("message_key"),
-        eid.cast("string").alias("event_id"),
-        event_type.alias("event_type"),
-        order_id.alias("order_id"),
-        F.concat(F.lit("CUST-"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("customer_id"),
-        (F.col("ts") + shift).alias("event_timestamp"),
-        payload.alias("payload"),
-        F.lit(S.DEFAULT_TOPIC).alias("kafka_topic"),
-        (F.col("user_id") % TOPIC_PARTITIONS).cast("int").alias("kafka_partition"),
-        eid.alias("kafka_offset"),
-        ingest.cast("timestamp_ntz").alias("kafka_timestamp"),
-        ingest.cast("timestamp_ntz").alias("processing_time"),
+    payload = f"""named_struct(
+        'items', CAST(NULL AS {items_type}),
+        'total_amount', CASE WHEN {on} AND event_id % 107 = 0 THEN 999999.0D ELSE round(value * 10, 2) END,
+        'currency', '{S.CONTRACT_CURRENCY}',
+        'shipping_address', CASE WHEN {addressed} THEN {address} END,
+        'payment_method', CASE WHEN {addressed}
+            THEN element_at({_sql_list(S.PAYMENT_METHODS)}, CAST(user_id % {len(S.PAYMENT_METHODS)} + 1 AS INT)) END,
+        'status', CASE WHEN _mapped = 'order_item_added' THEN 'created' ELSE regexp_replace(_mapped, '^order_', '') END,
+        'notes', CASE WHEN _mapped = 'order_created' THEN '' END,
+        'cancellation_reason', CASE WHEN _mapped = 'order_cancelled' THEN 'customer_request' END,
+        'tracking_number', CASE WHEN _mapped = 'order_shipped' THEN concat('ES', lpad(CAST(event_id AS STRING), 9, '0')) END,
+        'carrier', CASE WHEN _mapped = 'order_shipped'
+            THEN element_at({_sql_list(CARRIERS)}, CAST(event_id % {len(CARRIERS)} + 1 AS INT)) END)"""
+    return df.selectExpr(
+        "_key AS message_key",
+        "CAST(event_id AS STRING) AS event_id",
+        f"CASE WHEN {on} AND event_id % 103 = 0 THEN 'bogus' ELSE _mapped END AS event_type",
+        f"CASE WHEN {on} AND event_id % 101 = 0 THEN CAST(NULL AS STRING) ELSE _key END AS order_id",
+        "concat('CUST-', lpad(CAST(user_id AS STRING), 6, '0')) AS customer_id",
+        f"ts + CASE WHEN {on} AND event_id % 109 = 0 THEN INTERVAL 60 DAYS ELSE INTERVAL 0 DAYS END"
+        f" - CASE WHEN {on} AND event_id % 113 = 0 THEN INTERVAL 400 DAYS ELSE INTERVAL 0 DAYS END AS event_timestamp",
+        f"{payload} AS payload",
+        f"'{S.DEFAULT_TOPIC}' AS kafka_topic",
+        f"CAST(user_id % {TOPIC_PARTITIONS} AS INT) AS kafka_partition",
+        "event_id AS kafka_offset",
+        f"CAST({ingest} AS TIMESTAMP_NTZ) AS kafka_timestamp",
+        f"CAST({ingest} AS TIMESTAMP_NTZ) AS processing_time",
     )
 
 
