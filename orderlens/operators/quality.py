@@ -299,6 +299,21 @@ def quality_metrics(checked: DataFrame, check_timestamp=None, by: list | None =
     )
 
 
+def observe_quality(checked: DataFrame, observation="order_quality") -> DataFrame:
+    """O-33 without an extra pass: the counts ride along as observed metrics
+    of whatever action consumes ``checked``. On a stream they appear per
+    micro-batch in ``StreamingQueryProgress.observedMetrics`` under the
+    given name; in batch pass a ``pyspark.sql.Observation`` and read
+    ``observation.get`` after the action."""
+    valid = F.col("quality_check_result") == VALID
+    return checked.observe(
+        observation,
+        F.count(F.lit(1)).alias("records_checked"),
+        F.count_if(valid).alias("records_valid"),
+        F.count_if(~valid).alias("records_invalid"),
+    )
+
+
 def quarantine_alerts(quality: DataFrame, threshold: float = S.QUARANTINE_ALERT_RATE) -> DataFrame:
     """Quality rows whose quarantine rate is above the threshold (strict)."""
     return quality.filter(F.col("quarantine_rate") > threshold)

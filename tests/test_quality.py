@@ -152,3 +152,14 @@ def test_quarantine_round_trip_and_replay(spark):
     assert [(r.event_id, r.order_id, r.previous_failure_reason) for r in rows] == [("e1", "ORD-9", "null_order_id")]
     # without the repair nothing comes back; malformed stays quarantined
     assert Q.replay_quarantine(msgs, strict=True, as_of=AS_OF).count() == 0
+
+
+def test_observed_quality_metrics(spark):
+    from pyspark.sql import Observation
+
+    rows = [{"event_id": str(i), "ts": "2024-06-01 11:00:00", "total": 5.0 if i % 3 else None} for i in range(9)]
+    obs = Observation("quality")
+    checked = Q.observe_quality(Q.check_events(events(spark, rows), as_of=AS_OF), obs)
+    # a later filter does not hide rows from the observation: it sits below it
+    assert checked.filter("quality_check_result = 'valid'").count() == 6
+    assert obs.get == {"records_checked": 9, "records_valid": 6, "records_invalid": 3}
