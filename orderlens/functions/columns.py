@@ -7,7 +7,6 @@ inside whole-stage codegen and works the same in batch and in streaming.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +14,6 @@ from pyspark.sql import types as T
 
 from orderlens import schemas as S
 
-TimeLike = "Column | str | _dt.datetime | None"
-
 
 def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -82,10 +79,6 @@ def lifecycle_status(event_type: Column | str = "event_type") -> Column:
     return expr
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def interval(text: str) -> Column:
     return F.expr(f"INTERVAL {_interval_sql(text)}")
 
@@ -105,7 +98,3 @@ def interval_seconds(text: str) -> int:
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column."""
     return F.unix_micros(col_of(ts).cast("timestamp"))
-
-
-def round_money(c: Column | str, digits: int = 2) -> Column:
-    return F.round(col_of(c), digits)
