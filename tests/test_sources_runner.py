@@ -138,3 +138,13 @@ def test_backfill_region_stream_and_payload_kept(spark, tmp_dir):
 
     stored = {r.event_id: r.payload for r in order_events_rows(enrich_orders(batch)).collect()}
     assert json.loads(stored["e1"])["gift_wrap"] is True
+
+
+def test_bounded_broadcast_hints_only_small_sides(spark):
+    from orderlens.functions.joins import bounded_broadcast
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(bounded_broadcast(spark.range(10), max_rows=100))
+    assert not hinted(bounded_broadcast(spark.range(1000), max_rows=100))
