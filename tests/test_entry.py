@@ -41,3 +41,13 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert rows_of(sdf.columns, [tuple(r) for r in sdf.collect()]) == rows_of(dcols, res.fetchall())
+
+
+def test_no_query_plan_pairs_rows(spark):
+    """Scale guard: no registered query plans a Cartesian product or a
+    nested-loop join (they emit all pairs)."""
+    for name, fn in E.queries().items():
+        if name.startswith("stream_"):
+            continue  # runs a stream when called; its batch twin is order_metrics_1h
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
