@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import quality, url_filter
+from orderlens.llm import packing, quality, url_filter, warc
 from orderlens.llm.common import ship
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.range(1).select(F.inline(F.array(*(
+        F.struct(*(F.lit(v).alias(k) for k, v in zip(("host", "path", "verdict"), rule))) for rule in URL_RULES))))
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
 
@@ -32,9 +33,29 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op6_url_filter, op10_quality)}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), packing.public_vocabulary())
+    return packing.pack(pieces)
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder = warc.write_archives(pages)
+    history = warc.merge_runs(warc.read_runs(spark, folder))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op2_warc, op3_packing, op6_url_filter, op10_quality)}
 
 ORACLE = {
+    "op2_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f
+""",
     "op6_url_filter": """
 WITH rules(rhost, rpath, rverdict) AS (VALUES ('com','/','allow'), ('example.com','/en/','block'),
   ('www.example.com','/en/','allow'), ('net','/es/','block'), ('net','/fr/','block')),

@@ -62,9 +62,7 @@ def borders(rules: DataFrame) -> DataFrame:
     begins = active.groupBy("key").agg(stack.alias("stack"))
     left = F.collect_list(F.when(F.col("above") != F.col("key"), F.col("rule"))).cast(f"array<{RULE_TYPE}>")
     ends = active.groupBy("key").agg(left.alias("stack")).select(F.concat("key", F.unhex(F.lit("FF"))).alias("key"), "stack")
-    whole = rules.sparkSession.range(1).select(F.unhex(F.lit("")).alias("key"),
-                                               F.array().cast(f"array<{RULE_TYPE}>").alias("stack"))
-    return begins.unionByName(ends).unionByName(whole.join(begins, "key", "left_anti"))
+    return begins.unionByName(ends)
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow",
@@ -89,7 +87,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     swept = dealt.unionByName(marks, allowMissingColumns=True).withColumn(
         "stack", F.last("stack", ignorenulls=True).over(
             Window.partitionBy("lane").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)))
-    fits = F.filter("stack", lambda r: F.startswith(F.col("path"), r["path"]))
+    stack = F.coalesce("stack", F.array().cast(f"array<{RULE_TYPE}>"))  # null before the first border
+    fits = F.filter(stack, lambda r: F.startswith(F.col("path"), r["path"]))
     best = F.array_max(F.transform(fits, lambda r: F.struct(
         F.length(F.concat(r["host"], r["path"])).alias("n"), F.length(r["host"]).alias("h"),
         r["verdict"].alias("verdict"), F.concat(r["host"], r["path"]).alias("rule"))))
