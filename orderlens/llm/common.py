@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pathlib
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``saved``, as a Parquet table of its own under ``llm-tables`` in
+    the shared folder: smaller than a checkpoint and read by column. The
+    folder is left to its owner to clear once the result is written."""
+    path = f"{shared_folder(df.sparkSession)}/llm-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import packing, quality, substring, url_filter, warc
+from orderlens.llm import ngram_join, packing, quality, substring, url_filter, warc
 from orderlens.llm.common import ship
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -49,7 +49,11 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.cut_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_packing, op6_url_filter, op7_substring,
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_warc, op3_packing, op4_ngram_join, op6_url_filter, op7_substring,
                                   op10_quality)}
 
 ORACLE = {
