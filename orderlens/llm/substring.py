@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import saved
+from orderlens.llm.common import stored
 from orderlens.llm.words import U, Words, mix, signed, span_hashes, window_hashes, words_of
 
 WINDOW, GRAM = 20, 5
@@ -96,12 +96,13 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
                 anchor, run, owner, start, count = runs_of(words, window, gram)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(anchor)), pa.array(signed(run)), b.column(0).take(pa.array(owner + words.first)),
-                     pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
-                    ["anchor", "run", "id", "start", "windows"])
+                     pa.array(start << 16 | count)], ["anchor", "run", "id", "place"])
 
-    found = docs.mapInArrow(find_runs, f"anchor long, run long, id {id_type}, start int, windows int")
+    found = docs.mapInArrow(find_runs, f"anchor long, run long, id {id_type}, place long")
     shared = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    runs = saved(found.join(shared, "anchor"))
+    runs = stored(found.join(shared, "anchor").select(
+        "anchor", "run", "id", F.expr("cast(place >> 16 as int)").alias("start"),
+        F.expr("cast(place & 65535 as int)").alias("windows")))
     lead = runs.groupBy("run").agg(F.min("id").alias("lead"))
     led = runs.join(lead, "run")
     repeats = led.where("id > lead").select("id", "start", "windows")
