@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import ngram_join, packing, quality, substring, url_filter, warc
+from orderlens.llm import collision_search, ngram_join, packing, pq_dedup, quality, substring, url_filter, warc
 from orderlens.llm.common import ship
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -53,10 +53,32 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_packing, op4_ngram_join, op6_url_filter, op7_substring,
-                                  op10_quality)}
+def op1_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return collision_search.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op9_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_collision_search, op2_warc, op3_packing, op4_ngram_join, op6_url_filter, op7_substring,
+                                  op9_pq_dedup, op10_quality)}
 
 ORACLE = {
+    "op9_pq_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e)
+  WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+root AS (SELECT x, min(y) AS m FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, least(v.vec_id, coalesce(r.m, v.vec_id)) AS component_id,
+  v.vec_id = least(v.vec_id, coalesce(r.m, v.vec_id)) AS kept
+FROM v LEFT JOIN root r ON v.vec_id = r.x LEFT JOIN degree d ON v.vec_id = d.x
+""",
     "op2_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
