@@ -105,75 +105,69 @@ def buckets(kept: DataFrame) -> DataFrame:
             .agg(F.collect_list(F.struct("token", "blocks")).alias("tokens")))
 
 
-def common(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
-
-
-def incidence(rows: list[np.ndarray]) -> np.ndarray:
-    """Set by token matrix of the tokens that two or more of the sets hold."""
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    values, code, n = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    column = np.cumsum(n > 1) - 1
-    use = n[code] > 1
-    out = np.zeros((len(rows), int((n > 1).sum())), np.float32)
-    out[owner[use], column[code[use]]] = 1
+def padded(rows: list[np.ndarray], width: int, pad: int) -> np.ndarray:
+    out = np.full((len(rows), width), pad, np.int64)
+    for i, r in enumerate(rows):
+        out[i, : len(r)] = r
     return out
 
 
-def order_prefix(tokens: np.ndarray, seed: np.uint64) -> np.ndarray:
-    ranked = mix(tokens ^ seed)
-    return np.sort(np.partition(ranked, PREFIX)[:PREFIX] if len(ranked) > PREFIX else ranked)
-
-
-def links_in(token: int, ids: list, kept: list[np.ndarray], sets: list[np.ndarray], left: int,
+def links_in(token: int, kept: list[np.ndarray], sets: list[np.ndarray], left: int,
              percent: int = 80) -> list[tuple[int, int]]:
-    """Index pairs of the sets of one bucket that are linked, a spanning
-    forest of them. With ``left`` > 0 only pairs across place ``left``."""
+    """Index pairs of linked sets of one bucket, enough to connect all that
+    its links connect. With ``left`` > 0 only pairs across place ``left``.
+
+    Sets are taken by how common their prefix tokens are here, the most
+    typical first, each against all later ones not yet connected with it: a
+    large group of near copies is connected by its first sets, and only what
+    stays apart is compared on."""
     n = np.array([len(s) for s in sets])
     need = needed(n)
-    a, b = (np.arange(left), np.arange(left, len(sets))) if left else (np.arange(len(sets)),) * 2
-    shared = incidence([s[:PREFIX] for s in sets])
-    overlap = shared[a] @ shared[b].T
-    ok = overlap >= np.maximum(need[a][:, None], need[b][None])
-    ok &= np.minimum(n[a][:, None], n[b][None]) * 100 >= np.maximum(n[a][:, None], n[b][None]) * percent
-    if not left:
-        ok &= np.arange(len(sets))[:, None] < np.arange(len(sets))[None]
-    before = incidence([k[k < token] for k in kept])
-    if before.shape[1]:
-        ok &= before[a] @ before[b].T == 0
-    x, y = np.nonzero(ok)
-    best = np.argsort(-overlap[x, y], kind="stable")
-    root = list(range(len(sets)))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = i = root[root[i]]
-        return i
-
-    prefixes: dict[tuple[int, int], np.ndarray] = {}
-
-    def prefix(i, r):
-        if (i, r) not in prefixes:
-            prefixes[i, r] = order_prefix(sets[i], ORDERS[r])
-        return prefixes[i, r]
-
+    ptr = np.concatenate([[0], np.cumsum(n)])
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    own = [code[ptr[i] : ptr[i + 1]] for i in range(len(sets))]
+    pad = len(values)
+    prefixes = [padded([c[:PREFIX] for c in own], PREFIX, pad)]
+    for seed in ORDERS:
+        rank = mix(values ^ seed)
+        prefixes.append(padded([c[np.argpartition(rank[c], PREFIX)[:PREFIX]] if len(c) > PREFIX else c for c in own],
+                               PREFIX, pad))
+    earlier = [k[k < token] for k in kept]
+    tokens, code_k = np.unique(np.concatenate(earlier), return_inverse=True)
+    width = max(map(len, earlier))
+    before = padded(np.split(code_k, np.cumsum([len(k) for k in earlier])[:-1]), width, len(tokens))
+    mark, mark_k = np.zeros(pad + 1, bool), np.zeros(len(tokens) + 1, bool)
+    often = np.bincount(prefixes[0].ravel(), minlength=pad + 1)
+    often[pad] = 0
+    turn = np.argsort(-often[prefixes[0]].sum(1), kind="stable")
+    part, side = np.arange(len(sets)), np.arange(len(sets)) < left
     out = []
-    for i, j in zip(a[x[best]].tolist(), b[y[best]].tolist()):
-        p, q = find(i), find(j)
-        if p == q:
-            continue
-        least = max(need[i], need[j])
-        if any(common(prefix(i, r), prefix(j, r)) < least for r in range(len(ORDERS))):
+    for t, i in enumerate(turn[:-1]):
+        js = turn[t + 1 :]
+        js = js[part[js] != part[i]]
+        if left:
+            js = js[side[js] != side[i]]
+        js = js[np.minimum(n[js], n[i]) * 100 >= np.maximum(n[js], n[i]) * percent]
+        if width and len(js):  # a pair belongs to the bucket of its first common token
+            mark_k[before[i]] = True
+            mark_k[-1] = False
+            js = js[~mark_k[before[js]].any(1)]
+            mark_k[before[i]] = False
+        for p in prefixes:
+            if len(js):
+                mark[p[i]] = True
+                mark[pad] = False
+                js = js[mark[p[js]].sum(1) >= np.maximum(need[js], need[i])]
+                mark[p[i]] = False
+        if not len(js):
             continue
-        both = common(sets[i], sets[j])
-        if 100 * both >= percent * (n[i] + n[j] - both):
-            root[p] = q
-            out.append((i, j))
+        mark[own[i]] = True
+        both = np.add.reduceat(mark[np.concatenate([own[j] for j in js])].astype(np.int64),
+                               np.concatenate([[0], np.cumsum(n[js])[:-1]]))
+        mark[own[i]] = False
+        js = js[100 * both >= percent * (n[i] + n[js] - both)]
+        out += [(int(i), int(j)) for j in js]
+        part[np.isin(part, part[js])] = part[i]
     return out
 
 
@@ -228,7 +222,7 @@ def link_nodes(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
         if key[1] != key[2] and left in (0, len(group)):
             return
         ids = [g[1] for g in group]
-        pairs = links_in(key[0], ids, [g[2] for g in group], [g[3] for g in group], left)
+        pairs = links_in(key[0], [g[2] for g in group], [g[3] for g in group], left)
         if pairs:
             yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in pairs]), pa.array([ids[j] for _, j in pairs])],
                                              ["a", "b"])
