@@ -7,8 +7,8 @@ and what its codes stand for. A cosine of at least c is a distance of at most
 pairs:
 
 * Probes: a partner within r of y can lie in the cell of centroid c only if y
-  is within r of that side of the plane between c and y's own centroid. All
-  such cells are probed, however many.
+  is within r of c's side of the plane between c and any other centroid (the
+  ``RIVALS`` nearest to y are tried). All such cells are probed, however many.
 * Codes: a partner's table-lookup distance from y is at most r + e.
 
 The codebooks come from a bounded sample; every row is coded and compared.
@@ -27,8 +27,8 @@ from orderlens.llm.common import components, stored
 from orderlens.llm.vectors import as_doubles, cosines, key_groups, matrix, takes_part, units
 
 SAMPLE_ROWS = 8_192
-LIST_ROWS = 128  # rows of a list aimed at
-MOST_CELLS, SUBSPACES, CODES = 1_024, 8, 64
+LIST_ROWS, GROUP = 512, 16  # rows a cell aimed at; neighbouring cells dealt together
+MOST_CELLS, SUBSPACES, CODES, RIVALS = 1_024, 8, 64, 8
 BLOCK_ROWS, PROBES_AT_ONCE = 4_096, 256
 SLACK = 1e-6
 
@@ -38,9 +38,14 @@ class Books(NamedTuple):
     codes: list[np.ndarray]  # codewords of each subspace
     cuts: np.ndarray  # where the subspaces begin and end
 
-    def nearest_cells(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def probes(self, rows: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """Own cell of each row, and which cells it must probe."""
         d = squared(rows, self.cells)
-        return d, d.argmin(axis=1)
+        apart = 2 * np.sqrt(squared(self.cells, self.cells))
+        ok = np.ones(d.shape, bool)
+        for rival in np.argsort(d, axis=1, kind="stable")[:, :RIVALS].T:
+            ok &= d - d[np.arange(len(rows)), rival][:, None] <= apart[rival] * reach + SLACK
+        return d.argmin(axis=1), ok
 
     def encode(self, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of residuals, and how far what they stand for is off."""
@@ -65,9 +70,19 @@ def k_means(rows: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return centres
 
 
+def chained(centres: np.ndarray) -> np.ndarray:
+    """Each centroid followed by the nearest one not yet listed."""
+    d, order = squared(centres, centres), [0]
+    d[:, 0] = np.inf
+    while len(order) < len(centres):
+        order.append(int(d[order[-1]].argmin()))
+        d[:, order[-1]] = np.inf
+    return centres[order]
+
+
 def train(rows: np.ndarray, cells: int) -> Books:
     dim = rows.shape[1]
-    centres = k_means(rows, cells)
+    centres = chained(k_means(rows, cells))
     rest = rows - centres[squared(rows, centres).argmin(axis=1)]
     cuts = np.unique(np.linspace(0, dim, min(SUBSPACES, dim) + 1).astype(int))
     return Books(centres, [k_means(rest[:, a:b], CODES) for a, b in zip(cuts, cuts[1:])], cuts)
@@ -122,44 +137,46 @@ def class_links(classes: DataFrame, least: float) -> tuple[DataFrame, DataFrame]
 
     def assign(batches):
         for (dim,), b in key_groups(batches, 1):
-            rows = units(matrix(b.column(1)))
-            bk = book(dim)
-            d, cell = bk.nearest_cells(rows)
-            apart = np.sqrt(squared(bk.cells, bk.cells))[cell]
-            own_d = d[np.arange(len(rows)), cell][:, None]
-            probe = (d - own_d) <= 2 * apart * reach + SLACK
-            probe[np.arange(len(rows)), cell] = True
+            cell, ok = book(dim).probes(units(matrix(b.column(1))), reach)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(cell.astype(np.int32)),
-                 pa.array([np.flatnonzero(p).astype(np.int32) for p in probe], pa.list_(pa.int32()))],
-                [*b.schema.names, "cell", "probes"])
+                 pa.array([np.unique(np.flatnonzero(p) // GROUP).astype(np.int32) for p in ok], pa.list_(pa.int32()))],
+                [*b.schema.names, "cell", "groups"])
 
     label_type = classes.schema["label"].dataType.simpleString()
     columns = "dim int, v array<double>, h1 long, h2 long, rep long, copies long, label " + label_type
     dealt = stored(classes.select(F.size("v").alias("dim"), "v", "h1", "h2", "rep", "copies", "label")
-                   .mapInArrow(assign, f"{columns}, cell int, probes array<int>"))
-    size = dealt.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    held = dealt.drop("probes").join(size, ["label", "dim", "cell"]).withColumn(
+                   .mapInArrow(assign, f"{columns}, cell int, groups array<int>")
+                   .withColumn("group", F.expr(f"cast(cell div {GROUP} as int)")))
+    size = dealt.groupBy("label", "dim", "group").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    held = dealt.drop("groups").join(size, ["label", "dim", "group"]).withColumn(
         "block", F.pmod("h1", "blocks").cast("int")).withColumn("role", F.lit(0))
-    probes = (dealt.withColumn("cell", F.explode("probes")).drop("probes").join(size, ["label", "dim", "cell"])
+    probes = (dealt.withColumn("group", F.explode("groups")).drop("groups").join(size, ["label", "dim", "group"])
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("role", F.lit(1)))
-    key = ["label", "dim", "cell", "block"]
-    both = (held.unionByName(probes).select(*key, "role", "h1", "h2", "rep", "copies", "v").repartition(*key)
-            .sortWithinPartitions(*key, "role", "h1", "h2"))
+    key = ["label", "dim", "group", "block"]
+    both = (held.unionByName(probes).select(*key, "role", "cell", "h1", "h2", "rep", "copies", "v").repartition(*key)
+            .sortWithinPartitions(*key, "role", "cell", "h1", "h2"))
 
     def compare(batches):
-        at, parts, listed = None, [], None
+        at, parts, lists = None, [], None
         for k, b in key_groups(batches, 5):
             if k[:4] != at:
-                at, parts, listed = k[:4], [], None
-            rows = (*(b.column(c).to_numpy() for c in (5, 6, 7, 8)), matrix(b.column(9)))
+                at, parts, lists = k[:4], [], None
+            cell, *rows = (*(b.column(c).to_numpy() for c in (5, 6, 7, 8, 9)), matrix(b.column(10)))
             if k[4] == 0:
-                parts.append(rows)
+                parts.append((cell, *rows))
+                continue
+            if not parts:
                 continue
-            if parts:
-                listed = listed or List(book(at[1]), at[2], *map(np.concatenate, zip(*parts)))
-                for lo in range(0, len(rows[0]), PROBES_AT_ONCE):
-                    yield listed.probe(*(c[lo : lo + PROBES_AT_ONCE] for c in rows), reach, least)
+            if lists is None:
+                cells, *listed = map(np.concatenate, zip(*parts))
+                lists = {c: List(book(at[1]), c, *(x[cells == c] for x in listed)) for c in np.unique(cells)}
+            for lo in range(0, len(cell), PROBES_AT_ONCE):
+                part = [c[lo : lo + PROBES_AT_ONCE] for c in rows]
+                ok = book(at[1]).probes(units(part[-1]), reach)[1]
+                for c, listed in lists.items():
+                    if ok[:, c].any():
+                        yield listed.probe(*(x[ok[:, c]] for x in part), reach, least)
 
     found = stored(both.mapInArrow(compare, "h1 long, h2 long, links long, a long, b long"))
     degrees = found.where("links is not null").groupBy("h1", "h2").agg(F.sum("links").alias("links"))
@@ -197,7 +214,9 @@ class List:
             if len(joined) > 1:
                 edges += [(int(self.rep[mine[0]]), int(self.rep[j])) for j in joined]
                 self.part[np.isin(self.part, joined)] = joined[0]
-        n, e = len(rows), len(edges)
+        some = links > 0
+        h1, h2, links = h1[some], h2[some], links[some]
+        n, e = len(links), len(edges)
         return pa.RecordBatch.from_arrays(
             [pa.array([*h1.tolist(), *[None] * e], pa.int64()), pa.array([*h2.tolist(), *[None] * e], pa.int64()),
              pa.array([*links.tolist(), *[None] * e], pa.int64()),
