@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import collision_search, ngram_join, packing, pq_dedup, quality, substring, url_filter, warc
+from orderlens.llm import collision_search, maxent, ngram_join, packing, pq_dedup, quality, substring, url_filter, warc
 from orderlens.llm.common import ship
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -58,18 +58,22 @@ def op1_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_search.nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op8_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_texts(table(spark, sf_dir, "documents"), quality.in_fold(F.col("doc_id"), 7, 2))
+
+
 def op9_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_collision_search, op2_warc, op3_packing, op4_ngram_join, op6_url_filter, op7_substring,
+QUERIES = {f.__name__: f for f in (op1_collision_search, op2_warc, op3_packing, op4_ngram_join, op6_url_filter, op7_substring, op8_maxent,
                                   op9_pq_dedup, op10_quality)}
 
 ORACLE = {
     "op9_pq_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
 ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
-  AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e)
   WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
 reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
