@@ -120,20 +120,23 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", bits: int =
     """Columns ``keep`` of every row with ``score`` (0 to 1, higher: label 1
     likelier) of its whole text; null and empty texts score by the bias."""
     shipped = docs.sparkSession.sparkContext.broadcast(weights)  # 2**bits doubles: a fixed size
-    types = docs.select(*keep).schema
+    cols = [F.col(f"`{c}`") for c in keep]
+    if text not in keep:
+        cols.append(F.col(f"`{text}`").cast("string"))
+    at = keep.index(text) if text in keep else len(keep)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*cols[: len(keep)]).schema)
 
     def run(batches):
         w = shipped.value
         for b in batches:
-            for words in words_of(b.column(len(keep)), lower=False):
+            for words in words_of(b.column(at), lower=False):
                 out = np.array([w[i] @ v for _, i, v in text_features(words, bits)])
                 rows = slice(words.first, words.first + words.rows)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(k)[rows] for k in range(len(keep))] + [pa.array(1 / (1 + np.exp(-np.clip(out, -700, 700))))],
                     [*keep, "score"])
 
-    return docs.select(*keep, F.col(text).cast("string")).mapInArrow(
-        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in types) + ", score double")
+    return docs.select(*cols).mapInArrow(run, f"{kinds}, score double")
 
 
 def in_fold(doc_id: Column, mod: int, rest: int) -> Column:

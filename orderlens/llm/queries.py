@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import collision_search, maxent, ngram_join, packing, pq_dedup, quality, substring, url_filter, warc
+from orderlens.llm import collision_search, maxent, ngram_join, packing, pq_dedup, quality, segment, substring, url_filter, warc
 from orderlens.llm.common import ship
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -58,6 +58,12 @@ def op1_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_search.nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op5_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return segment.sample_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score_texts(table(spark, sf_dir, "documents"), quality.in_fold(F.col("doc_id"), 7, 2))
 
@@ -66,8 +72,8 @@ def op9_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_collision_search, op2_warc, op3_packing, op4_ngram_join, op6_url_filter, op7_substring, op8_maxent,
-                                  op9_pq_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_collision_search, op2_warc, op3_packing, op4_ngram_join, op5_segment, op6_url_filter, op7_substring,
+                                  op8_maxent, op9_pq_dedup, op10_quality)}
 
 ORACLE = {
     "op9_pq_dedup": """

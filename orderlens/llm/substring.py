@@ -150,7 +150,9 @@ def covered(words: Words, i: int, spans, whole: np.ndarray, window: int) -> np.n
 
 def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
                 gram: int = GRAM) -> DataFrame:
-    """doc_id, kept_text, n_words, n_removed, kept_sha256 of every document.
+    """doc_id, kept_text, n_words, n_removed, kept_sha256 of every document
+    (kept_text: the text as it was where nothing is cut; kept_sha256: of the
+    kept words, always joined by one space).
 
     Words are runs of other than ASCII white space, unchanged. Cut is each
     word covered by a window of ``window`` words whose word sequence also
@@ -187,7 +189,8 @@ def _cut_chunk(b: pa.RecordBatch, words: Words, window: int) -> pa.RecordBatch:
         gone = covered(words, i, span.values if span.is_valid else None, whole, window)
         at = np.flatnonzero(~gone) + words.ptr[i]
         kept = b" ".join(raw[s:e] for s, e in zip(words.starts[at].tolist(), words.ends[at].tolist()))
-        texts.append(kept)
+        text = b.column(1)[words.first + i]
+        texts.append(kept if len(at) < len(gone) else text.as_buffer().to_pybytes() if text.is_valid else None)
         n_words.append(len(gone))
         n_removed.append(int(gone.sum()))
         shas.append(hashlib.sha256(kept).hexdigest())
