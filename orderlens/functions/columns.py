@@ -37,6 +37,8 @@ def as_of_column(as_of, like: T.DataType | None = None) -> Column:
     elif isinstance(as_of, Column):
         c = as_of
     elif isinstance(as_of, _dt.datetime):
+        if as_of.tzinfo is not None:
+            as_of = as_of.astimezone(_dt.timezone.utc)
         c = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     else:
         c = F.lit(str(as_of)).cast("timestamp_ntz")
@@ -48,11 +50,14 @@ def as_of_column(as_of, like: T.DataType | None = None) -> Column:
 def parse_iso_timestamp(c: Column | str) -> Column:
     """ISO-8601 text to an instant; NULL for text that does not parse.
 
-    Accepts with and without fraction, ``+00:00`` and ``Z`` offsets. A
+    Accepts with and without fraction, ``+00:00`` and ``Z`` offsets. Date,
+    ``T`` and time must all be there: the cast alone would take a bare time
+    for today and a bare year for 1 January. A
     fixed pattern with a mandatory fraction would reject whole-second
     timestamps (and raise under ANSI mode).
     """
-    return F.try_to_timestamp(col_of(c))
+    text = col_of(c)
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}"), F.try_to_timestamp(text))
 
 
 def revenue_bucket(total: Column | str) -> Column:

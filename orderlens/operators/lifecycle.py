@@ -71,8 +71,9 @@ def illegal_transitions(df: DataFrame, chunk: str = "1 day", ts: str = "event_ti
     of an order must be order_created; then created -> item_added /
     confirmed / cancelled; confirmed -> shipped / cancelled; shipped ->
     delivered; delivered and cancelled are terminal. The previous status is
-    the last non-NULL status before the event (item_added has none)."""
-    with_status = df.withColumn("_status", lifecycle_status("event_type"))
+    the last non-NULL status before the event (item_added has none).
+    Events without an order id belong to no order and are left out."""
+    with_status = df.filter(F.col("order_id").isNotNull()).withColumn("_status", lifecycle_status("event_type"))
     prior = prior_non_null(with_status, "order_id", event_order(df, ts), ["_status"], chunk=chunk)
     prev = F.col("_status_prior")
     allowed = None

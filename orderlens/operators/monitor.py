@@ -115,11 +115,13 @@ def kpi_alerts(kpi_rows: DataFrame, threshold: float = S.KPI_CANCELLATION_ALERT_
 def revenue_trend(df: DataFrame, as_of=None, bucket: str = "5 minutes", buckets: int = 60,
                   ts: str = "event_timestamp") -> DataFrame:
     """O-51: revenue and order count of order_created events per bucket,
-    for the ``buckets`` buckets ending at as_of (buckets without orders are
-    absent)."""
+    for the last ``buckets`` buckets, of which the one that holds as_of is
+    counted up to it (buckets without orders are absent)."""
     ref = as_of_column(as_of, like=timestamp_type_of(df, ts))
     seconds = interval_seconds(bucket)
-    start = F.timestamp_micros(epoch_micros(ref) - buckets * seconds * 1_000_000).cast(timestamp_type_of(df, ts))
+    step = seconds * 1_000_000
+    last = F.ceil(epoch_micros(ref) / F.lit(step)) * F.lit(step)  # where the bucket of as_of ends
+    start = F.timestamp_micros((last - F.lit(buckets * step)).cast("long")).cast(timestamp_type_of(df, ts))
     orders = df.filter(_created() & (F.col(ts) >= start) & (F.col(ts) < ref))
     agg = orders.groupBy(F.window(ts, bucket).alias("window")).agg(
         F.sum(_total()).alias("revenue"), F.count("*").alias("order_count")

@@ -81,25 +81,27 @@ def sliding_metrics(
 # O-77: chained exact distinct (stream-legal; also valid in batch)
 # ---------------------------------------------------------------------------
 def _chained_base(df: DataFrame, ts: str, window: str, slide: str | None, region_col: str) -> DataFrame:
-    lvl1 = df.groupBy(_window(ts, window, slide), _region(region_col), "customer_id", "order_id").agg(
-        F.count("*").alias("n_events"),
-        F.sum(F.when(_created(), _total()).otherwise(0)).alias("revenue"),
-        F.sum(F.when(_created(), _total())).alias("created_sum"),
-        F.count(F.when(_created(), _total())).alias("created_n"),
-        F.sum(F.when(_cancelled(), 1).otherwise(0)).alias("n_cancelled"),
-        F.max(_created().cast("int")).alias("created_flag"),
-    )
-    return lvl1.groupBy("window", "region", "customer_id").agg(
-        F.sum("n_events").alias("n_events"),
-        F.count("order_id").alias("n_orders"),
-        F.sum("revenue").alias("revenue"),
-        F.sum("created_sum").alias("created_sum"),
-        F.sum("created_n").alias("created_n"),
-        F.sum("n_cancelled").alias("n_cancelled"),
-        F.max("created_flag").alias("created_flag"),
+    """One row per (window, region, order) and one per (window, region,
+    customer of a created order), so each distinct count has a level of its
+    own: an order whose events name several customers, or none, counts once.
+    The sums ride on the order rows."""
+    order = F.col("_kind") == "order"
+    entity = F.when(order, F.col("order_id")).otherwise(F.col("customer_id"))
+    both = df.withColumn("_kind", F.explode(F.array(F.lit("order"), F.lit("customer")))).filter(
+        order | (_created() & F.col("customer_id").isNotNull()))
+    return both.groupBy(_window(ts, window, slide), _region(region_col), "_kind", entity.alias("_entity")).agg(
+        F.count(F.when(order, 1)).alias("n_events"),
+        F.sum(F.when(order, F.when(_created(), _total()).otherwise(0))).alias("revenue"),
+        F.sum(F.when(order & _created(), _total())).alias("created_sum"),
+        F.count(F.when(order & _created(), _total())).alias("created_n"),
+        F.count(F.when(order & _cancelled(), 1)).alias("n_cancelled"),
     )
 
 
+def _distinct(kind: str) -> Column:
+    return F.count(F.when(F.col("_kind") == kind, F.col("_entity")))
+
+
 def tumbling_metrics_chained(
     df: DataFrame, window: str = "1 minute", ts: str = "event_timestamp", region_col: str = "shipping_province"
 ) -> DataFrame:
@@ -107,10 +109,10 @@ def tumbling_metrics_chained(
     lvl2 = _chained_base(df, ts, window, None, region_col)
     out = lvl2.groupBy("window", "region").agg(
         F.sum("n_events").alias("event_count"),
-        F.sum("n_orders").alias("order_count"),
+        _distinct("order").alias("order_count"),
         F.sum("revenue").alias("total_revenue"),
         (F.sum("created_sum") / F.sum("created_n")).alias("avg_order_value"),
-        F.count(F.when((F.col("created_flag") == 1) & F.col("customer_id").isNotNull(), 1)).alias("unique_customers"),
+        _distinct("customer").alias("unique_customers"),
         F.sum("n_cancelled").alias("cancelled_count"),
     )
     return out.withColumn("cancellation_rate", F.round(F.col("cancelled_count") / F.col("event_count"), 4))
@@ -125,24 +127,10 @@ def sliding_metrics_chained(
 ) -> DataFrame:
     lvl2 = _chained_base(df, ts, window, slide, region_col)
     return lvl2.groupBy("window", "region").agg(
-        F.sum("n_orders").alias("sliding_order_count"),
+        _distinct("order").alias("sliding_order_count"),
         F.sum("revenue").alias("sliding_total_revenue"),
         (F.sum("created_sum") / F.sum("created_n")).alias("sliding_avg_order_value"),
-        F.count(F.when((F.col("created_flag") == 1) & F.col("customer_id").isNotNull(), 1)).alias(
-            "sliding_unique_customers"
-        ),
-    )
-
-
-def approx_metrics(
-    df: DataFrame, window: str = "1 hour", ts: str = "event_timestamp", region_col: str = "shipping_province",
-    rsd: float = 0.01,
-) -> DataFrame:
-    """Wide windows at low state cost: HyperLogLog++ distinct counts."""
-    return df.groupBy(_window(ts, window, None), _region(region_col)).agg(
-        F.count("*").alias("event_count"),
-        F.approx_count_distinct("order_id", rsd).alias("order_count"),
-        F.approx_count_distinct(F.when(_created(), F.col("customer_id")), rsd).alias("unique_customers"),
+        _distinct("customer").alias("sliding_unique_customers"),
     )
 
 

@@ -16,11 +16,12 @@ def kafka_options(
     bootstrap_servers: str,
     topic: str = S.DEFAULT_TOPIC,
     starting_offsets: str = "latest",
-    max_offsets_per_trigger: int | None = S.MAX_OFFSETS_PER_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
     fail_on_data_loss: bool = False,
     extra: dict | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka source. Credentials and security settings go in
+    """Options of the Kafka source, without a rate limit unless the caller
+    sets one (a backlog must not age past the quality rules). Credentials and security settings go in
     ``extra`` (``kafka.``-prefixed), taken from configuration, never code."""
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -42,7 +43,7 @@ def read_raw_kafka(spark: SparkSession, options: dict[str, str], streaming: bool
     if not streaming:
         opts.pop("maxOffsetsPerTrigger", None)
         if opts.get("startingOffsets") == "latest":
-            opts["startingOffsets"] = "earliest"
+            raise ValueError("a batch read cannot start at 'latest': name 'earliest' or explicit offsets")
     return reader.format("kafka").options(**opts).load().select(*S.RAW_SCHEMA.fieldNames())
 
 

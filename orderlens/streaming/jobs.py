@@ -34,7 +34,7 @@ from orderlens.operators import windows as W
 from orderlens.operators.enrich import enrich_orders
 from orderlens.operators.parse import parse_events
 from orderlens.session import checkpoint_root
-from orderlens.tables.sinks import conform, order_events_rows, split_not_null
+from orderlens.tables.sinks import conform, not_null_violation, order_events_rows
 from orderlens.tables.store import TableStore
 
 log = logging.getLogger("orderlens.streaming")
@@ -45,6 +45,9 @@ class StreamSettings:
     watermark: str = S.WATERMARK_DELAY
     tumbling: str = "1 minute"
     sliding: tuple[str, str] = ("5 minutes", "2 minutes")
+    # Width of the cancellation-spike rule. At the width of ``tumbling`` the
+    # spikes come from its closed windows, else from a query of their own.
+    spike_window: str = "1 minute"
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     check_kwargs: dict = field(default_factory=dict)  # as_of / max_age / future_tolerance / strict
     large_order_threshold: float = S.LARGE_ORDER_THRESHOLD
@@ -71,8 +74,18 @@ def event_stream(raw: DataFrame) -> DataFrame:
     return parsed.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
 
 
+def checked_events(raw: DataFrame, check_kwargs: dict) -> DataFrame:
+    """Parsed events with their check result. What order_events cannot store
+    (NULL in a NOT NULL column) fails here, before every output, so the
+    tables, the quarantine, the quality row and the metrics agree."""
+    checked = Q.check_events(event_stream(raw), **check_kwargs)
+    result = F.col("quality_check_result")
+    unstorable = (result == Q.VALID) & not_null_violation(S.ORDER_EVENTS_SCHEMA)
+    return checked.withColumn("quality_check_result", F.when(unstorable, F.lit("sink_not_null")).otherwise(result))
+
+
 def valid_event_stream(raw: DataFrame, check_kwargs: dict) -> DataFrame:
-    valid, _ = Q.apply_quality_checks(event_stream(raw), **check_kwargs)
+    valid, _ = Q.split_checked(checked_events(raw, check_kwargs))
     return enrich_orders(valid)
 
 
@@ -96,15 +109,12 @@ def write_quarantine(invalid: DataFrame, store: TableStore, batch_id: int, setti
 
 def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, settings: StreamSettings) -> None:
     """All stateless outputs of one micro-batch from one parse."""
-    checked = Q.check_events(event_stream_batch(batch), **settings.check_kwargs).persist()
+    checked = checked_events(batch, settings.check_kwargs).persist()
     try:
         valid, invalid = Q.split_checked(checked)
-        # NOT NULL columns of order_events come straight from the parsed
-        # row, so the check runs before enrichment, in the parsed shape.
-        valid, not_null = split_not_null(valid, S.ORDER_EVENTS_SCHEMA)
         enriched = enrich_orders(valid)
         store.write("order_events", order_events_rows(enriched), "events", batch_id)
-        write_quarantine(invalid.unionByName(not_null), store, batch_id, settings)
+        write_quarantine(invalid, store, batch_id, settings)
         stamp = settings.detected_at
         quality = Q.quality_metrics(checked, check_timestamp=stamp)
         store.write("order_quality", conform(quality, S.ORDER_QUALITY_SCHEMA), "quality", batch_id)
@@ -114,11 +124,6 @@ def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, set
         checked.unpersist()
 
 
-def event_stream_batch(batch: DataFrame) -> DataFrame:
-    """A micro-batch of the raw stream, parsed (same as ``event_stream``)."""
-    return event_stream(batch)
-
-
 # ---------------------------------------------------------------------------
 # Stateful aggregations
 # ---------------------------------------------------------------------------
@@ -134,7 +139,7 @@ def sliding_stream(valid: DataFrame, settings: StreamSettings) -> DataFrame:
 
 def spikes_stream(valid: DataFrame, settings: StreamSettings) -> DataFrame:
     wm = valid.withWatermark("event_timestamp", settings.watermark)
-    return A.cancellation_spikes(wm, settings.spike_threshold, settings.tumbling)
+    return A.cancellation_spikes(wm, settings.spike_threshold, settings.spike_window)
 
 
 def write_metrics_batch(batch: DataFrame, batch_id: int, store: TableStore, settings: StreamSettings) -> None:
@@ -145,8 +150,10 @@ def write_metrics_batch(batch: DataFrame, batch_id: int, store: TableStore, sett
     rows = conform(batch, S.ORDER_METRICS_SCHEMA).persist()
     try:
         store.write("order_metrics", rows, "tumbling", batch_id)
-        spikes = A.spikes_from_metrics(rows, settings.spike_threshold)
-        store.write("order_anomalies", A.anomalies(spikes=spikes, detected_at=settings.detected_at), "spikes", batch_id)
+        if settings.spike_window == settings.tumbling:
+            spikes = A.spikes_from_metrics(rows, settings.spike_threshold)
+            store.write("order_anomalies", A.anomalies(spikes=spikes, detected_at=settings.detected_at), "spikes",
+                        batch_id)
     finally:
         rows.unpersist()
 
@@ -197,6 +204,10 @@ class OrderStreams:
         if "metrics" in s.outputs:
             self._start(tumbling_stream(valid, s), "order_metrics",
                         lambda b, i: write_metrics_batch(b, i, store, s))
+            if s.spike_window != s.tumbling:
+                self._start(spikes_stream(valid, s), "cancellation_spikes",
+                            _table_writer(store, "order_anomalies", "spikes",
+                                          lambda b: A.anomalies(spikes=b, detected_at=s.detected_at)))
         if "sliding" in s.outputs:
             self._start(sliding_stream(valid, s), "order_metrics_sliding",
                         _table_writer(store, "order_metrics_sliding", "sliding",
@@ -214,13 +225,14 @@ class OrderStreams:
             q.processAllAvailable()
 
     def await_termination(self, timeout: float | None = None) -> None:
-        """Block until any query ends; stop the rest and re-raise its error
-        (a failed query must not leave the others running unnoticed)."""
+        """Block until every query has ended (one that drains its input first
+        leaves the others running), or one has failed: then the rest are
+        stopped and its error is raised. At ``timeout`` all are stopped."""
         # Wait on these queries only: the session-wide awaitAnyTermination
         # also returns for queries other code ran (and stopped) earlier.
         end = None if timeout is None else time.monotonic() + timeout
         try:
-            while all(q.isActive for q in self.queries):
+            while any(q.isActive for q in self.queries) and all(q.exception() is None for q in self.queries):
                 if end is not None and time.monotonic() >= end:
                     break
                 time.sleep(0.5)

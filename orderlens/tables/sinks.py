@@ -41,7 +41,3 @@ def not_null_violation(schema: T.StructType) -> Column:
         out = out | c
     return out
 
-
-def split_not_null(rows: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    bad = not_null_violation(schema)
-    return rows.filter(~bad), rows.filter(bad).withColumn("failure_reason", F.lit("sink_not_null"))

@@ -1,6 +1,6 @@
 """Output tables: creation (O-08), hour partitioning (O-09), idempotent
-commits, as-of reads (O-60), snapshot listing (O-61), expiry (O-62),
-compaction (O-63) and schema evolution (O-64).
+commits, as-of reads (O-60), snapshot listing (O-61) and schema evolution
+(O-64); expiry (O-62) and compaction (O-63) where the table format has them.
 
 Two providers:
 
@@ -19,9 +19,9 @@ Two providers:
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +33,6 @@ from orderlens.session import checkpoint_root
 HOUR_COLUMN = "event_hour"
 COMMIT_COLUMN = "commit"
 COMMITTED_AT = "committed_at"
-BASE_COMMIT = "base"
 
 
 def commit_id(source: str, batch_id: int) -> str:
@@ -96,9 +95,16 @@ class TableStore:
     def write(self, table: str, rows: DataFrame, source: str, batch_id: int, committed_at=None) -> None:
         """Append one commit. Rows must already have the table's columns.
         Re-running the same (source, batch_id) replaces that commit."""
-        schema, ts_col = S.TABLES[table]
+        _, ts_col = S.TABLES[table]
+        schema = self.schema(table)
+        undeclared = sorted(set(rows.columns) - set(schema.fieldNames()))
+        if undeclared and self.provider != "iceberg":
+            raise ValueError(f"{table} has no column {', '.join(undeclared)}: add_column() declares it")
+        for f in schema.fields:
+            if f.name not in rows.columns and f.nullable:
+                rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
         if self.provider == "iceberg":
-            rows.select(*schema.fieldNames()).writeTo(self.qualified(table)).append()
+            rows.writeTo(self.qualified(table)).append()
             return
         stamp = as_of_column(committed_at).cast("timestamp") if committed_at is not None else F.current_timestamp()
         out = rows.select(*schema.fieldNames()).withColumns(
@@ -114,33 +120,33 @@ class TableStore:
          .parquet(f"{self.path(table)}/{COMMIT_COLUMN}={commit_id(source, batch_id)}"))
 
     # -- reads -------------------------------------------------------------
-    def read(self, table: str, merge_schema: bool = False) -> DataFrame:
-        """The table's rows (all commits). ``merge_schema`` reads commits
-        written before a column was added: old rows read NULL (O-64)."""
+    def read(self, table: str) -> DataFrame:
+        """The table's rows (all commits); rows written before a column was
+        added read NULL there (O-64)."""
         if self.provider == "iceberg":
             return self.spark.table(self.qualified(table))
-        schema, _ = S.TABLES[table]
-        full = T.StructType(schema.fields + [
+        full = T.StructType(self.schema(table).fields + [
             T.StructField(COMMITTED_AT, T.TimestampType()),
             T.StructField(HOUR_COLUMN, T.StringType()),
             T.StructField(COMMIT_COLUMN, T.StringType()),
         ])
         reader = self.spark.read.option("basePath", self.path(table))
-        if merge_schema:
-            return reader.option("mergeSchema", "true").parquet(self.path(table))
         return reader.schema(full).parquet(self.path(table))
 
     def read_as_of(self, table: str, timestamp=None, commit: str | None = None) -> DataFrame:
         """O-60: the table as it was at ``timestamp`` (rows committed at or
-        before it) or up to and including commit id ``commit``. Tables are
-        append-only, so this filter is exact."""
+        before it) or as it was when commit ``commit`` was made, whichever writers
+        committed before. Tables are append-only, so this filter is exact."""
         if self.provider == "iceberg":
             if commit is not None:
                 return self.spark.sql(f"SELECT * FROM {self.qualified(table)} VERSION AS OF {int(commit)}")
             return self.spark.sql(f"SELECT * FROM {self.qualified(table)} TIMESTAMP AS OF '{timestamp}'")
         df = self.read(table)
         if commit is not None:
-            return df.filter(F.col(COMMIT_COLUMN) <= commit)
+            timestamp = df.filter(F.col(COMMIT_COLUMN) == commit).agg(F.max(COMMITTED_AT).cast("string")).first()[0]
+            if timestamp is None:
+                raise ValueError(f"{table} has no commit {commit}")
+            return df.filter(F.col(COMMITTED_AT) <= F.lit(timestamp).cast("timestamp"))
         return df.filter(F.col(COMMITTED_AT) <= as_of_column(timestamp).cast("timestamp"))
 
     def snapshots(self, table: str) -> DataFrame:
@@ -153,126 +159,50 @@ class TableStore:
             .agg(F.min(COMMITTED_AT).alias(COMMITTED_AT), F.count("*").alias("rows"))
         )
 
-    # -- maintenance ---------------------------------------------------------
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _path(self, path: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _commit_path(self, table: str, cid: str) -> str:
-        return f"{self.path(table)}/{COMMIT_COLUMN}={cid}"
-
-    def _staging_path(self, table: str, cid: str) -> str:
-        return f"{self.path(table)}/_staging_{COMMIT_COLUMN}={cid}"
-
-    def _stage(self, table: str, target: str, sources: list[str], rows: DataFrame) -> None:
-        """Write ``rows`` (the union of commits ``sources``) as the future
-        commit ``target``, then publish it: manifest, delete the sources,
-        rename. A crash at any point leaves either the old commits or a
-        complete staging folder that ``recover`` finishes."""
-        staged = self._staging_path(table, target)
-        rows.write.mode("overwrite").partitionBy(HOUR_COLUMN).parquet(staged)
-        fs, _ = self._fs(staged)
-        out = fs.create(self._path(f"{staged}/_sources"), True)
-        out.write(bytearray("\n".join(sources).encode()))
-        out.close()
-        self._publish(table, target)
-
-    def _publish(self, table: str, target: str) -> None:
-        staged = self._staging_path(table, target)
-        fs, _ = self._fs(staged)
-        stream = fs.open(self._path(f"{staged}/_sources"))
-        sources = []
-        line = stream.readLine()
-        while line is not None:
-            if line:
-                sources.append(line)
-            line = stream.readLine()
-        stream.close()
-        for cid in sources:
-            fs.delete(self._path(self._commit_path(table, cid)), True)
-        fs.rename(self._path(staged), self._path(self._commit_path(table, target)))
-
-    def recover(self, table: str) -> list[str]:
-        """Finish maintenance interrupted by a crash: a staging folder that is
-        complete (data committed and source manifest written) holds exactly
-        the rows of its source commits, so it is published; an incomplete one
-        is dropped (its sources are untouched). Returns the commits touched."""
-        fs, p = self._fs(self.path(table))
-        if not fs.exists(p):
-            return []
-        touched = []
-        prefix = f"_staging_{COMMIT_COLUMN}="
-        for status in fs.listStatus(p):
-            name = status.getPath().getName()
-            if not (status.isDirectory() and name.startswith(prefix)):
-                continue
-            target = name[len(prefix):]
-            staged = status.getPath().toString()
-            if fs.exists(self._path(f"{staged}/_SUCCESS")) and fs.exists(self._path(f"{staged}/_sources")):
-                self._publish(table, target)
-            else:
-                fs.delete(status.getPath(), True)
-            touched.append(target)
-        return touched
+    # -- maintenance: the table format's own procedures --------------------
+    def expire_snapshots(self, table: str, older_than=None, keep_last: int = 1) -> None:
+        """O-62: forget snapshots older than ``older_than`` (default: 7 days
+        before now), keeping the newest ``keep_last``; live rows stay."""
+        self._needs_iceberg("expiring snapshots")
+        cutoff = f"TIMESTAMP '{older_than}'" if older_than is not None else "current_timestamp() - INTERVAL 7 DAYS"
+        self.spark.sql(f"CALL {self.catalog}.system.expire_snapshots(table => '{self.qualified(table)}', "
+                       f"older_than => {cutoff}, retain_last => {int(keep_last)})")
+
+    def compact(self, table: str, target_bytes: int = S.COMPACTION_TARGET_BYTES) -> None:
+        """O-63: bin-pack data files to about ``target_bytes`` each."""
+        self._needs_iceberg("compaction")
+        self.spark.sql(f"CALL {self.catalog}.system.rewrite_data_files(table => '{self.qualified(table)}', "
+                       f"strategy => 'binpack', options => map('target-file-size-bytes', '{int(target_bytes)}'))")
+
+    def _needs_iceberg(self, what: str) -> None:
+        if self.provider != "iceberg":
+            raise NotImplementedError(f"{what} needs the iceberg provider: plain Parquet folders are append-only")
 
-    def expire_snapshots(self, table: str, older_than=None, keep_last: int = 1) -> int:
-        """O-62: forget commit history older than ``older_than`` (default:
-        7 days before now). The expired commits' rows are rewritten into
-        one base commit (committed_at = the newest merged commit), so live
-        rows stay and only the history before that point is lost. The newest
-        ``keep_last`` commits are never merged. Returns commits merged."""
+    def add_column(self, table: str, name: str, data_type: str) -> None:
+        """O-64: add an optional column. Parquet: the column is recorded
+        beside the table, later writes store it and old rows read NULL;
+        Iceberg alters the table metadata."""
         if self.provider == "iceberg":
-            ts = older_than or "current_timestamp() - INTERVAL 7 DAYS"
-            self.spark.sql(f"CALL {self.catalog}.system.expire_snapshots(table => '{self.qualified(table)}', "
-                           f"older_than => TIMESTAMP '{ts}')" if older_than else
-                           f"CALL {self.catalog}.system.expire_snapshots(table => '{self.qualified(table)}')")
-            return -1
-        self.recover(table)
-        cutoff = (as_of_column(older_than).cast("timestamp") if older_than is not None
-                  else F.current_timestamp() - F.expr("INTERVAL 7 DAYS"))
-        commits = self.snapshots(table).filter(F.col(COMMIT_COLUMN) != BASE_COMMIT)
-        newest = [r[COMMIT_COLUMN] for r in commits.orderBy(F.desc(COMMITTED_AT)).limit(keep_last).collect()]
-        old = commits.filter((F.col(COMMITTED_AT) < cutoff) & ~F.col(COMMIT_COLUMN).isin(*newest))
-        old_ids = [r[COMMIT_COLUMN] for r in old.select(COMMIT_COLUMN).collect()]  # one row per commit
-        if not old_ids:
-            return 0
-        merge = [BASE_COMMIT, *old_ids]
-        rows = self.read(table).filter(F.col(COMMIT_COLUMN).isin(*merge))
-        stamp = rows.agg(F.max(COMMITTED_AT)).first()[0]
-        schema, _ = S.TABLES[table]
-        merged = rows.select(*schema.fieldNames(), HOUR_COLUMN).withColumn(COMMITTED_AT, F.lit(stamp))
-        self._stage(table, BASE_COMMIT, merge, merged)
-        return len(old_ids)
+            self.spark.sql(f"ALTER TABLE {self.qualified(table)} ADD COLUMN {name} {data_type}")
+            return
+        if name not in self.schema(table).fieldNames():
+            row = self.spark.range(1).select(F.lit(name).alias("name"), F.lit(data_type).alias("type"))
+            row.coalesce(1).write.mode("append").parquet(self._columns_path(table))
 
-    def compact(self, table: str, commit: str, target_bytes: int = S.COMPACTION_TARGET_BYTES) -> dict:
-        """O-63: bin-pack one closed commit's files to about ``target_bytes``
-        each, per hour partition. Content is unchanged; the rewrite goes to a
-        staging folder and replaces the commit when complete."""
-        if self.provider == "iceberg":
-            self.spark.sql(f"CALL {self.catalog}.system.rewrite_data_files(table => '{self.qualified(table)}', "
-                           f"strategy => 'binpack', options => map('target-file-size-bytes', '{int(target_bytes)}'))")
-            return {}
-        self.recover(table)
-        src = self._commit_path(table, commit)
-        fs, p = self._fs(src)
-        summary = fs.getContentSummary(p)
-        before, size = summary.getFileCount(), summary.getLength()
-        n_files = max(1, math.ceil(size / target_bytes))
-        _, ts_col = S.TABLES[table]
-        rows = self.spark.read.option("basePath", src).parquet(src)
-        # Range partitioning on (hour, time) packs small hours together and
-        # splits a large hour over several files, so no hour is one task.
-        self._stage(table, commit, [commit], rows.repartitionByRange(n_files, HOUR_COLUMN, ts_col))
-        after = fs.getContentSummary(p).getFileCount()
-        return {"files_before": int(before), "files_after": int(after), "bytes": int(size)}
+    def _columns_path(self, table: str) -> str:
+        # a hidden folder to readers of the root, and no part of any table
+        return f"{self.root.rstrip('/')}/_columns/{table}"
 
-    def add_column(self, table: str, name: str, data_type: str) -> None:
-        """O-64: add an optional column. Parquet folders need no rewrite (old
-        files read NULL with ``read(merge_schema=True)``); Iceberg alters the
-        table metadata."""
+    def schema(self, table: str) -> T.StructType:
+        """The table's declared columns and those added since."""
+        declared, _ = S.TABLES[table]
         if self.provider == "iceberg":
-            self.spark.sql(f"ALTER TABLE {self.qualified(table)} ADD COLUMN {name} {data_type}")
+            return declared
+        try:
+            added = self.spark.read.schema("name string, type string").parquet(self._columns_path(table)).collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            added = []
+        extra = {r["name"]: r["type"] for r in added}  # one row per added column
+        return T.StructType(declared.fields + [T.StructField(n, T.DataType.fromDDL(extra[n])) for n in sorted(extra)])

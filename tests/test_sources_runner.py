@@ -2,8 +2,10 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.operators import anomalies as A
+from orderlens.operators.enrich import enrich_orders
 from orderlens.operators.parse import parse_events
 from orderlens.sources.raw import kafka_options, read_raw_files, read_raw_kafka
 from orderlens.streaming.jobs import OrderStreams, StreamSettings
@@ -14,7 +16,7 @@ from tests.helpers import events
 def test_kafka_options_and_missing_connector(spark):
     opts = kafka_options("broker:9092")
     assert opts == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "orders.created",
-                    "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000"}
+                    "startingOffsets": "latest", "failOnDataLoss": "false"}
     extra = kafka_options("b:1", extra={"kafka.security.protocol": "SASL_SSL"}, max_offsets_per_trigger=None)
     assert "maxOffsetsPerTrigger" not in extra and extra["kafka.security.protocol"] == "SASL_SSL"
     with pytest.raises(Exception, match="(?i)kafka"):
@@ -140,11 +142,58 @@ def test_backfill_region_stream_and_payload_kept(spark, tmp_dir):
     assert json.loads(stored["e1"])["gift_wrap"] is True
 
 
-def test_bounded_broadcast_hints_only_small_sides(spark):
-    from orderlens.functions.joins import bounded_broadcast
+def test_dirty_input_edges(spark):
+    import datetime as dt
+
+    from orderlens.functions.columns import as_of_column, parse_iso_timestamp
+    from orderlens.operators.lifecycle import illegal_transitions
+    from orderlens.operators.windows import tumbling_metrics, tumbling_metrics_chained
+
+    aware = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone(dt.timedelta(hours=5)))
+    texts = ["10:30:00", "2025", "2025-01-15T10:30:00+00:00", "2025-01-15T10:30:00.123Z", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select(
+        "i", parse_iso_timestamp("t").isNotNull().alias("ok"), as_of_column(aware).cast("string").alias("at")).orderBy("i").collect()
+    assert [r.ok for r in got] == [False, False, True, True, False] and got[0]["at"] == "2024-01-01 07:00:00"
+    with pytest.raises(ValueError):
+        read_raw_kafka(spark, kafka_options("b:1"), streaming=False)
+
+    rows = [{"event_id": f"e{i}", "order_id": o, "customer_id": c, "event_type": k, "ts": "2024-01-01 10:00:00", "total": 1.0,
+             "province": "P"} for i, (o, c, k) in enumerate([("o1", "c1", "order_created"), ("o1", None, "order_confirmed"),
+                                                              ("o2", None, "order_created"), (None, "c3", "order_shipped"),
+                                                              (None, "c1", "order_shipped")])]
+    ev = events(spark, rows)
+    assert illegal_transitions(ev).collect() == []
+    enriched = enrich_orders(ev)
+    both = [f(enriched).select("window", "order_count", "unique_customers", "total_revenue", "event_count").collect()
+            for f in (tumbling_metrics, tumbling_metrics_chained)]
+    assert both[0] == both[1] and both[0][0].order_count == 2
+    again = events(spark, [{"event_id": f"e{i % 3}", "order_id": f"o{i % 3}", "customer_id": "c", "ts": "2024-01-01 10:00:00", "total": 1.0}
+                           for i in range(12)])
+    assert A.rapid_fire(again, n=2).count() == 3 and A.rapid_fire(again, n=3).count() == 0
+
+
+def test_every_query_finishes_and_outputs_agree(spark, tmp_dir):
+    import datetime as dt
 
-    def hinted(df):
-        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+    from orderlens import schemas as S
 
-    assert hinted(bounded_broadcast(spark.range(10), max_rows=100))
-    assert not hinted(bounded_broadcast(spark.range(1000), max_rows=100))
+    t = dt.datetime(2024, 1, 1, 10, 0)
+    msgs = []
+    for i, (kind, customer) in enumerate([("order_created", "c"), (None, "c"), ("order_created", None), ("order_created", "d")]):
+        body = {"event_id": f"e{i}", "event_type": kind, "order_id": f"o{i}", "customer_id": customer,
+                "timestamp": (t + dt.timedelta(seconds=i)).isoformat() + "+00:00", "payload": {"total_amount": 5.0}}
+        msgs.append((b"k", json.dumps(body).encode(), "t", 0, i, t))
+    for part in range(4):
+        spark.createDataFrame(msgs[part : part + 1], S.RAW_SCHEMA).coalesce(1).write.parquet(os.path.join(tmp_dir, "src", str(part)))
+    store = TableStore(spark, root=os.path.join(tmp_dir, "t"))
+    settings = StreamSettings(trigger={"availableNow": True}, outputs=("events", "metrics"),
+                              check_kwargs={"as_of": "2024-01-02 00:00:00", "max_age": "2 days"})
+    jobs = OrderStreams(spark, read_raw_files(spark, os.path.join(tmp_dir, "src", "*"), max_files_per_trigger=1), store, settings,
+                        checkpoint_dir=os.path.join(tmp_dir, "c"))
+    jobs.start()
+    jobs.await_termination(timeout=240)
+    assert sorted(r.event_id for r in store.read("order_events").collect()) == ["e0", "e3"]
+    q = store.read("order_quality").agg(F.sum("records_checked"), F.sum("records_valid"), F.sum("records_invalid")).first()
+    assert tuple(q) == (4, 2, 2)  # as many as are stored and quarantined
+    held = spark.read.parquet(os.path.join(tmp_dir, "t", "order_quarantine"))
+    assert [r.failure_reason for r in held.collect()] == ["sink_not_null"] * 2
