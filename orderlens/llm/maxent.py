@@ -19,6 +19,8 @@ the tokens of a text beyond them are joined with the table of counts.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +34,7 @@ HEAD = 1 << 18
 BATCH, RATE = 4096, 0.3
 END, START = mix(np.array([3, 5], U))
 FLUSH = 1 << 20
+CLASS_OF = (1 + mix(np.arange(1 << 16, dtype=U)) % U(CLASSES - 1)).astype(np.int64)  # of a word's last two bytes
 
 
 class Tokens:
@@ -43,9 +46,14 @@ class Tokens:
         self.ptr = np.concatenate([[0], np.cumsum(n)])
         self.hash = np.insert(words.hashes, words.ptr[1:], END)
         self.owner = np.repeat(np.arange(words.rows), n)
-        last = words.data[words.ends - 1].astype(U)
-        last += words.data[np.maximum(words.ends - 2, words.starts)].astype(U) << U(8)
-        self.cls = np.insert((1 + mix(last) % U(CLASSES - 1)).astype(np.int64), words.ptr[1:], 0)
+        self.words = words
+
+    @functools.cached_property
+    def cls(self) -> np.ndarray:
+        words = self.words
+        last = words.data[words.ends - 1].astype(np.int64)
+        last += words.data[np.maximum(words.ends - 2, words.starts)].astype(np.int64) << 8
+        return np.insert(CLASS_OF[last], words.ptr[1:], 0)
 
     def features(self) -> np.ndarray:
         one, two = np.roll(self.hash, 1), np.roll(self.hash, 2)
@@ -62,12 +70,16 @@ def tokens_of(column: pa.Array):
         yield Tokens(words)
 
 
-def class_scores(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Natural log probability of every class for each row of features."""
-    out = weights[features[:, 0]] + weights[features[:, 1]] + weights[features[:, 2]] + bias
+def class_weights(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(score - highest score) of every class for each row of features, and
+    the rows' sums: their ratio is the probability of the class."""
+    out = np.take(weights, features[:, 0], axis=0)
+    out += np.take(weights, features[:, 1], axis=0)
+    out += np.take(weights, features[:, 2], axis=0)
+    out += bias
     out -= out.max(axis=1, keepdims=True)
-    out -= np.log(np.exp(out).sum(axis=1, keepdims=True))
-    return out
+    np.exp(out, out=out)
+    return out, out.sum(axis=1)
 
 
 class Learner:
@@ -81,7 +93,8 @@ class Learner:
     def learn(self, features: np.ndarray, cls: np.ndarray) -> None:
         for lo in range(0, len(cls), BATCH):
             f, y = features[lo : lo + BATCH], cls[lo : lo + BATCH]
-            g = np.exp(class_scores(self.w, self.b, f))
+            g, total = class_weights(self.w, self.b, f)
+            g /= total[:, None]
             g[np.arange(len(y)), y] -= 1
             flat = f.ravel()
             order = np.argsort(flat, kind="stable")
@@ -234,9 +247,11 @@ def score_texts(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "
                 at, known = head(t, tokens)
                 gain = np.where(known, logs[at] if len(logs) else 0.0, 0.0)
                 features = t.features()
-                part = np.concatenate([
-                    class_scores(w, bias_, features[lo : lo + BATCH])[np.arange(len(y)), y].astype(np.float64)
-                    for lo in range(0, len(t.cls), BATCH) for y in (t.cls[lo : lo + BATCH],)])
+                part = np.empty(len(t.cls))
+                for lo in range(0, len(part), BATCH):
+                    y = t.cls[lo : lo + BATCH]
+                    each, total = class_weights(w, bias_, features[lo : lo + BATCH])
+                    part[lo : lo + BATCH] = np.log(np.maximum(each[np.arange(len(y)), y], 1e-38)) - np.log(total)
                 rows = slice(t.first, t.first + t.rows)
                 each = [np.add.reduceat(x, t.ptr[:-1]) for x in (known.astype(np.int64), gain, part / np.log(10) - whole_[t.cls])]
                 yield pa.RecordBatch.from_arrays(
