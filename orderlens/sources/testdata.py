@@ -170,13 +170,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity, 2), subtotal = round(extendedprice, 2).
     """
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    df = li.join(part, li.l_partkey == part.p_partkey, "left")
-    return df.select(
+    return li.select(
         F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")).alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
         F.concat(F.lit("P-"), F.col("l_partkey").cast("string")).alias("product_id"),
-        F.col("p_name").alias("product_name"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"),
         F.round(F.col("l_extendedprice"), 2).alias("subtotal"),
