@@ -42,7 +42,7 @@ def count_in_trailing_range(
     width_us = interval_seconds(width) * 1_000_000
     base = df.select(F.col(key).alias("_k"), epoch_micros(ts).alias("_t"), F.col(row_id).alias("_id")).filter(
         F.col("_k").isNotNull() & F.col("_t").isNotNull()
-    )
+    ).distinct()  # a row delivered again counts once
     base = base.withColumn("_b", bucket_of_micros(F.col("_t"), width_us))
     real = base.select("_k", "_b", "_t", "_id", F.lit(1).alias("_real"))
     probe = base.select(
