@@ -39,7 +39,8 @@ def kpis(df: DataFrame, as_of=None, ts: str = "event_timestamp", rate_window_s:
     cancellation_rate = round(cancellations / orders, 4) (0 without orders;
     orders are the denominator here, unlike the window metrics);
     total_events_processed in the last hour; active_orders (replayed status
-    not terminal); avg_processing_latency_ms of the latest event.
+    not terminal); avg_processing_latency_ms of the latest event of the last
+    hour. Only the order states read further back than that hour.
 
     Two aggregations (the event counters, and order states) each end in one
     row; they are combined by a union and a one-row merge, not a join.
@@ -51,7 +52,8 @@ def kpis(df: DataFrame, as_of=None, ts: str = "event_timestamp", rate_window_s:
     in_min = t_us >= ref_us - rate_window_s * 1_000_000
     in_hour = t_us >= ref_us - total_window_s * 1_000_000
     has_latency = "processing_time" in df.columns
-    counters = upto.agg(
+    recent = upto.filter(F.col(ts) >= ref - F.expr(f"INTERVAL {int(total_window_s)} SECONDS"))
+    counters = recent.agg(
         F.count_if(in_min).alias("_n_min"),
         F.min(F.when(in_min, t_us)).alias("_first_min_us"),
         F.count_if(in_hour & _created()).alias("orders_last_hour"),

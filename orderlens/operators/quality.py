@@ -331,6 +331,22 @@ def quarantine_messages(invalid: DataFrame) -> DataFrame:
     )
 
 
+def quarantine_rows(invalid: DataFrame, quarantined_at=None) -> DataFrame:
+    """Quarantine records as order_quarantine rows."""
+    return invalid.select(
+        F.col("order_id").cast("string").alias("key"),
+        F.to_json(F.struct(*[F.col(c) for c in invalid.columns])).alias("value"),
+        "failure_reason",
+        F.col("event_timestamp").cast("timestamp").alias("event_timestamp"),
+        as_of_column(quarantined_at).cast("timestamp").alias("quarantined_at"),
+    )
+
+
+# What a replay needs of the row stored in a quarantine record.
+QUARANTINED_FIELDS = ("message_key STRING, raw_value STRING, kafka_topic STRING, kafka_partition INT, "
+                      "kafka_offset BIGINT, kafka_timestamp TIMESTAMP, failure_reason STRING")
+
+
 def replay_quarantine(
     quarantined: DataFrame,
     repair: Callable[[DataFrame], DataFrame] | None = None,
@@ -345,15 +361,14 @@ def replay_quarantine(
     """
     from orderlens.operators.parse import parse_events
 
-    j = lambda path: F.get_json_object("value", path)
-    raw = quarantined.select(
-        j("$.message_key").cast("binary").alias("key"),
-        j("$.raw_value").cast("binary").alias("value"),
-        j("$.kafka_topic").alias("topic"),
-        j("$.kafka_partition").cast("int").alias("partition"),
-        j("$.kafka_offset").cast("long").alias("offset"),
-        j("$.kafka_timestamp").cast("timestamp").alias("timestamp"),
-        j("$.failure_reason").alias("previous_failure_reason"),
+    raw = quarantined.select(F.from_json("value", QUARANTINED_FIELDS).alias("row")).select(
+        F.col("row.message_key").cast("binary").alias("key"),
+        F.col("row.raw_value").cast("binary").alias("value"),
+        F.col("row.kafka_topic").alias("topic"),
+        F.col("row.kafka_partition").alias("partition"),
+        F.col("row.kafka_offset").alias("offset"),
+        F.col("row.kafka_timestamp").alias("timestamp"),
+        F.col("row.failure_reason").alias("previous_failure_reason"),
     )
     reparsed = parse_events(raw, carry=("previous_failure_reason",))
     if repair is not None:

@@ -6,13 +6,11 @@ aggregation on (keys, distinct value) followed by a final merge, so a hot
 region (NULL region holds most non-order events) is pre-aggregated on the
 map side instead of landing whole in one task.
 
-A stream refuses ``count_distinct``. The chained form groups three times:
-(window, region, customer, order) -> (window, region, customer) ->
+A stream refuses ``count_distinct``. The chained form groups twice:
+(window, region, order) and (window, region, customer), side by side, then
 (window, region). Every level carries counts and sums only (never an
 average or a collected set), so every level is partial-aggregated and the
-state per key stays a few numbers. It is exact when an order belongs to one
-customer, which the event model guarantees (the producer keys every event of
-an order with the order's customer).
+state per key stays a few numbers.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ different order; the operators themselves return exact values.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,14 @@ from orderlens.operators import lifecycle as L
 from orderlens.operators import monitor as M
 from orderlens.operators import quality as Q
 from orderlens.operators import windows as W
+from orderlens import schemas as S
 from orderlens.operators.parse import parse_events
 from orderlens.plans import batch as B
 from orderlens.plans import oracle as O
-from orderlens.session import materialize
+from orderlens.session import checkpoint_root
 from orderlens.sources import testdata as T
+from orderlens.tables.sinks import conform
+from orderlens.tables.store import TableStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -165,8 +169,13 @@ def quarantine_alerts(spark, sf_dir):
     return Q.quarantine_alerts(quality_metrics_daily(spark, sf_dir))
 
 
+def _items_sql(cond: str) -> str:
+    return f"len(list_filter(items, lambda x: {cond})) > 0"
+
+
 _RULE_CONDS = [
     ("no_null_order_ids", "critical", "order_id IS NULL"),
+    ("positive_quantity", "critical", _items_sql("x.quantity <= 0")),
     ("valid_event_type", "critical", f"NOT (event_type IN {O.VALID_TYPES_SQL})"),
     ("reasonable_revenue", "warning", "total_amount < 0.01 OR total_amount > 50000.0"),
     ("timestamp_not_future", "warning", f"event_timestamp > {O.AS_OF_SQL} + INTERVAL 300 SECOND"),
@@ -202,6 +211,10 @@ _CONTRACT = [
     ("event_id_not_uuid", f"NOT regexp_matches(event_id, {_UUID})"),
     ("order_id_not_uuid", f"NOT regexp_matches(order_id, {_UUID})"),
     ("event_type_not_allowed", f"NOT (event_type IN {O.VALID_TYPES_SQL})"),
+    ("item_field_missing", _items_sql("x.product_id IS NULL OR x.product_name IS NULL OR x.quantity IS NULL "
+                                      "OR x.unit_price IS NULL OR x.subtotal IS NULL")),
+    ("item_quantity_below_1", _items_sql("x.quantity < 1")),
+    ("item_price_negative", _items_sql("x.unit_price < 0 OR x.subtotal < 0")),
     ("total_negative", "total_amount < 0"),
     ("currency_not_eur", "currency <> 'EUR'"),
     ("payment_method_not_allowed",
@@ -219,7 +232,7 @@ def _contract_sql():
 @register("contract_violations", _contract_sql())
 def contract_violations(spark, sf_dir):
     """O-14: violated clauses of the published event contract, per parsed
-    message (item clauses cannot fire here: adapter events carry no items)."""
+    message."""
     v = Q.contract_violations(_parsed(spark, sf_dir))
     return v.select("kafka_offset", F.concat_ws(",", "contract_violations").alias("violations"),
                     F.size("contract_violations").alias("n_violations"))
@@ -249,11 +262,26 @@ FROM h LEFT JOIN per ON h.order_id = per.order_id
 WHERE abs(round(coalesce(per.s, 0), 2) - h.total_amount) >= 0.01 OR coalesce(per.bad, 0) > 0""",
 )
 def items_total_mismatch(spark, sf_dir):
-    """O-15 over orders + lineitem + part: orders whose lines do not add up
-    to the order total, or with a non-positive quantity or price."""
+    """O-15 over orders + lineitem: orders whose lines do not add up to the
+    order total, or with a non-positive quantity or price."""
     return Q.reconcile_order_lines(T.order_headers(spark, sf_dir), T.order_lines(spark, sf_dir))
 
 
+@register(
+    "items_total_mismatch_nested",
+    O.with_parsed("""
+SELECT event_id, order_id, items_total, bad_item_count FROM (
+  SELECT *, round(list_sum(list_transform(items, lambda x: coalesce(x.subtotal, 0.0))), 2) AS items_total,
+         CAST(coalesce(len(list_filter(items, lambda x: x.quantity <= 0 OR x.unit_price <= 0)), 0) AS INTEGER)
+           AS bad_item_count
+  FROM parsed WHERE event_type = 'order_created'
+) WHERE abs(items_total - total_amount) >= 0.01 OR bad_item_count > 0"""),
+)
+def items_total_mismatch_nested(spark, sf_dir):
+    """O-15 over the items inside the parsed messages."""
+    return Q.items_total_mismatch(_parsed(spark, sf_dir)).select("event_id", "order_id", "items_total", "bad_item_count")
+
+
 # ---------------------------------------------------------------------------
 # Anomalies
 # ---------------------------------------------------------------------------
@@ -440,7 +468,7 @@ c AS (
          sum(total_amount) FILTER (WHERE t_us >= ref_us - 3600000000 AND event_type = 'order_created') AS rev,
          count(*) FILTER (WHERE t_us >= ref_us - 3600000000 AND event_type = 'order_cancelled') AS canc,
          count(*) FILTER (WHERE t_us >= ref_us - 3600000000) AS total_events_processed,
-         arg_max({_LAT_SQL}, processing_time) AS lat
+         arg_max({_LAT_SQL}, processing_time) FILTER (WHERE t_us >= ref_us - 3600000000) AS lat
   FROM upto
 ),
 s AS (
@@ -618,14 +646,81 @@ def quarantine_replay(spark, sf_dir):
     """O-18: quarantined messages re-parsed from their raw text, repaired
     (order id from the message key) and re-checked strictly; the rows that
     now pass."""
-    # The replay reads stored quarantine records; materializing them here
-    # stands for that table (and keeps the optimizer from pushing the new
-    # checks back through the first parse).
-    quarantined = materialize(Q.quarantine_messages(_invalid_parsed(spark, sf_dir)))
-    replayed = Q.replay_quarantine(quarantined, repair=Q.order_id_from_key, strict=True, **B.CHECK_ARGS)
+    store = _fresh_store(spark)
+    store.write("order_quarantine", Q.quarantine_rows(_invalid_parsed(spark, sf_dir), B.AS_OF), "quarantine", 0)
+    replayed = Q.replay_quarantine(store.read("order_quarantine"), repair=Q.order_id_from_key, strict=True,
+                                   **B.CHECK_ARGS)
     return replayed.select("event_id", "order_id", "previous_failure_reason")
 
 
+def _fresh_store(spark) -> TableStore:
+    """Tables in a new folder under the shared checkpoint root, for queries
+    that write what they then read."""
+    root = checkpoint_root(spark, allow_local_fallback=True)
+    return TableStore(spark, root=f"{root}/query-{uuid.uuid4().hex}")
+
+
+# ---------------------------------------------------------------------------
+# Tables: commits, as-of reads, added columns
+# ---------------------------------------------------------------------------
+# Three commits of the daily quality rows: last day of each and commit time.
+_COMMITS = (("2024-01-10", "2024-02-01 00:00:00"), ("2024-01-20", "2024-02-02 00:00:00"),
+            ("9999-12-31", "2024-02-03 00:00:00"))
+_COMMITS_SQL = O.with_checked(f"""
+SELECT CAST(batch_date AS TIMESTAMP) AS check_timestamp, records_checked, records_valid, records_invalid,
+       quarantine_rate, CASE {' '.join(f"WHEN batch_date <= DATE '{d}' THEN {n}" for n, (d, _) in enumerate(_COMMITS))} END AS n
+FROM ({_DAILY})""")
+
+
+def _quality_table(spark, sf_dir) -> TableStore:
+    """order_quality with the daily rows in three commits; the last one
+    also fills a column added before it."""
+    store = _fresh_store(spark)
+    daily = quality_metrics_daily(spark, sf_dir).withColumn("check_timestamp", F.col("batch_date").cast("timestamp"))
+    rows = conform(daily, S.ORDER_QUALITY_SCHEMA).persist()
+    day, first = F.to_date("check_timestamp"), "0001-01-01"
+    for n, (last, at) in enumerate(_COMMITS):
+        part = rows.filter((day > F.lit(first).cast("date")) & (day <= F.lit(last).cast("date")))
+        if n == len(_COMMITS) - 1:
+            store.add_column("order_quality", "checked_by", "string")
+            part = part.withColumn("checked_by", F.lit("v2"))
+        store.write("order_quality", part, "quality", n, committed_at=at)
+        first = last
+    rows.unpersist()
+    return store
+
+
+def _ntz(df: DataFrame, *columns) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+@register("table_as_of", "SELECT check_timestamp, records_checked, records_valid, records_invalid, quarantine_rate "
+                         f"FROM ({_COMMITS_SQL}) WHERE n <= 1")
+def table_as_of(spark, sf_dir):
+    """O-60: the daily quality table as it was when its second commit was made."""
+    old = _quality_table(spark, sf_dir).read_as_of("order_quality", commit="quality-000000000001")
+    return _ntz(old, "check_timestamp").select("check_timestamp", "records_checked", "records_valid",
+                                               "records_invalid", "quarantine_rate")
+
+
+@register("table_commits", f"""
+SELECT 'quality-' || lpad(CAST(n AS VARCHAR), 12, '0') AS "commit",
+       CASE {' '.join(f"WHEN n = {n} THEN TIMESTAMP '{at}'" for n, (_, at) in enumerate(_COMMITS))} END AS committed_at,
+       count(*) AS "rows"
+FROM ({_COMMITS_SQL}) GROUP BY ALL""")
+def table_commits(spark, sf_dir):
+    """O-61: commits of the daily quality table."""
+    return _ntz(_quality_table(spark, sf_dir).snapshots("order_quality"), "committed_at")
+
+
+@register("table_added_column", "SELECT check_timestamp, records_checked, CASE WHEN n = 2 THEN 'v2' END AS checked_by "
+                                f"FROM ({_COMMITS_SQL})")
+def table_added_column(spark, sf_dir):
+    """O-64: a column added before the third commit; older rows read NULL."""
+    return _ntz(_quality_table(spark, sf_dir).read("order_quality"), "check_timestamp").select(
+        "check_timestamp", "records_checked", "checked_by")
+
+
 @register(
     "raw_events_table",
     O.with_valid("""
@@ -678,12 +773,8 @@ def stream_order_metrics(spark, sf_dir):
     watermarked and aggregated with the chained exact distinct counts; the
     hourly windows the stream emitted, read back from its order_metrics
     table. Every run uses a fresh folder under the shared checkpoint root."""
-    import uuid
-
-    from orderlens.session import checkpoint_root
     from orderlens.sources.raw import read_raw_files
     from orderlens.streaming.jobs import OrderStreams, StreamSettings
-    from orderlens.tables.store import TableStore
 
     root = f"{checkpoint_root(spark, allow_local_fallback=True)}/stream-query-{uuid.uuid4().hex}"
     files = T.write_daily_raw_files(spark, sf_dir, f"{root}/raw")

@@ -42,6 +42,15 @@ ev AS (
          THEN (['credit_card', 'debit_card', 'paypal', 'bizum', 'bank_transfer'])[user_id % 5 + 1] END AS payment_method,
     CASE WHEN mapped_type = 'order_item_added' THEN 'created'
          ELSE regexp_replace(mapped_type, '^order_', '') END AS order_status,
+    CASE WHEN mapped_type = 'order_created' THEN list_transform(range(0, event_id % 3 + 1), lambda k: {
+      'product_id': 'P-' || CAST(event_id + k AS VARCHAR),
+      'product_name': CASE WHEN NOT (event_id % 139 = 0 AND k = 0) THEN 'Product ' || CAST(event_id + k AS VARCHAR) END,
+      'quantity': CASE WHEN event_id % 137 = 0 AND k = 0 THEN 0 ELSE 1 + (event_id + k) % 4 END,
+      'unit_price': floor(floor(round(value * 10, 2) * 100 / (event_id % 3 + 1)) / 100 * 100 / (1 + (event_id + k) % 4)) / 100,
+      'subtotal': CASE WHEN k < event_id % 3 THEN floor(round(value * 10, 2) * 100 / (event_id % 3 + 1)) / 100
+                       ELSE round(round(value * 10, 2)
+                                  - floor(round(value * 10, 2) * 100 / (event_id % 3 + 1)) / 100 * (event_id % 3), 2) END
+                  + CASE WHEN event_id % 131 = 0 AND k = 0 THEN 1.0 ELSE 0.0 END}) END AS items,
     'EUR' AS currency,
     CAST(user_id % 6 AS INTEGER) AS kafka_partition,
     event_id AS kafka_offset,
@@ -73,7 +82,7 @@ valid AS (
     CASE WHEN total_amount IS NULL THEN 'unknown' WHEN total_amount < 25 THEN 'low'
          WHEN total_amount < 100 THEN 'medium' WHEN total_amount < 500 THEN 'high'
          ELSE 'premium' END AS revenue_bucket,
-    0 AS item_count
+    CAST(coalesce(len(items), 0) AS INTEGER) AS item_count
   FROM checked WHERE quality_check_result = 'valid'
 )"""
 
@@ -144,6 +153,7 @@ parsed AS (
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE currency END AS currency,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE shipping_province END AS shipping_province,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE payment_method END AS payment_method,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE items END AS items,
     kafka_offset % 127 = 0 AS malformed,
     kafka_partition, kafka_offset
   FROM ev

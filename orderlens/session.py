@@ -26,18 +26,10 @@ BASE_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-# Runtime (SQL) settings the queries need in any session, also one a caller
-# built: applied by ``pin_session``.
-RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
-
-
 def pin_session(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+    """The one setting that results depend on, in a session a caller built;
+    settings that only affect speed stay as the caller has them."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -88,12 +80,3 @@ def checkpoint_root(spark: SparkSession, allow_local_fallback: bool = False) ->
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
-
-
-def materialize(df):
-    """Cut the lineage of ``df``: a reliable checkpoint written to the
-    shared checkpoint folder (recomputation after a lost executor restarts
-    from it, and the optimizer cannot push later filters back through it).
-    A folder of its own is set only when the session names none."""
-    checkpoint_root(df.sparkSession, allow_local_fallback=True)
-    return df.checkpoint(eager=True)

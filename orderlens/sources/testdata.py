@@ -18,9 +18,12 @@ Mapping (fixed values):
   ingest lag  = props.k * 5 milliseconds (kafka / processing time)
   Shipping address and payment method ride only on order_created and
   order_confirmed, as in the producer; other types carry neither.
+  items       = event_id % 3 + 1 items on order_created: equal shares of the
+  total in whole cents, the last one taking what is left; quantities 1 to 4.
 Injected faults (by event_id): %101 order_id NULL; %103 type 'bogus';
 %107 total 999999.0; %109 ts + 60 days; %113 ts - 400 days; %127 the raw
-message body is not JSON.
+message body is not JSON; %131 the first item's subtotal is 1 too high; %137
+its quantity is 0; %139 its product name is missing.
 """
 
 from __future__ import annotations
@@ -93,14 +96,22 @@ def order_events(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataF
         "concat('ORD-', CAST(user_id AS STRING), '-', CAST(dayofmonth(ts) AS STRING)) AS _key",
     )
     addressed = "_mapped IN ('order_created', 'order_confirmed')"
-    items_type = "array<struct<product_id:string,product_name:string,quantity:int,unit_price:double,subtotal:double>>"
+    # The items of a row come from the row itself: no join, no grouping.
+    total, share = "round(value * 10, 2)", "floor(round(value * 10, 2) * 100 / (event_id % 3 + 1)) / 100"
+    items = f"""transform(sequence(0L, event_id % 3), k -> named_struct(
+        'product_id', concat('P-', CAST(event_id + k AS STRING)),
+        'product_name', CASE WHEN NOT ({on} AND event_id % 139 = 0 AND k = 0) THEN concat('Product ', CAST(event_id + k AS STRING)) END,
+        'quantity', CAST(CASE WHEN {on} AND event_id % 137 = 0 AND k = 0 THEN 0 ELSE 1 + (event_id + k) % 4 END AS INT),
+        'unit_price', floor({share} * 100 / (1 + (event_id + k) % 4)) / 100,
+        'subtotal', CASE WHEN k < event_id % 3 THEN {share} ELSE round({total} - {share} * (event_id % 3), 2) END
+            + CASE WHEN {on} AND event_id % 131 = 0 AND k = 0 THEN 1.0D ELSE 0.0D END))"""
     ingest = f"timestamp_micros(unix_micros(CAST(ts AS TIMESTAMP)) + CAST(get_json_object(props, '$.k') AS BIGINT) * {INGEST_LAG_MS_PER_K} * 1000)"
     address = (
         "named_struct('street', concat('Street ', CAST(user_id AS STRING)), 'city', geo_city, "
         "'province', geo_province, 'postal_code', lpad(CAST(user_id % 100000 AS STRING), 5, '0'), 'country', 'ES')"
     )
     payload = f"""named_struct(
-        'items', CAST(NULL AS {items_type}),
+        'items', CASE WHEN _mapped = 'order_created' THEN {items} END,
         'total_amount', CASE WHEN {on} AND event_id % 107 = 0 THEN 999999.0D ELSE round(value * 10, 2) END,
         'currency', '{S.CONTRACT_CURRENCY}',
         'shipping_address', CASE WHEN {addressed} THEN {address} END,

@@ -95,16 +95,11 @@ def valid_event_stream(raw: DataFrame, check_kwargs: dict) -> DataFrame:
 def write_quarantine(invalid: DataFrame, store: TableStore, batch_id: int, settings: StreamSettings) -> None:
     """O-07: quarantine records to Kafka (when configured) or to the
     order_quarantine table (key, value, failure_reason, event_timestamp)."""
-    msgs = Q.quarantine_messages(invalid)
     if settings.quarantine_kafka:
-        (msgs.write.format("kafka").options(**settings.quarantine_kafka)
+        (Q.quarantine_messages(invalid).write.format("kafka").options(**settings.quarantine_kafka)
          .option("topic", settings.quarantine_kafka.get("topic", S.QUARANTINE_TOPIC)).save())
         return
-    rows = msgs.withColumns({
-        "failure_reason": F.get_json_object("value", "$.failure_reason"),
-        "quarantined_at": F.current_timestamp(),
-    })
-    rows.write.mode("overwrite").parquet(f"{store.root}/order_quarantine/commit=quarantine-{batch_id:012d}")
+    store.write("order_quarantine", Q.quarantine_rows(invalid, settings.detected_at), "quarantine", batch_id)
 
 
 def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, settings: StreamSettings) -> None:
@@ -189,8 +184,10 @@ class OrderStreams:
         return q
 
     def start(self) -> list[StreamingQuery]:
-        """Start every query (unique names, own checkpoints)."""
+        """Create missing tables, then start every query (unique names, own
+        checkpoints)."""
         s, store = self.settings, self.store
+        store.create_tables()
         if s.state_store == "rocksdb":
             self.spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

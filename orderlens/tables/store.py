@@ -65,30 +65,33 @@ class TableStore:
 
     # -- O-08 / O-09 -------------------------------------------------------
     def ddl(self, table: str) -> str:
-        """CREATE TABLE statement (idempotent) with NOT NULL columns, hour
-        partitioning and the retention property of the table."""
+        """Iceberg's CREATE TABLE statement (idempotent) with NOT NULL columns,
+        hour partitioning and the retention property of the table."""
         schema, ts_col = S.TABLES[table]
         cols = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
         )
-        if self.provider == "iceberg":
-            props = {"write.metadata.delete-after-commit.enabled": "true",
-                     "write.metadata.previous-versions-max": "5"}
-            if table == "order_events":
-                props["history.expire.max-snapshot-age-ms"] = str(7 * 86400 * 1000)
-            props_sql = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
-            return (f"CREATE TABLE IF NOT EXISTS {self.qualified(table)} ({cols}) USING iceberg "
-                    f"PARTITIONED BY (hours({ts_col})) TBLPROPERTIES ({props_sql})")
-        extra = f", `{COMMITTED_AT}` timestamp, `{COMMIT_COLUMN}` string, `{HOUR_COLUMN}` string"
-        return (f"CREATE TABLE IF NOT EXISTS {table} ({cols}{extra}) USING parquet "
-                f"PARTITIONED BY ({COMMIT_COLUMN}, {HOUR_COLUMN}) LOCATION '{self.path(table)}'")
+        props = {"write.metadata.delete-after-commit.enabled": "true",
+                 "write.metadata.previous-versions-max": "5"}
+        if table == "order_events":
+            props["history.expire.max-snapshot-age-ms"] = str(7 * 86400 * 1000)
+        props_sql = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+        return (f"CREATE TABLE IF NOT EXISTS {self.qualified(table)} ({cols}) USING iceberg "
+                f"PARTITIONED BY (hours({ts_col})) TBLPROPERTIES ({props_sql})")
 
     def create_tables(self, tables=tuple(S.TABLES)) -> dict[str, str]:
-        """Create every output table if missing; returns name -> location."""
+        """Create every output table if missing; returns name -> location.
+        Parquet: the folder, so that ``read`` works before the first commit
+        (a catalog table would not list the partitions written later)."""
         out = {}
         for t in tables:
-            self.spark.sql(self.ddl(t))
-            out[t] = self.qualified(t) if self.provider == "iceberg" else self.path(t)
+            if self.provider == "iceberg":
+                self.spark.sql(self.ddl(t))
+                out[t] = self.qualified(t)
+                continue
+            empty = self.spark.createDataFrame([], S.TABLES[t][0]).withColumn(HOUR_COLUMN, F.lit(""))
+            empty.write.mode("ignore").partitionBy(HOUR_COLUMN).parquet(self.path(t))  # no rows, no files
+            out[t] = self.path(t)
         return out
 
     # -- writes ------------------------------------------------------------

@@ -195,5 +195,34 @@ def test_every_query_finishes_and_outputs_agree(spark, tmp_dir):
     assert sorted(r.event_id for r in store.read("order_events").collect()) == ["e0", "e3"]
     q = store.read("order_quality").agg(F.sum("records_checked"), F.sum("records_valid"), F.sum("records_invalid")).first()
     assert tuple(q) == (4, 2, 2)  # as many as are stored and quarantined
-    held = spark.read.parquet(os.path.join(tmp_dir, "t", "order_quarantine"))
+    held = store.read("order_quarantine")
     assert [r.failure_reason for r in held.collect()] == ["sink_not_null"] * 2
+    assert sorted(r.event_timestamp for r in held.collect()) == [t + dt.timedelta(seconds=1), t + dt.timedelta(seconds=2)]
+
+    # replayed from the table; a repair gives the lost fields back
+    from orderlens.operators.quality import replay_quarantine
+
+    def repair(df):
+        return df.withColumns({"event_type": F.coalesce("event_type", F.lit("order_created")),
+                               "customer_id": F.coalesce("customer_id", F.lit("c"))})
+
+    fixed = replay_quarantine(held, repair=repair, strict=True, **settings.check_kwargs).collect()
+    assert sorted((r.event_id, r.event_type, r.customer_id, r.previous_failure_reason) for r in fixed) == [
+        ("e1", "order_created", "c", "sink_not_null"), ("e2", "order_created", "c", "sink_not_null")]
+
+
+def test_program_creates_tables_and_drains_files(spark, tmp_dir):
+    from orderlens.__main__ import arguments, main
+
+    os.makedirs(os.path.join(tmp_dir, "in"))
+    bodies = [{"event_id": f"e{i}", "event_type": "order_created", "order_id": f"o{i}" if i else None, "customer_id": "c",
+               "timestamp": "2024-01-01T10:00:00+00:00", "payload": {"total_amount": 5.0}} for i in range(4)]
+    with open(os.path.join(tmp_dir, "in", "a.jsonl"), "w") as f:
+        f.write("\n".join(map(json.dumps, bodies)))
+    store = main(["--checkpoint-dir", tmp_dir, "--files", os.path.join(tmp_dir, "in"), "--format", "text",
+                  "--available-now", "--max-age", "36500 days"], spark)
+    assert sorted(r.event_id for r in store.read("order_events").collect()) == ["e1", "e2", "e3"]
+    assert [r.failure_reason for r in store.read("order_quarantine").collect()] == ["null_order_id"]
+    assert store.read("order_metrics_sliding").count() == 0  # created, no window closed yet
+    with pytest.raises(SystemExit):
+        arguments().parse_args(["--checkpoint-dir", tmp_dir])  # a source is needed

@@ -108,11 +108,18 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp_dir, width):
     max_ts = valid.agg(F.max("event_timestamp")).first()[0]
     closed = batch.filter(F.col("window_end") <= F.lit(max_ts - dt.timedelta(minutes=10)))
 
-    def rows(df):
-        df = df.withColumns({"total_revenue": F.round("total_revenue", 2), "avg_order_value": F.round("avg_order_value", 4),
+    def rows(df, columns, money, mean):
+        df = df.withColumns({money: F.round(money, 2), mean: F.round(mean, 4),
                              "window_start": F.col("window_start").cast("timestamp_ntz")})
-        return sorted((tuple(r[c] for c in ("window_start",) + W.METRIC_COLUMNS) for r in df.collect()), key=repr)
+        return sorted((tuple(r[c] for c in ("window_start",) + columns) for r in df.collect()), key=repr)
 
-    s_rows, b_rows = rows(streamed), rows(closed)
+    shape = (W.METRIC_COLUMNS, "total_revenue", "avg_order_value")
+    s_rows, b_rows = rows(streamed, *shape), rows(closed, *shape)
+    assert len(b_rows) > 50
+    assert s_rows == b_rows
+
+    sliding = W.sliding_rows(W.sliding_metrics(valid)).filter(F.col("window_end") <= F.lit(max_ts - dt.timedelta(minutes=10)))
+    shape = (W.SLIDING_COLUMNS, "sliding_total_revenue", "sliding_avg_order_value")
+    s_rows, b_rows = rows(store.read("order_metrics_sliding"), *shape), rows(sliding, *shape)
     assert len(b_rows) > 50
     assert s_rows == b_rows

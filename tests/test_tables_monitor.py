@@ -66,6 +66,10 @@ def test_schema_evolution_and_ddl(spark, tmp_dir):
     assert "PARTITIONED BY (hours(event_timestamp))" in ddl and "`event_id` string NOT NULL" in ddl
     created = store.create_tables()
     assert set(created) == set(S.TABLES)
+    assert store.read("order_events").count() == 9  # creating again leaves rows alone
+    assert store.read("order_anomalies").count() == 0 and store.snapshots("order_anomalies").count() == 0
+    store.write("order_anomalies", spark.createDataFrame([], S.ORDER_ANOMALIES_SCHEMA), "large_orders", 0)
+    assert store.read("order_anomalies").count() == 0
 
 
 def test_kpis_and_monitor_queries(spark):
