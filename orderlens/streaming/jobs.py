@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderlens import schemas as S
+from orderlens.functions.columns import interval
 from orderlens.operators import anomalies as A
 from orderlens.operators import quality as Q
 from orderlens.operators import windows as W
@@ -35,7 +36,7 @@ from orderlens.operators.enrich import enrich_orders
 from orderlens.operators.parse import parse_events
 from orderlens.session import checkpoint_root
 from orderlens.tables.sinks import conform, not_null_violation, order_events_rows
-from orderlens.tables.store import TableStore
+from orderlens.tables.store import COMMIT_COLUMN, HOUR_COLUMN, TableStore, commit_id, hour_key
 
 log = logging.getLogger("orderlens.streaming")
 
@@ -62,10 +63,10 @@ class StreamSettings:
     # (e.g. a few per executor core); None keeps spark.sql.shuffle.partitions.
     state_partitions: int | None = None
     # Which outputs to start: "events" (the shared foreachBatch), "metrics"
-    # (tumbling + spikes), "sliding", and opt-in "rapid_fire" (windowed
-    # streaming form of the detector, into order_anomalies).
+    # (tumbling + spikes), "sliding", and opt-in "rapid_fire" (a part of
+    # "events": the exact detector over the stored orders around a batch).
     outputs: tuple[str, ...] = ("events", "metrics", "sliding")
-    rapid_fire: tuple[int, str, str] = (S.RAPID_FIRE_ORDERS, S.RAPID_FIRE_WINDOW, "1 minute")
+    rapid_fire: tuple[int, str] = (S.RAPID_FIRE_ORDERS, S.RAPID_FIRE_WINDOW)
 
 
 def event_stream(raw: DataFrame) -> DataFrame:
@@ -102,6 +103,28 @@ def write_quarantine(invalid: DataFrame, store: TableStore, batch_id: int, setti
     store.write("order_quarantine", Q.quarantine_rows(invalid, settings.detected_at), "quarantine", batch_id)
 
 
+def write_rapid_fire(enriched: DataFrame, store: TableStore, batch_id: int, settings: StreamSettings) -> None:
+    """O-34 for the orders this micro-batch adds, which order_events already
+    holds. Only the hours within a window's width of the batch are read, and
+    of these only the batch's customers."""
+    n, width = settings.rapid_fire
+    created = enriched.filter((F.col("event_type") == "order_created") & F.col("customer_id").isNotNull())
+    ts, gap = F.col("event_timestamp"), interval(width)
+    lo, hi = created.agg(F.min(ts - gap).cast("string"), F.max(ts + gap).cast("string")).first()
+    if lo is None:
+        return
+    lo, hi = F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")
+    hour = F.col(HOUR_COLUMN)
+    around = (store.read("order_events")
+              .filter((hour >= hour_key(lo)) & (hour <= hour_key(hi)) & ts.between(lo, hi))
+              .filter(F.col("event_type") == "order_created")
+              .join(created.select("customer_id").distinct(), "customer_id", "left_semi")
+              .withColumn("payload", F.from_json("payload", S.PAYLOAD_TYPE)))
+    is_new = F.col(COMMIT_COLUMN) == commit_id("events", batch_id)
+    rapid = A.new_rapid_fire(around, is_new, n, width)
+    store.write("order_anomalies", A.anomalies(rapid=rapid, detected_at=settings.detected_at), "rapid_fire", batch_id)
+
+
 def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, settings: StreamSettings) -> None:
     """All stateless outputs of one micro-batch from one parse."""
     checked = checked_events(batch, settings.check_kwargs).persist()
@@ -115,6 +138,8 @@ def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, set
         store.write("order_quality", conform(quality, S.ORDER_QUALITY_SCHEMA), "quality", batch_id)
         large = A.large_orders(enriched, settings.large_order_threshold)
         store.write("order_anomalies", A.anomalies(large=large, detected_at=stamp), "large_orders", batch_id)
+        if "rapid_fire" in settings.outputs:
+            write_rapid_fire(enriched, store, batch_id, settings)
     finally:
         checked.unpersist()
 
@@ -187,6 +212,8 @@ class OrderStreams:
         """Create missing tables, then start every query (unique names, own
         checkpoints)."""
         s, store = self.settings, self.store
+        if "rapid_fire" in s.outputs and ("events" not in s.outputs or store.provider != "parquet"):
+            raise ValueError("rapid_fire reads the parquet order_events table that the events output writes")
         store.create_tables()
         if s.state_store == "rocksdb":
             self.spark.conf.set("spark.sql.streaming.stateStore.providerClass",
@@ -209,12 +236,6 @@ class OrderStreams:
             self._start(sliding_stream(valid, s), "order_metrics_sliding",
                         _table_writer(store, "order_metrics_sliding", "sliding",
                                       lambda b: conform(b, S.ORDER_METRICS_SLIDING_SCHEMA)))
-        if "rapid_fire" in s.outputs:
-            n, width, slide = s.rapid_fire
-            wm = valid.withWatermark("event_timestamp", s.watermark)
-            self._start(A.rapid_fire_stream(wm, n, width, slide), "rapid_fire",
-                        _table_writer(store, "order_anomalies", "rapid_fire",
-                                      lambda b: A.rapid_fire_window_rows(b, s.detected_at)))
         return self.queries
 
     def process_all_available(self) -> None:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,8 +41,8 @@ def commit_id(source: str, batch_id: int) -> str:
     return f"{source}-{int(batch_id):012d}"
 
 
-def hour_key(ts_col: str) -> F.Column:
-    return F.date_format(F.col(ts_col), "yyyy-MM-dd-HH")
+def hour_key(ts: Column | str) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd-HH")
 
 
 @dataclass

@@ -56,46 +56,43 @@ def test_runner_stops_everything_and_raises_on_failure(spark, tmp_dir):
     assert not any(q.isActive for q in jobs.queries)
 
 
-def test_rapid_fire_stream_counts_distinct_orders(spark, tmp_dir):
+def test_rapid_fire_stream_equals_batch(spark, tmp_dir):
     import datetime as dt
+    import random
 
     from orderlens import schemas as S
 
-    t = dt.datetime(2024, 1, 1, 10, 0)
-    msgs = []
-    for i in range(7):  # customer c1: 6 distinct orders (one sent twice) inside [10:00, 10:05)
-        order = f"o{min(i, 5)}"
-        body = {"event_id": f"e{i}", "event_type": "order_created", "order_id": order, "customer_id": "c1",
-                "timestamp": (t + dt.timedelta(seconds=30 * i)).isoformat() + "+00:00",
-                "payload": {"total_amount": 1.0}}
-        msgs.append((order.encode(), json.dumps(body).encode(), "t", 0, i, t))
-    far = {"event_id": "z", "event_type": "order_created", "order_id": "oz", "customer_id": "c2",
-           "timestamp": (t + dt.timedelta(hours=3)).isoformat() + "+00:00", "payload": {"total_amount": 1.0}}
-    src = os.path.join(tmp_dir, "src")
-    spark.createDataFrame(msgs, S.RAW_SCHEMA).coalesce(1).write.parquet(os.path.join(src, "a"))
-    spark.createDataFrame([(b"oz", json.dumps(far).encode(), "t", 0, 9, t)], S.RAW_SCHEMA).coalesce(1).write.parquet(
-        os.path.join(src, "b"))
-    stream = read_raw_files(spark, os.path.join(src, "*"), max_files_per_trigger=1)
+    rng = random.Random(3)
+    t = dt.datetime(2024, 1, 1, 10, 50)
+    parts = [[] for _ in range(4)]
+    for i in range(90):  # orders arrive in any order: some late, some repeated in a later batch
+        body = {"event_id": f"e{i}", "event_type": "order_created", "order_id": f"o{i}", "customer_id": rng.choice(["c1", "c1", "c2", "c3"]),
+                "timestamp": (t + dt.timedelta(seconds=rng.randrange(1800))).isoformat() + "+00:00",
+                "payload": {"total_amount": 1.0, "shipping_address": {"province": "P"}}}
+        msg = (b"k", json.dumps(body).encode(), "t", 0, i, t)
+        first = rng.randrange(4)
+        for part in {first, rng.randrange(first, 4)} if i % 9 == 0 else {first}:
+            parts[part].append(msg)
+    for k, part in enumerate(parts):
+        spark.createDataFrame(part, S.RAW_SCHEMA).coalesce(1).write.parquet(os.path.join(tmp_dir, "src", str(k)))
+    check = {"as_of": "2024-01-02 00:00:00", "max_age": "2 days"}
+    src = os.path.join(tmp_dir, "src", "*")
     store = TableStore(spark, root=os.path.join(tmp_dir, "t"))
-    settings = StreamSettings(trigger={"availableNow": True}, outputs=("rapid_fire",),
-                              check_kwargs={"as_of": "2024-01-02 00:00:00", "max_age": "2 days"},
-                              rapid_fire=(5, "5 minutes", "5 minutes"), detected_at="2024-01-02 00:00:00")
-    jobs = OrderStreams(spark, stream, store, settings, checkpoint_dir=os.path.join(tmp_dir, "c"))
+    settings = StreamSettings(trigger={"availableNow": True}, outputs=("events", "rapid_fire"), check_kwargs=check,
+                              rapid_fire=(5, "5 minutes"), detected_at="2024-01-02 00:00:00")
+    jobs = OrderStreams(spark, read_raw_files(spark, src, max_files_per_trigger=1), store, settings,
+                        checkpoint_dir=os.path.join(tmp_dir, "c"))
     jobs.start()
     jobs.process_all_available()
     jobs.stop()
-    got = [(r.customer_id, r.details) for r in store.read("order_anomalies").collect()]
-    assert got == [("c1", "window_start=2024-01-01 10:00:00;orders_in_window=6")]
-
-
-def test_rapid_fire_stream_form(spark):
-    rows = [{"event_id": f"e{i}", "customer_id": "c1", "ts": f"2024-01-01 10:0{i}:00", "total": 1.0}
-            for i in range(7)]
-    got = A.rapid_fire_stream(events(spark, rows), n=5, window="5 minutes", slide="1 minute").collect()
-    # the aligned windows [10:01, 10:06) and [10:02, 10:07) hold 5 orders each: not above 5;
-    # only the exact detector sees 6 orders in [10:00, 10:05]
-    assert got == []
-    assert A.rapid_fire(events(spark, rows), n=5, window="5 minutes").count() == 2
+    got = [(r.order_id, r.customer_id, r.region) for r in store.read("order_anomalies").filter("anomaly_type = 'rapid_fire'").collect()]
+    from orderlens.streaming.jobs import valid_event_stream
+
+    batch = A.rapid_fire(valid_event_stream(read_raw_files(spark, src, streaming=False), check), 5, "5 minutes").collect()
+    assert len(batch) > 10
+    assert sorted(got) == sorted((r.order_id, r.customer_id, "P") for r in batch)  # each once
+    with pytest.raises(ValueError, match="rapid_fire"):
+        OrderStreams(spark, None, store, StreamSettings(outputs=("rapid_fire",))).start()
 
 
 def test_backfill_region_stream_and_payload_kept(spark, tmp_dir):
