@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 from orderlens.llm import maxent, ngram_join, packing, quality, segment, substring
@@ -246,6 +247,35 @@ def test_segmentations_decode_and_differ(docs, no_docs):
     assert segment.sample_segmentations(no_docs, MODEL).collect() == []
 
 
+def test_segmentations_decode_as_rows(docs, no_docs):
+    got = segment.sample_segmentations(docs, MODEL, k=2, with_ids=True)
+    back = segment.decode_ids(got.withColumn("text", F.lit("clash")), MODEL).collect()
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r.doc_id, set()).add(r.text or "")
+    assert len(back) > 20 and all(r.text in texts[r.doc_id] for r in back)
+    odd = docs.sparkSession.createDataFrame([(1, None), (2, []), (3, [5, None]), (4, [10**6]), (5, [-1])], "k int, ids array<int>")
+    assert {r.k: r.text for r in segment.decode_ids(odd, MODEL).collect()} == {1: None, 2: "", 3: None, 4: None, 5: None}
+    assert segment.decode_ids(odd.where("1 = 0"), MODEL).collect() == []
+
+
+def test_segmentations_of_rare_words_avoid_the_shunned():
+    """A word's second segmentation differs from the first, drawn by the masses left."""
+    vocab = segment.vocabulary(MODEL)
+    units, bounds, _ = segment.units_of(["cat"], vocab)
+    lattice = segment.Lattice(units, bounds, vocab)
+    n, ids, logs = lattice.sample(np.zeros(1, np.int64), np.array([7], U))
+    shunned = [(ids.tolist(), float(logs[0]))]
+    others = Counter()
+    for seed in range(4000):
+        path, log_prob = lattice.other(0, shunned, seed * 1000)
+        assert path != shunned[0][0] and vocab.weight[path].sum() - lattice.after[0] == pytest.approx(log_prob)
+        others[tuple(path)] += 1
+    left = 1 - math.exp(logs[0])
+    for path, count in others.most_common(3):
+        assert abs(count / 4000 - math.exp(vocab.weight[list(path)].sum() - lattice.after[0]) / left) < 0.03
+
+
 def test_segmentations_follow_the_lattice():
     vocab = segment.vocabulary(MODEL)
     units, bounds, _ = segment.units_of(["the cat"], vocab)
