@@ -388,7 +388,7 @@ def anomalies(spark, sf_dir):
 SELECT order_id,
        arg_max(status, event_timestamp) FILTER (WHERE status IS NOT NULL) AS current_status,
        round(arg_max(total_amount, event_timestamp), 2) AS last_total,
-       arg_max(customer_id, event_timestamp) AS customer_id,
+       arg_max_null(customer_id, event_timestamp) AS customer_id,
        min(event_timestamp) AS first_event_time, max(event_timestamp) AS last_event_time,
        count(*) AS event_count
 FROM (SELECT *, {O.STATUS_SQL} AS status FROM valid) GROUP BY order_id"""),
@@ -748,7 +748,8 @@ def raw_events_table(spark, sf_dir):
 # ---------------------------------------------------------------------------
 def _stream_metrics_sql() -> str:
     closed = """
-valid_parsed AS (SELECT * FROM (SELECT *, {reason} AS r FROM parsed) WHERE r = 'valid'),
+valid_parsed AS (SELECT * FROM (SELECT *, {reason} AS r FROM parsed)
+                 WHERE r = 'valid' AND customer_id IS NOT NULL),  -- what order_events cannot store is quarantined
 bound AS (SELECT max(event_timestamp) - INTERVAL 10 MINUTE AS wm FROM valid_parsed)""".format(reason=O.REASON_SQL)
     return O.with_parsed("""
 SELECT * FROM (

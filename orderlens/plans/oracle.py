@@ -32,7 +32,7 @@ ev AS (
     CAST(event_id AS VARCHAR) AS event_id,
     CASE WHEN event_id % 103 = 0 THEN 'bogus' ELSE mapped_type END AS event_type,
     CASE WHEN event_id % 101 = 0 THEN NULL ELSE message_key END AS order_id,
-    'CUST-' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS customer_id,
+    CASE WHEN event_id % 149 <> 0 THEN 'CUST-' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS customer_id,
     ts + (CASE WHEN event_id % 109 = 0 THEN INTERVAL 60 DAY ELSE INTERVAL 0 DAY END)
        - (CASE WHEN event_id % 113 = 0 THEN INTERVAL 400 DAY ELSE INTERVAL 0 DAY END) AS event_timestamp,
     CASE WHEN event_id % 107 = 0 THEN 999999.0 ELSE round(value * 10, 2) END AS total_amount,

@@ -23,7 +23,7 @@ Mapping (fixed values):
 Injected faults (by event_id): %101 order_id NULL; %103 type 'bogus';
 %107 total 999999.0; %109 ts + 60 days; %113 ts - 400 days; %127 the raw
 message body is not JSON; %131 the first item's subtotal is 1 too high; %137
-its quantity is 0; %139 its product name is missing.
+its quantity is 0; %139 its product name is missing; %149 customer_id NULL.
 """
 
 from __future__ import annotations
@@ -128,7 +128,8 @@ def order_events(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataF
         "CAST(event_id AS STRING) AS event_id",
         f"CASE WHEN {on} AND event_id % 103 = 0 THEN 'bogus' ELSE _mapped END AS event_type",
         f"CASE WHEN {on} AND event_id % 101 = 0 THEN CAST(NULL AS STRING) ELSE _key END AS order_id",
-        "concat('CUST-', lpad(CAST(user_id AS STRING), 6, '0')) AS customer_id",
+        f"CASE WHEN NOT ({on} AND event_id % 149 = 0) THEN concat('CUST-', lpad(CAST(user_id AS STRING), 6, '0')) END"
+        " AS customer_id",
         f"ts + CASE WHEN {on} AND event_id % 109 = 0 THEN INTERVAL 60 DAYS ELSE INTERVAL 0 DAYS END"
         f" - CASE WHEN {on} AND event_id % 113 = 0 THEN INTERVAL 400 DAYS ELSE INTERVAL 0 DAYS END AS event_timestamp",
         f"{payload} AS payload",

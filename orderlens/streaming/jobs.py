@@ -180,7 +180,13 @@ def write_metrics_batch(batch: DataFrame, batch_id: int, store: TableStore, sett
 
 def _table_writer(store: TableStore, table: str, source: str, shape):
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write(table, shape(batch), source, batch_id)
+        # The write samples its rows first: without persist the stateful
+        # stage of the micro-batch would run twice.
+        rows = shape(batch).persist()
+        try:
+            store.write(table, rows, source, batch_id)
+        finally:
+            rows.unpersist()
 
     return write
 
