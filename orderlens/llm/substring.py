@@ -120,6 +120,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
                     spans = b.column(2)[r].values
                     lo, count = (np.array(spans.field(k)) for k in (0, 1))
                     start = np.repeat(lo, count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+                    start = np.unique(start)  # spans come in any order; the first place of a hash is the one to report
                     got, pick = np.unique(whole[words.ptr[i] + start], return_index=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(signed(got)), b.column(0).take(pa.array(np.full(len(got), r))),

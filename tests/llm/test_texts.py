@@ -144,6 +144,17 @@ def test_substring_of_random_overlaps(spark):
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == sorted(brute_cut(rows))
 
 
+def test_substring_cuts_the_first_of_two_copies(spark):
+    """A passage once in a document and twice in a later one, between other words each time."""
+    rows = []
+    for i in range(60):
+        p = [f"p{i}_{j}" for j in range(20 + i % 5)]
+        a, b, c, d = ([f"{k}{i}_{j}" for j in range(30)] for k in "abcd")
+        rows += [(2 * i, " ".join(a + p + b)), (2 * i + 1, " ".join(c + p + d + p + a[:9] + b[:9]))]
+    got = substring.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == sorted(brute_cut(rows))
+
+
 def test_anchor_is_leftmost_smallest():
     g = np.random.default_rng(1).integers(0, 9, 200).astype(U)
     assert substring.anchors(g, 16).tolist() == [i + int(np.argmin(g[i : i + 16])) for i in range(185)]
