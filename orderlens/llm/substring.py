@@ -85,9 +85,23 @@ def repeated_inside(hashes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(again)
 
 
+def with_variant(docs: DataFrame) -> DataFrame:
+    """``docs`` (id, text) with ``variant``: 0, or a hash of the text where
+    rows with different texts share the id. Word positions hold for one id
+    and variant. A constant costs the shuffles next to nothing, and without
+    such ids (the usual case) no text is shuffled to find them."""
+    own = F.xxhash64("text")
+    many = stored(docs.groupBy("id").agg(F.min(own).alias("a"), F.max(own).alias("b")).where("a <> b")
+                  .select("id", F.lit(True).alias("many")))
+    if many.isEmpty():
+        return docs.withColumn("variant", F.lit(0).cast("long"))
+    return docs.join(many, "id", "left").select("id", "text", F.when(F.col("many"), own).otherwise(0).alias("variant"))
+
+
 def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(id, spans array<struct<start, windows>>): the windows of each document
-    that a document with a smaller id has too. ``docs``: id (not null), text."""
+    """(id, variant, spans array<struct<start, windows>>): the windows of each
+    text that a document with a smaller id has too. ``docs``: id (not null),
+    text, variant."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def find_runs(batches):
@@ -95,20 +109,20 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
             for words in words_of(b.column(1), lower=False):
                 anchor, run, owner, start, count = runs_of(words, window, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(anchor)), pa.array(signed(run)), b.column(0).take(pa.array(owner + words.first)),
-                     pa.array(start << 16 | count)], ["anchor", "run", "id", "place"])
+                    [pa.array(signed(anchor)), pa.array(signed(run)), *(b.column(k).take(pa.array(owner + words.first)) for k in (0, 2)),
+                     pa.array(start << 16 | count)], ["anchor", "run", "id", "variant", "place"])
 
-    found = docs.mapInArrow(find_runs, f"anchor long, run long, id {id_type}, place long")
+    found = docs.select("id", "text", "variant").mapInArrow(find_runs, f"anchor long, run long, id {id_type}, variant long, place long")
     shared = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     runs = stored(found.join(shared, "anchor").select(
-        "anchor", "run", "id", F.expr("cast(place >> 16 as int)").alias("start"),
+        "anchor", "run", "id", "variant", F.expr("cast(place >> 16 as int)").alias("start"),
         F.expr("cast(place & 65535 as int)").alias("windows")))
     lead = runs.groupBy("run").agg(F.min("id").alias("lead"))
     led = runs.join(lead, "run")
-    repeats = led.where("id > lead").select("id", "start", "windows")
+    repeats = led.where("id > lead").select("id", "variant", "start", "windows")
     mixed = (runs.groupBy("anchor").agg(F.min("run").alias("a"), F.max("run").alias("b"))
              .where("a <> b").select("anchor"))
-    split = (led.where("id = lead").join(mixed, "anchor").groupBy("id")
+    split = (led.where("id = lead").join(mixed, "anchor").groupBy("id", "variant")
              .agg(F.collect_list(F.struct("start", "windows")).alias("spans")))  # at most a document's words
 
     def find_windows(batches):
@@ -117,19 +131,20 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
                 whole = window_hashes(words.hashes, window)
                 for i in range(words.rows):
                     r = words.first + i
-                    spans = b.column(2)[r].values
+                    spans = b.column(3)[r].values
                     lo, count = (np.array(spans.field(k)) for k in (0, 1))
                     start = np.repeat(lo, count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
                     start = np.unique(start)  # spans come in any order; the first place of a hash is the one to report
                     got, pick = np.unique(whole[words.ptr[i] + start], return_index=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(got)), b.column(0).take(pa.array(np.full(len(got), r))),
-                         pa.array(start[pick].astype(np.int32))], ["hash", "id", "start"])
+                        [pa.array(signed(got)), *(b.column(k).take(pa.array(np.full(len(got), r))) for k in (0, 2)),
+                         pa.array(start[pick].astype(np.int32))], ["hash", "id", "variant", "start"])
 
-    windows = docs.join(split, "id").mapInArrow(find_windows, f"hash long, id {id_type}, start int")
+    windows = (docs.join(split, ["id", "variant"]).select("id", "text", "variant", "spans")
+               .mapInArrow(find_windows, f"hash long, id {id_type}, variant long, start int"))
     least = windows.groupBy("hash").agg(F.min("id").alias("lead"))
-    single = windows.join(least, "hash").where("id > lead").select("id", "start", F.lit(1).alias("windows"))
-    return (repeats.unionByName(single).groupBy("id")
+    single = windows.join(least, "hash").where("id > lead").select("id", "variant", "start", F.lit(1).alias("windows"))
+    return (repeats.unionByName(single).groupBy("id", "variant")
             .agg(F.collect_list(F.struct("start", "windows")).alias("spans")))
 
 
@@ -162,14 +177,14 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
 
     Null and empty texts have no words; texts with fewer words than a window
     stay whole. Rows that share an id are of equal rank: neither loses words
-    to the other. Rows with a null id take no part in the comparison across
+    to the other, and each loses the repeats of its own text. Rows with a null id take no part in the comparison across
     documents (cut are only their own repeats). An empty table gives an empty
     result; other columns are not read."""
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     id_type = own.schema["id"].dataType.simpleString()
-    named = own.where("id is not null")
+    named = with_variant(own.where("id is not null"))
     spans = repeated_runs(named, window, gram)
-    whole = named.join(spans, "id", "left").unionByName(
+    whole = named.join(spans, ["id", "variant"], "left").drop("variant").unionByName(
         own.where("id is null").withColumn("spans", F.lit(None).cast("array<struct<start:int,windows:int>>")))
 
     def cut(batches):

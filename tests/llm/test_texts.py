@@ -155,6 +155,15 @@ def test_substring_cuts_the_first_of_two_copies(spark):
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == sorted(brute_cut(rows))
 
 
+def test_substring_of_different_texts_with_one_id(spark):
+    p, q = ([f"{k}{j}" for j in range(30)] for k in "pq")
+    a, b, c = ([f"{k}{j}" for j in range(200)] for k in "abc")
+    rows = [(1, " ".join(p + q)), (2, " ".join(a + p + b + q[:25])), (2, " ".join(q + c[:10])), (2, " ".join(q + c[:10])),
+            (2, " ".join(c[:25])), (2, None), (3, " ".join(b[:60] + p + c[:30])), (3, " ".join(a[5:40] + q[2:]))]
+    got = substring.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(key, ((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got))) == sorted(map(key, brute_cut(rows)))
+
+
 def test_anchor_is_leftmost_smallest():
     g = np.random.default_rng(1).integers(0, 9, 200).astype(U)
     assert substring.anchors(g, 16).tolist() == [i + int(np.argmin(g[i : i + 16])) for i in range(185)]
