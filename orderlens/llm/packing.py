@@ -4,7 +4,10 @@ Texts become token ids (an end id closes each); only a text longer than a
 sequence is cut. Which pieces share a sequence depends on their lengths alone,
 so the search runs on the histogram of lengths (at most ``size`` entries,
 however many documents): a *pattern* is one filling of a sequence, used as
-often as its lengths last. Spark makes the pieces, the histogram and each
+often as its lengths last. Two quick packings come first, one of least-waste
+fillings (each once chosen is kept) and one by best fit; where neither meets
+the lower bound, the search branches over the undominated fillings of the
+longest length. Spark makes the pieces, the histogram and each
 piece's rank among those of its length; a rank then names sequence and place.
 """
 
@@ -21,9 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import saved, shuffle_width
+from orderlens.llm.words import U, mix
 
 SIZE = 2048
-SEARCH_NODES = 4000  # search effort a pattern; the best filling found so far stands beyond it
+SEARCH_NODES = 4000  # effort a pattern of the first packing; the best filling found so far stands beyond it
+SEARCH_STEPS = 5_000_000  # effort of the whole branch-and-bound; the best packing found so far stands beyond it
 
 
 @functools.lru_cache(maxsize=4)
@@ -155,19 +160,130 @@ def best_fit_decreasing(histogram: dict[int, int], size: int = SIZE) -> list[tup
 def lower_bound(histogram: dict[int, int], size: int = SIZE) -> int:
     """Sequences that any packing needs: for each threshold k, pieces over
     size - k stand alone and the rest must hold the others of at least k."""
-    best = -(-sum(x * n for x, n in histogram.items()) // size)
-    for k in sorted({0, *(x for x in histogram if x <= size // 2)}):
-        alone = sum(n for x, n in histogram.items() if x > size - k)
-        half = {x: n for x, n in histogram.items() if size // 2 < x <= size - k}
-        small = sum(x * n for x, n in histogram.items() if k <= x <= size // 2)
-        spare = sum((size - x) * n for x, n in half.items())
-        best = max(best, alone + sum(half.values()) + max(0, -(-(small - spare) // size)))
+    n = np.zeros(size + 2, np.int64)  # pieces shorter than the index
+    for x, c in histogram.items():
+        n[x + 1] += c
+    tokens = np.cumsum(n * (np.arange(size + 2) - 1))
+    n = np.cumsum(n)
+    half, k = size // 2 + 1, np.arange(size // 2 + 1)
+    spare = size * (n[size - k + 1] - n[half]) - (tokens[size - k + 1] - tokens[half])
+    small = tokens[half] - tokens[k]
+    return max(-(-int(tokens[-1]) // size), int(n[-1] - n[half] + np.maximum(0, -(-(small - spare) // size)).max()))
+
+
+def dominated(fill: dict[int, int], waste: int, free: int) -> bool:
+    """Whether pieces of ``fill`` can be swapped for one longer piece of the
+    bit set ``free`` (lengths left over) within ``waste``, or several for one
+    that is as long, or a piece still fits."""
+    one, more = 0, 0  # sums of one piece, of several
+    for x, n in fill.items():
+        for _ in range(n):
+            more |= (more | one) << x
+            one |= 1 << x
+    for d in range(waste + 1):
+        if free >> d & 1 or more << d & free or d and one << d & free:
+            return True
+    return False
+
+
+def fillings(counts: dict[int, int], room: int, slack: int, effort: list[int]):
+    """The undominated fillings of ``room`` that waste at most ``slack``, least
+    waste first, then longest pieces first. ``effort[0]`` counts down."""
+    lengths = sorted((x for x, n in counts.items() if n > 0 and x <= room), reverse=True)
+    effort[0] -= 4 * len(lengths)
+    reach, mask = [1] * (len(lengths) + 1), (1 << room + 1) - 1  # sums of the lengths from here on
+    for i in range(len(lengths) - 1, -1, -1):
+        sums, left, part = reach[i + 1], min(counts[lengths[i]], room // lengths[i]), 1
+        while left:
+            part = min(part, left)
+            sums |= sums << part * lengths[i] & mask
+            left, part = left - part, 2 * part
+        reach[i] = sums
+    for waste in range(min(slack, room) + 1):
+        stack = [(0, room - waste, ())] if reach[0] >> room - waste & 1 else []
+        while stack and effort[0] > 0:
+            i, left, taken = stack.pop()
+            effort[0] -= 1
+            if left:
+                x = lengths[i]
+                for n in range(min(counts[x], left // x) + 1):
+                    if reach[i + 1] >> left - n * x & 1:
+                        stack.append((i + 1, left - n * x, (*taken, (x, n)) if n else taken))
+                continue
+            fill = dict(taken)
+            effort[0] -= sum(fill.values())
+            if not dominated(fill, waste, sum(1 << x for x in lengths if counts[x] > fill.get(x, 0))):
+                yield fill
+
+
+def sequences(patterns: list[tuple[int, dict[int, int]]]) -> int:
+    return sum(times for times, _ in patterns)
+
+
+def branch_and_bound(histogram: dict[int, int], size: int, best: list[tuple[int, dict[int, int]]],
+                     steps: int = SEARCH_STEPS) -> list[tuple[int, dict[int, int]]]:
+    """The fewest sequences, starting from the incumbent ``best``.
+
+    Depth first: the longest length left is filled in every undominated way,
+    each tried as often as it lasts, half as often and so on down to once,
+    which leaves every number of times open to the levels below. Cut are
+    branches whose sequences and lower bound do not beat the incumbent, and
+    pieces left that were met before with as few sequences. The search ends
+    at the lower bound, when nothing is left to try (the incumbent is then
+    proven) or after ``steps``."""
+    counts = {x: n for x, n in histogram.items() if n > 0}
+    goal, fewest, effort = lower_bound(counts, size), sequences(best), [steps]
+    code = {x: int(c) for x, c in zip(counts, mix(np.arange(1, len(counts) + 1).astype(U)))}
+    met: dict[int, int] = {}
+    path: list[tuple[int, dict[int, int]]] = []
+
+    def put(times, fill, sign):
+        for x, n in fill.items():
+            counts[x] -= sign * n * times
+
+    def children(used):
+        top = max(x for x, n in counts.items() if n)
+        slack = (fewest - 1 - used) * size - sum(x * n for x, n in counts.items())
+        counts[top] -= 1
+        ways = fillings(dict(counts), size - top, slack, effort)
+        counts[top] += 1
+        for fill in ways:
+            fill[top] = fill.get(top, 0) + 1
+            times = min(counts[x] // n for x, n in fill.items())
+            while times:
+                yield times, fill
+                times //= 2
+
+    levels = [children(0)] if fewest > goal else []
+    used = 0
+    while levels and fewest > goal and effort[0] > 0:
+        step = next(levels[-1], None)
+        if step is None:
+            levels.pop()
+            if path:
+                put(*path[-1], -1)
+                used -= path.pop()[0]
+            continue
+        put(*step, 1)
+        path.append(step)
+        used += step[0]
+        effort[0] -= 50
+        key = sum(code[x] * n for x, n in counts.items()) & (1 << 64) - 1
+        if not any(counts.values()):
+            if used < fewest:
+                fewest, best = used, list(path)
+        elif used + lower_bound(counts, size) < fewest and met.get(key, fewest) > used:
+            met[key] = used
+            levels.append(children(used))
+            continue
+        put(*path.pop(), -1)
+        used -= step[0]
     return best
 
 
 def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, dict[int, int]]]:
-    found, incumbent = plan_patterns(histogram, size), best_fit_decreasing(histogram, size)
-    return min(found, incumbent, key=lambda p: sum(times for times, _ in p))
+    best = min(plan_patterns(histogram, size), best_fit_decreasing(histogram, size), key=sequences)
+    return branch_and_bound(histogram, size, best)
 
 
 def slots(patterns: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]:

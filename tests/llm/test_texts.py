@@ -207,6 +207,29 @@ def test_bin_completion_meets_the_bound():
     assert sum(t for t, _ in packing.plan({60: 2, 40: 2, 50: 2, 30: 0}, 100)) == 3
 
 
+def fewest_sequences(lengths, size):
+    """By dynamic programming over sets of pieces: (sequences, tokens in the last)."""
+    best = {0: (1, 0)}
+    for s in range(1, 1 << len(lengths)):
+        best[s] = min((k, used + x) if used + x <= size else (k + 1, x)
+                      for i, x in enumerate(lengths) if s >> i & 1 for k, used in [best[s ^ 1 << i]])
+    return best[(1 << len(lengths)) - 1][0]
+
+
+def test_packing_branches_over_fillings():
+    h = Counter([22, 21, 19, 17, 14, 13, 12, 12, 11, 8])
+    assert sum(t for t, _ in packing.plan_patterns(h, 50)) == sum(t for t, _ in packing.best_fit_decreasing(h, 50)) == 4
+    assert sum(t for t, _ in packing.plan(h, 50)) == 3
+    rng = np.random.default_rng(4)
+    for size in (20, 50, 100):
+        for _ in range(40):
+            lengths = [int(x) for x in rng.integers(size // 10, size // 2, 10)]
+            found = packing.plan(Counter(lengths), size)
+            assert all(sum(x * n for x, n in fill.items()) <= size for _, fill in found)
+            assert sorted(x for t, fill in found for x, n in fill.items() for _ in range(n * t)) == sorted(lengths)
+            assert sum(t for t, _ in found) == fewest_sequences(lengths, size)
+
+
 def test_classifier_learns_and_scores_all(spark, docs, no_docs):
     good = [(i, f"plain words number {i} in a quiet sentence {i * 7}.", 1) for i in range(150)]
     bad = [(1000 + i, f"LOUD{i}!! WORDS!! {i}!! NOW!!", 0) for i in range(150)]
