@@ -101,7 +101,8 @@ def backfill_region_stream(
     cannot fan out. Fills only from the order_created event (the batch form
     takes the latest earlier event); an event without a match is emitted
     once the watermark passes it + ``bound``. Enriched input with TIMESTAMP
-    event time."""
+    event time. The whole backfill of a stream, without bound and from any
+    earlier event, is the "backfill" output of ``streaming.jobs``."""
     cols = ["shipping_province", "shipping_city", "payment_method"]
     left = valid.withWatermark(ts, watermark)
     created = (

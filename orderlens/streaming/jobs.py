@@ -33,6 +33,7 @@ from orderlens.operators import anomalies as A
 from orderlens.operators import quality as Q
 from orderlens.operators import windows as W
 from orderlens.operators.enrich import enrich_orders
+from orderlens.operators.lifecycle import backfill_region
 from orderlens.operators.parse import parse_events
 from orderlens.session import checkpoint_root
 from orderlens.tables.sinks import conform, not_null_violation, order_events_rows
@@ -64,7 +65,8 @@ class StreamSettings:
     state_partitions: int | None = None
     # Which outputs to start: "events" (the shared foreachBatch), "metrics"
     # (tumbling + spikes), "sliding", and opt-in "rapid_fire" (a part of
-    # "events": the exact detector over the stored orders around a batch).
+    # "events": the exact detector over the stored orders around a batch) and
+    # "backfill" (another: the exact region backfill of a batch's orders).
     outputs: tuple[str, ...] = ("events", "metrics", "sliding")
     rapid_fire: tuple[int, str] = (S.RAPID_FIRE_ORDERS, S.RAPID_FIRE_WINDOW)
 
@@ -125,6 +127,27 @@ def write_rapid_fire(enriched: DataFrame, store: TableStore, batch_id: int, sett
     store.write("order_anomalies", A.anomalies(rapid=rapid, detected_at=settings.detected_at), "rapid_fire", batch_id)
 
 
+def write_backfill(enriched: DataFrame, store: TableStore, batch_id: int) -> None:
+    """O-41 for the orders of this micro-batch: the batch backfill over all
+    their events in order_events, however old, which already holds the batch.
+    A late event also changes what stored events after it are filled with, so
+    an order's events are written again, whole. order_events is read by column
+    and joined with the batch's order ids; no bound on time cuts it. The table
+    has no broker offset: events of one time are in the order of their ids."""
+    own = store.read("order_events").select(*S.ORDER_EVENTS_BACKFILLED_SCHEMA.fieldNames())
+    own = own.join(enriched.select("order_id").distinct(), "order_id", "left_semi")
+    store.write("order_events_backfilled", conform(backfill_region(own), S.ORDER_EVENTS_BACKFILLED_SCHEMA), "backfill",
+                batch_id)
+
+
+def backfilled_events(store: TableStore) -> DataFrame:
+    """The streamed events with their region filled as ``backfill_region``
+    fills them: of each order what its last commit holds."""
+    rows = store.read("order_events_backfilled")
+    last = rows.groupBy("order_id").agg(F.max(COMMIT_COLUMN).alias(COMMIT_COLUMN))
+    return rows.join(last, ["order_id", COMMIT_COLUMN], "left_semi").select(*S.ORDER_EVENTS_BACKFILLED_SCHEMA.fieldNames())
+
+
 def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, settings: StreamSettings) -> None:
     """All stateless outputs of one micro-batch from one parse."""
     checked = checked_events(batch, settings.check_kwargs).persist()
@@ -140,6 +163,8 @@ def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, set
         store.write("order_anomalies", A.anomalies(large=large, detected_at=stamp), "large_orders", batch_id)
         if "rapid_fire" in settings.outputs:
             write_rapid_fire(enriched, store, batch_id, settings)
+        if "backfill" in settings.outputs:
+            write_backfill(enriched, store, batch_id)
     finally:
         checked.unpersist()
 
@@ -218,8 +243,9 @@ class OrderStreams:
         """Create missing tables, then start every query (unique names, own
         checkpoints)."""
         s, store = self.settings, self.store
-        if "rapid_fire" in s.outputs and ("events" not in s.outputs or store.provider != "parquet"):
-            raise ValueError("rapid_fire reads the parquet order_events table that the events output writes")
+        for name in ("rapid_fire", "backfill"):
+            if name in s.outputs and ("events" not in s.outputs or store.provider != "parquet"):
+                raise ValueError(f"{name} reads the parquet order_events table that the events output writes")
         store.create_tables()
         if s.state_store == "rocksdb":
             self.spark.conf.set("spark.sql.streaming.stateStore.providerClass",
