@@ -33,13 +33,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages (n_chars follows); a text without any
-    stays as it is, and every row stays. Of rows that share an id the other
-    columns are those of one of them."""
+    stays as it is, and every row stays with its other columns."""
     ship(spark)
-    cut = substring.cut_repeats(docs.select("doc_id", "text")).select("doc_id", F.col("kept_text").alias("text"))
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    more = docs.select(F.col("doc_id").alias("own_id"), *rest).dropDuplicates(["own_id"])
-    whole = cut.join(more, F.col("doc_id").eqNullSafe(F.col("own_id")), "left")
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    cut = substring.cut_repeats(docs, keep=rest)
+    whole = cut.select("doc_id", F.col("kept_text").alias("text"), *(F.col(f"kept.`{c}`") for c in rest))
     if "n_chars" in docs.columns:
         whole = whole.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return whole.select(*docs.columns)

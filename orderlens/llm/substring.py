@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.llm.common import stored
 from orderlens.llm.words import U, Words, mix, signed, span_hashes, window_hashes, words_of
@@ -86,7 +87,7 @@ def repeated_inside(hashes: np.ndarray) -> np.ndarray:
 
 
 def with_variant(docs: DataFrame) -> DataFrame:
-    """``docs`` (id, text) with ``variant``: 0, or a hash of the text where
+    """``docs`` (id, text, ...) with ``variant``: 0, or a hash of the text where
     rows with different texts share the id. Word positions hold for one id
     and variant. A constant costs the shuffles next to nothing, and without
     such ids (the usual case) no text is shuffled to find them."""
@@ -95,7 +96,7 @@ def with_variant(docs: DataFrame) -> DataFrame:
                   .select("id", F.lit(True).alias("many")))
     if many.isEmpty():
         return docs.withColumn("variant", F.lit(0).cast("long"))
-    return docs.join(many, "id", "left").select("id", "text", F.when(F.col("many"), own).otherwise(0).alias("variant"))
+    return docs.join(many, "id", "left").withColumn("variant", F.when(F.col("many"), own).otherwise(0)).drop("many")
 
 
 def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -165,7 +166,7 @@ def covered(words: Words, i: int, spans, whole: np.ndarray, window: int) -> np.n
 
 
 def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
-                gram: int = GRAM) -> DataFrame:
+                gram: int = GRAM, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, kept_text, n_words, n_removed, kept_sha256 of every document
     (kept_text: the text as it was where nothing is cut; kept_sha256: of the
     kept words, always joined by one space).
@@ -179,9 +180,13 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
     stay whole. Rows that share an id are of equal rank: neither loses words
     to the other, and each loses the repeats of its own text. Rows with a null id take no part in the comparison across
     documents (cut are only their own repeats). An empty table gives an empty
-    result; other columns are not read."""
-    own = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
-    id_type = own.schema["id"].dataType.simpleString()
+    result; of the other columns only ``keep`` are read, which each row carries
+    along as the struct ``kept``."""
+    carried = [F.struct(*(F.col(f"`{c}`") for c in keep)).alias("kept")] if keep else []
+    own = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), *carried)
+    out = T.StructType([T.StructField("doc_id", own.schema["id"].dataType), T.StructField("kept_text", T.StringType()),
+                        T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+                        T.StructField("kept_sha256", T.StringType()), *own.schema.fields[2:]])
     named = with_variant(own.where("id is not null"))
     spans = repeated_runs(named, window, gram)
     whole = named.join(spans, ["id", "variant"], "left").drop("variant").unionByName(
@@ -192,8 +197,7 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
             for words in words_of(b.column(1), lower=False):
                 yield _cut_chunk(b, words, window)
 
-    return whole.select("id", "text", "spans").mapInArrow(
-        cut, f"doc_id {id_type}, kept_text string, n_words long, n_removed long, kept_sha256 string")
+    return whole.select("id", "text", "spans", *(["kept"] if keep else [])).mapInArrow(cut, out)
 
 
 def _cut_chunk(b: pa.RecordBatch, words: Words, window: int) -> pa.RecordBatch:
@@ -213,4 +217,5 @@ def _cut_chunk(b: pa.RecordBatch, words: Words, window: int) -> pa.RecordBatch:
     rows = slice(words.first, words.first + words.rows)
     return pa.RecordBatch.from_arrays(
         [b.column(0)[rows], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()),
-         pa.array(n_removed, pa.int64()), pa.array(shas)], ["doc_id", "kept_text", "n_words", "n_removed", "kept_sha256"])
+         pa.array(n_removed, pa.int64()), pa.array(shas), *(c[rows] for c in b.columns[3:])],
+        ["doc_id", "kept_text", "n_words", "n_removed", "kept_sha256", *b.schema.names[3:]])

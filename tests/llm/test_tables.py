@@ -163,6 +163,14 @@ def test_native_filter_has_no_python(spark):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "NestedLoop", "Cartesian"))
 
 
+def test_substring_stage_keeps_each_rows_columns(spark):
+    rows = [(None, "a b", "x", 3), (None, "c d", "y", 3), (1, "e f", "z", 3), (1, "g h", "u", 3), (2, None, "v", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars int").withColumn("kept", F.lit("clash"))
+    cut = corpus_pipeline.STAGES[2][1](spark, docs, None)
+    assert cut.columns == docs.columns
+    assert {(r.doc_id, r.text, r.lang) for r in cut.collect()} == {r[:3] for r in rows} and cut.count() == len(rows)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     (_, judge), (_, join), (_, cut), (_, pack) = corpus_pipeline.STAGES
