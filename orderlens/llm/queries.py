@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import collision_search, maxent, ngram_join, packing, pq_dedup, quality, segment, substring, url_filter, warc
+from orderlens.llm import (collision_search, compression, maxent, ngram_join, packing, pq_dedup, quality, segment, substring,
+                           url_filter, warc)
 from orderlens.llm.common import ship
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -72,8 +73,12 @@ def op9_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
+def op11_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.judge_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_collision_search, op2_warc, op3_packing, op4_ngram_join, op5_segment, op6_url_filter, op7_substring,
-                                  op8_maxent, op9_pq_dedup, op10_quality)}
+                                  op8_maxent, op9_pq_dedup, op10_quality, op11_compression)}
 
 ORACLE = {
     "op9_pq_dedup": """
