@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import (align, collision_search, compression, maxent, ngram_join, packing, pq_dedup, quality, segment,
-                           substring, url_filter, warc)
+from orderlens.llm import (align, collision_search, compression, conversations, maxent, ngram_join, packing, pq_dedup, quality,
+                           segment, substring, url_filter, warc)
 from orderlens.llm.common import ship
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -77,13 +77,17 @@ def op11_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.judge_texts(table(spark, sf_dir, "documents"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), *align.public_tokenizers_paths())
 
 
 QUERIES = {f.__name__: f for f in (op1_collision_search, op2_warc, op3_packing, op4_ngram_join, op5_segment, op6_url_filter, op7_substring,
                                   op8_maxent, op9_pq_dedup, op10_quality, op11_compression,
-                                  op13_align)}
+                                  op12_repair, op13_align)}
 
 ORACLE = {
     "op9_pq_dedup": """
