@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import zlib
 
 import numpy as np
@@ -31,37 +32,44 @@ SEARCH_NODES = 4000  # effort a pattern of the first packing; the best filling f
 SEARCH_STEPS = 5_000_000  # effort of the whole branch-and-bound; the best packing found so far stands beyond it
 
 
+Vocabulary = tuple[str, str, tuple[tuple[str, int], ...]]
+
+
 @functools.lru_cache(maxsize=4)
-def byte_bpe(ranks_path: str, pattern: str) -> tiktoken.Encoding:
+def byte_bpe(ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
-def public_vocabulary() -> tuple[str, str]:
-    """Ranks file and split pattern of the public 50k byte-level vocabulary."""
+def public_vocabulary() -> Vocabulary:
+    """Ranks file, split pattern and added tokens (text, id) of the public 50k
+    byte-level vocabulary."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as f:
+        added = tuple((t["content"], t["id"]) for t in json.load(f)["added_tokens"])
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added
 
 
-def token_pieces(docs: DataFrame, vocabulary: tuple[str, str], size: int = SIZE, end_id: int = 0,
+def token_pieces(docs: DataFrame, vocabulary: Vocabulary, size: int = SIZE, end_id: int = 0,
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32.
 
-    The ids of a text are its byte-level BPE ids (special strings count as
-    ordinary text), then ``end_id``; null and empty texts are the end id
+    The ids of a text are its byte-level BPE ids, where an added token's
+    string in the text is that token, then ``end_id``; null and empty texts are the end id
     alone. A text of over ``size`` ids is cut into pieces of ``size``, of
     which the first may be shorter. Every row is handled for itself, so
     repeated rows, null ids and extra columns do no harm."""
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def cut(batches):
-        bpe = byte_bpe(*vocabulary)
+        bpe, added = byte_bpe(*vocabulary), [name for name, _ in vocabulary[2]]
         for b in batches:
             owner, rows = [], []
             for r, t in enumerate(b.column(1)):
-                ids = bpe.encode_ordinary(t.as_py() or "")
+                whole = t.as_py() or ""
+                ids = bpe.encode(whole, allowed_special="all") if any(a in whole for a in added) else bpe.encode_ordinary(whole)
                 ids.append(end_id)
                 raw = memoryview(np.array(ids, "<u4").tobytes())
                 lo, k = 0, 0

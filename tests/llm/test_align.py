@@ -33,6 +33,11 @@ def plain():
     return tokens
 
 
+def pieces():
+    vocabulary, model = align.public_tokenizers_paths()
+    return align.byte_level(*vocabulary)[1], align.piece_level(model)[1]
+
+
 def spans(parts):
     at, out = 0, []
     for p in parts:
@@ -95,7 +100,7 @@ def test_equals_brute_force_on_given_texts(spark, plain):
 def test_small_memory_and_long_windows_change_nothing(spark, plain, monkeypatch):
     monkeypatch.setattr(align, "MEMO", 3)
     monkeypatch.setattr(align, "LONG", 4)
-    left, right = align.byte_level(*align.public_vocabulary())[1], align.piece_level(align.public_tokenizers_paths()[1])[1]
+    left, right = pieces()
     for text in ("hello big wide world " * 5, "x" * 500, "日本語 " * 20):
         a, bytes_a, b, _ = plain(text)
         small = align.Aligner(left, right).document(b" " + text.encode(), a, b)
@@ -104,7 +109,7 @@ def test_small_memory_and_long_windows_change_nothing(spark, plain, monkeypatch)
 
 
 def test_windows_begin_at_verified_anchors(plain):
-    left, right = align.byte_level(*align.public_vocabulary())[1], align.piece_level(align.public_tokenizers_paths()[1])[1]
+    left, right = pieces()
     import numpy as np
     a, bytes_a, b, bytes_b = plain("one two  three four's")
     cut_a, cut_b = align.windows_of(np.array(a), np.array(b), left, right)
