@@ -4,9 +4,13 @@ A word is a maximal run of bytes other than space and 0x09-0x0D of the UTF-8
 text. A batch is handled in chunks of about ``CHUNK`` bytes (a longer text is
 a chunk of its own), so memory follows the chunk, not the batch.
 
-Hashes are Rabin-Karp: polynomials modulo 2**64 over a random byte table,
-finished with a bijective mixer. Two different words agree with a chance of
-about 2**-64, so hashes stand for words throughout.
+A word's hash is the sum, modulo 2**64, of a random-looking value for each
+(byte, place in the word), so no pattern of bytes makes two words agree but by
+a chance of about 2**-64 (a polynomial modulo 2**64 would: words of a Thue-Morse
+pattern of 1,024 bytes and over agree under every odd base). Windows and spans
+of words are Rabin-Karp polynomials over these hashes; they are short (far
+below 1,024 words), where no such pattern exists. Hashes stand for words
+throughout.
 """
 
 from __future__ import annotations
@@ -54,6 +58,16 @@ def poly(codes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return (prefix[hi] - prefix[lo]) * down[lo]
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word ``data[start:end]`` (see the head of the module)."""
+    begin = np.zeros(len(data), np.int64)
+    begin[starts] = starts
+    place = np.arange(len(data)) - np.maximum.accumulate(begin)
+    total = np.zeros(len(data) + 1, U)
+    np.cumsum(mix(BYTE_CODE[data] + place.astype(U) * U(BASE)), out=total[1:])
+    return mix((total[ends] - total[starts]) ^ mix((ends - starts).astype(U)))
+
+
 @dataclass
 class Words:
     """Words of the rows ``[first, first + len(ptr) - 1)`` of a batch: those
@@ -103,8 +117,7 @@ def _chunk(first: int, data: np.ndarray, bounds: np.ndarray, lower: bool) -> Wor
     cut[bounds[:-1] + 1] = True
     starts = np.flatnonzero(word[1:-1] & (~word[:-2] | cut[1:-1]))
     ends = np.flatnonzero(word[1:-1] & (~word[2:] | cut[2:])) + 1
-    hashes = mix(poly(BYTE_CODE[data], starts, ends))
-    return Words(first, data, starts, ends, hashes, np.searchsorted(starts, bounds).astype(np.int64))
+    return Words(first, data, starts, ends, word_hashes(data, starts, ends), np.searchsorted(starts, bounds).astype(np.int64))
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
