@@ -80,15 +80,16 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS,
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text",
-        max_rows: int = MAX_ROWS, bits: int = BITS) -> np.ndarray:
-    """Weights learned from the texts of at most ``max_rows`` rows of
-    ``labels`` (doc_id, label 0 or 1; other labels and null ids are left out;
-    null texts are empty).
+def sample_rows(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text",
+                max_rows: int = MAX_ROWS, bits: int = BITS) -> DataFrame:
+    """(turn, label, idx, val): features of the texts of at most ``max_rows``
+    rows of ``labels`` (doc_id, label 0 or 1; other labels and null ids are
+    left out; null texts are empty), in the order of learning.
 
     The sampled ids (bounded by ``max_rows``, hence the broadcast) pick the
-    texts; features are made where the texts lie; one task runs the
-    sequential updates over the bounded sample and returns the weights."""
+    texts; features are made where the texts lie. Rows that share a sampled
+    id count against the same bound, which a top-k keeps: the first
+    ``max_rows`` by hash of the id, label and features."""
     ids = (labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
            .select(F.xxhash64(F.lit(17), F.col(doc_id)).alias("turn"), F.col(doc_id).alias("id"),
                    F.col(label).cast("int").alias("label"))
@@ -106,19 +107,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id",
                     [turn[rows], lab[rows], pa.array([i.tobytes() for _, i, _ in got], pa.binary()),
                      pa.array([v.tobytes() for _, _, v in got], pa.binary())], ["turn", "label", "idx", "val"])
 
+    return picked.mapInArrow(features, "turn long, label int, idx binary, val binary").orderBy("turn", "label", "idx").limit(max_rows)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text",
+        max_rows: int = MAX_ROWS, bits: int = BITS) -> np.ndarray:
+    """Weights learned from ``sample_rows``: one task runs the sequential
+    updates over the bounded sample and returns the weights."""
+
     def learn(batches):
         rows = [(np.frombuffer(i, np.int64), np.frombuffer(v, np.float32), y)
                 for b in batches for y, i, v in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist())]
         yield pa.RecordBatch.from_arrays([pa.array([train_ftrl(rows, bits).tobytes()], pa.binary())], ["w"])
 
-    sample = picked.mapInArrow(features, "turn long, label int, idx binary, val binary")
-    got = sample.repartition(1).sortWithinPartitions("turn", "label", "idx").mapInArrow(learn, "w binary").collect()
+    sample = sample_rows(docs, labels, label, doc_id, text, max_rows, bits)
+    got = sample.mapInArrow(learn, "w binary").collect()
     return np.frombuffer(got[0]["w"], np.float64) if got else np.zeros((1 << bits) + 1)
 
 
-def score(docs: DataFrame, weights: np.ndarray, text: str = "text", bits: int = BITS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` of every row with ``score`` (0 to 1, higher: label 1
-    likelier) of its whole text; null and empty texts score by the bias."""
+def score(docs: DataFrame, weights: np.ndarray, text: str = "text", bits: int = BITS, keep: tuple[str, ...] = ("doc_id",),
+          name: str = "score") -> DataFrame:
+    """Columns ``keep`` of every row with ``name`` (0 to 1, higher: label 1
+    likelier), the score of its whole text; null and empty texts score by the
+    bias. ``name`` must be none of ``keep``."""
     shipped = docs.sparkSession.sparkContext.broadcast(weights)  # 2**bits doubles: a fixed size
     cols = [F.col(f"`{c}`") for c in keep]
     if text not in keep:
@@ -134,9 +145,9 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", bits: int =
                 rows = slice(words.first, words.first + words.rows)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(k)[rows] for k in range(len(keep))] + [pa.array(1 / (1 + np.exp(-np.clip(out, -700, 700))))],
-                    [*keep, "score"])
+                    [*keep, name])
 
-    return docs.select(*cols).mapInArrow(run, f"{kinds}, score double")
+    return docs.select(*cols).mapInArrow(run, f"{kinds}, `{name}` double")
 
 
 def in_fold(doc_id: Column, mod: int, rest: int) -> Column:

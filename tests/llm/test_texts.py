@@ -33,6 +33,35 @@ def test_words_are_ascii_space_separated(docs):
         assert got == [w for t in texts for w in plain_words(t)]
 
 
+def thue_morse(bits):
+    """Two different words of 2**bits bytes that every polynomial with an odd
+    base modulo 2**64 takes for one (from 1,024 bytes on)."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1 << bits))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_with_patterns_have_hashes_of_their_own(spark):
+    import pyarrow as pa
+
+    long = [w for bits in (10, 11, 12) for w in thue_morse(bits)]
+    affixes = ["a" * n for n in range(1, 80)] + ["ab" * n for n in range(1, 40)] + [w[:n] for w in long for n in (1023, 1022)]
+    affixes += [w[n:] for w in long for n in (1, 2)] + ["\x00" * n for n in range(1, 20)] + [f"{k}" for k in range(2000)]
+    texts = [*long, *affixes]
+    found = [int(h) for words in words_of(pa.array(texts, pa.string()), False) for h in words.hashes]
+    assert len(set(found)) == len(set(texts))
+    # the same in the operators: sets, windows and token counts tell the words apart
+    one, other = long[2], long[3]
+    rows = [(1, " ".join([one] * 4)), (2, " ".join([other] * 4)), (3, " ".join([one] * 4)),
+            (4, " ".join(f"{one}{k}" for k in range(25))), (5, " ".join(f"{other}{k}" for k in range(25)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, ngram_join.join_components(df).collect())) == sorted(brute_join(rows))
+    got = substring.cut_repeats(df).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == sorted(brute_cut(rows))
+    scored = maxent.score_texts(spark.createDataFrame([(1, one), (2, f"{one} {other}")], "doc_id long, text string"), F.lit(False)).collect()
+    assert {r.n_known for r in scored} == {2, 3} and {r.train_tokens for r in scored} == {5}
+    assert scored[0].base_score != scored[1].base_score
+
+
 def brute_join(rows):
     """(doc_id, n_shingles, component_id) of each row, all pairs compared."""
     sets = []
@@ -173,7 +202,8 @@ def test_packing_round_trip(docs, no_docs):
     from tokenizers import Tokenizer
 
     bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    bpe.encode_special_tokens = True
+    added = [(20, "x <|endoftext|> y"), (21, "<|endoftext|>"), (22, "a<|endoftext|><|endoftext|> b" * 300), (23, "<|endoftext|")]
+    docs = docs.select("doc_id", "text").unionByName(docs.sparkSession.createDataFrame(added, "doc_id long, text string"))
     packed = packing.pack(packing.token_pieces(docs, packing.public_vocabulary())).collect()
     want = Counter()
     for r in docs.collect():
@@ -245,6 +275,36 @@ def test_classifier_learns_and_scores_all(spark, docs, no_docs):
     assert not quality.fit(no_docs, train.select("doc_id", "quality").limit(0), "quality").any()
 
 
+def test_classifier_bound_holds_for_one_id_with_many_texts(spark):
+    rows = [(1, f"text number {k} of one id") for k in range(300)] + [(2, "another")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1)], "doc_id long, quality int")
+    assert quality.sample_rows(df, labels, "quality", max_rows=20).count() == 20
+    assert quality.sample_rows(df, labels, "quality", max_rows=2000).count() == 601
+
+
+def test_score_can_go_beside_a_column_of_its_name(spark, docs):
+    w = np.zeros((1 << quality.BITS) + 1)
+    got = quality.score(docs.withColumn("score", F.lit("mine")), w, keep=("doc_id", "score"), name="score_")
+    assert got.columns == ["doc_id", "score", "score_"] and {(r.score, r.score_) for r in got.collect()} == {("mine", 0.5)}
+
+
+def test_ftrl_step_by_hand():
+    """Two steps on one feature, worked out from the update rule."""
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.05
+    one = (np.array([0]), np.array([1.0], np.float32), 1)
+    z = g = 0.5 - 1.0  # weight 0: probability a half
+    n = g * g
+    z -= (math.sqrt(n) - 0.0) / alpha * 0.0
+    w = (math.copysign(l1, z) - z) / ((beta + math.sqrt(n)) / alpha + l2)
+    assert quality.train_ftrl([one], bits=1, epochs=1)[0] == pytest.approx(w)
+    g2 = 1 / (1 + math.exp(-w)) - 1.0
+    z += g2 - (math.sqrt(n + g2 * g2) - math.sqrt(n)) / alpha * w
+    n += g2 * g2
+    w2 = (math.copysign(l1, z) - z) / ((beta + math.sqrt(n)) / alpha + l2)
+    assert quality.train_ftrl([one, one], bits=1, epochs=1)[0] == pytest.approx(w2)
+
+
 def test_maxent_counts_and_probabilities(docs, no_docs):
     held = quality.in_fold(F.col("doc_id"), 7, 2)
     got = maxent.score_texts(docs, held).collect()
