@@ -15,10 +15,13 @@ from orderlens.llm.common import ship, stored
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier gives at least 0.5; it learns from the
     labels of its training fold. Texts that are null or empty are scored like
-    any other. Columns stay as they are."""
+    any other. Columns stay as they are, one named score included."""
     labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     weights = quality.fit(docs, labels.where(~quality.in_fold(F.col("doc_id"), 3, 1)), "quality")
-    return quality.score(docs, weights, keep=tuple(docs.columns)).where("score >= 0.5").drop("score")
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    return quality.score(docs, weights, keep=tuple(docs.columns), name=name).where(F.col(name) >= 0.5).drop(name)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
