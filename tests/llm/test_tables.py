@@ -187,3 +187,9 @@ def test_pipeline_stages(spark):
     assert trimmed.where("n_chars <> length(text)").count() == 0
     packed = pack(spark, with_null, SF)
     assert packed.select("doc_id").distinct().count() == 51
+
+
+def test_quality_stage_beside_a_column_named_score(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("score", F.lit("mine")).withColumn("score_", F.lit(1))
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, SF)
+    assert kept.columns == docs.columns and {r.score for r in kept.select("score").collect()} == {"mine"}
