@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens import schemas as S
@@ -299,6 +299,17 @@ def quality_metrics(checked: DataFrame, check_timestamp=None, by: list | None =
     )
 
 
+def quality_row(spark: SparkSession, valid: int, invalid: int, check_timestamp=None) -> DataFrame:
+    """The row of ``quality_metrics`` from counts that are known already: a
+    micro-batch's writes report how many events they stored."""
+    ts = as_of_column(check_timestamp) if check_timestamp is not None else F.current_timestamp()
+    checked = F.lit(valid + invalid).cast("long")
+    return spark.range(1).select(
+        ts.alias("check_timestamp"), checked.alias("records_checked"), F.lit(valid).cast("long").alias("records_valid"),
+        F.lit(invalid).cast("long").alias("records_invalid"),
+        F.round(F.try_divide(F.lit(invalid).cast("long"), checked), 4).alias("quarantine_rate"))
+
+
 def observe_quality(checked: DataFrame, observation="order_quality") -> DataFrame:
     """O-33 without an extra pass: the counts ride along as observed metrics
     of whatever action consumes ``checked``. On a stream they appear per

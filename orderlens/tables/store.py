@@ -1,38 +1,45 @@
 """Output tables: creation (O-08), hour partitioning (O-09), idempotent
-commits, as-of reads (O-60), snapshot listing (O-61) and schema evolution
+commits, as-of reads (O-60), commit listing (O-61) and schema evolution
 (O-64); expiry (O-62) and compaction (O-63) where the table format has them.
 
 Two providers:
 
 * ``parquet`` (default, portable): a table is a folder under the shared
-  root (``spark.checkpoint.dir`` unless given). Every commit is one
-  sub-folder ``commit=<id>`` written with mode overwrite, so a retried
-  micro-batch replaces its own earlier attempt and never duplicates rows.
-  Inside, rows are partitioned by ``event_hour`` ('yyyy-MM-dd-HH' of the
-  table's time column), and carry ``committed_at``. Filters on
-  ``event_hour`` or ``commit`` prune folders before any file is opened.
+  root (``spark.checkpoint.dir`` unless given), partitioned by ``event_hour``
+  ('yyyy-MM-dd-HH' of the table's time column) and within it by ``commit``
+  (writer and micro-batch), so a filter on ``event_hour`` prunes before
+  any other folder is listed. Rows carry ``committed_at``. Every commit, an
+  empty one too, has one row (id, time, rows) in a commit log beside the
+  table: listing commits opens no data file, and as-of reads take the commits
+  they may see from it. A commit that is written again (a retried
+  micro-batch) first removes what its earlier attempt left.
 * ``iceberg``: the same tables through an Iceberg catalog (hours()
   partitioning, snapshots, ``TIMESTAMP AS OF``, stored procedures) when its
   runtime is on the class path; the statements are built here and run by
-  Spark SQL.
+  Spark SQL. An append names its commit in the snapshot's summary, where a
+  retry finds it.
+
+A NULL in a column that a table declares NOT NULL fails the write.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens import schemas as S
 from orderlens.functions.columns import as_of_column
 from orderlens.session import checkpoint_root
+from orderlens.tables.sinks import not_null_violation
 
 HOUR_COLUMN = "event_hour"
 COMMIT_COLUMN = "commit"
 COMMITTED_AT = "committed_at"
+COMMIT_PROPERTY = "orderlens.commit"  # of an Iceberg snapshot
 
 
 def commit_id(source: str, batch_id: int) -> str:
@@ -89,15 +96,17 @@ class TableStore:
                 self.spark.sql(self.ddl(t))
                 out[t] = self.qualified(t)
                 continue
-            empty = self.spark.createDataFrame([], S.TABLES[t][0]).withColumn(HOUR_COLUMN, F.lit(""))
-            empty.write.mode("ignore").partitionBy(HOUR_COLUMN).parquet(self.path(t))  # no rows, no files
+            empty = self.spark.createDataFrame([], S.TABLES[t][0]).withColumns({HOUR_COLUMN: F.lit(""), COMMIT_COLUMN: F.lit("")})
+            empty.write.mode("ignore").partitionBy(HOUR_COLUMN, COMMIT_COLUMN).parquet(self.path(t))  # no rows, no files
             out[t] = self.path(t)
         return out
 
     # -- writes ------------------------------------------------------------
-    def write(self, table: str, rows: DataFrame, source: str, batch_id: int, committed_at=None) -> None:
-        """Append one commit. Rows must already have the table's columns.
-        Re-running the same (source, batch_id) replaces that commit."""
+    def write(self, table: str, rows: DataFrame, source: str, batch_id: int, committed_at=None) -> int:
+        """Append one commit. Rows must already have the table's columns; a
+        NULL in a NOT NULL column fails the write before anything counts.
+        Re-running the same (source, batch_id) replaces that commit. Returns
+        its number of rows, observed by the tasks that write."""
         _, ts_col = S.TABLES[table]
         schema = self.schema(table)
         undeclared = sorted(set(rows.columns) - set(schema.fieldNames()))
@@ -106,21 +115,46 @@ class TableStore:
         for f in schema.fields:
             if f.name not in rows.columns and f.nullable:
                 rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+        key = commit_id(source, batch_id)
         if self.provider == "iceberg":
-            rows.writeTo(self.qualified(table)).append()
-            return
-        stamp = as_of_column(committed_at).cast("timestamp") if committed_at is not None else F.current_timestamp()
+            made = self.spark.sql(f"SELECT 1 FROM {self.qualified(table)}.snapshots WHERE summary['{COMMIT_PROPERTY}'] = '{key}'")
+            if not made.isEmpty():
+                return rows.count()
+            counted = Observation()
+            rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+            rows.writeTo(self.qualified(table)).option(f"snapshot-property.{COMMIT_PROPERTY}", key).append()
+            return counted.get["rows"]
+        if committed_at is None:
+            committed_at = dt.datetime.now(dt.timezone.utc)  # of this commit, on its rows and in the log
+        stamp = as_of_column(committed_at).cast("timestamp")
+        refused = F.raise_error(F.lit(f"{table}: NULL in a column declared NOT NULL"))
+        hour = F.when(not_null_violation(schema), refused.cast("string")).otherwise(hour_key(ts_col))
+        # AQE deals the rows by hour in parts of its advisory size: few files
+        # a commit, and a hot hour is split over tasks. Nothing is sampled.
         out = rows.select(*schema.fieldNames()).withColumns(
-            {COMMITTED_AT: stamp, HOUR_COLUMN: hour_key(ts_col)}
-        )
-        # Range partitioning on (hour, time) gives every task a contiguous run
-        # of hours, so a commit spanning many hours writes about tasks + hours
-        # files instead of tasks x hours, and a hot hour is split over tasks.
-        # One wave of write tasks (the cluster's cores): per-file cost, not
-        # bytes, dominates small commits, so they must not collapse to one task.
-        tasks = self.spark.sparkContext.defaultParallelism
-        (out.repartitionByRange(tasks, HOUR_COLUMN, ts_col).write.mode("overwrite").partitionBy(HOUR_COLUMN)
-         .parquet(f"{self.path(table)}/{COMMIT_COLUMN}={commit_id(source, batch_id)}"))
+            {COMMITTED_AT: stamp, HOUR_COLUMN: hour, COMMIT_COLUMN: F.lit(key)}).hint("rebalance", HOUR_COLUMN)
+        counted = Observation()
+        self._begin_commit(table, key)
+        (out.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(HOUR_COLUMN, COMMIT_COLUMN)
+         .parquet(self.path(table)))
+        entry = self.spark.range(1).select(stamp.alias(COMMITTED_AT), F.lit(counted.get["rows"]).cast("long").alias("rows"))
+        entry.coalesce(1).write.mode("overwrite").parquet(f"{self._commits_path(table)}/{COMMIT_COLUMN}={key}")
+        return counted.get["rows"]
+
+    def _begin_commit(self, table: str, key: str) -> None:
+        """Note that the commit is being written. Where it was begun before,
+        its rows are removed first: the folders of one commit, one an hour."""
+        fs, begun = self._file_system(f"{self._commits_path(table)}/{COMMIT_COLUMN}={key}")
+        if fs.exists(begun):
+            _, every = self._file_system(f"{self.path(table)}/{HOUR_COLUMN}=*/{COMMIT_COLUMN}={key}")
+            for found in fs.globStatus(every) or []:
+                fs.delete(found.getPath(), True)
+        fs.mkdirs(begun)
+
+    def _file_system(self, path: str):
+        """Hadoop's file system of ``path``, and the path as it takes it."""
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place
 
     # -- reads -------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
@@ -139,28 +173,47 @@ class TableStore:
     def read_as_of(self, table: str, timestamp=None, commit: str | None = None) -> DataFrame:
         """O-60: the table as it was at ``timestamp`` (rows committed at or
         before it) or as it was when commit ``commit`` was made, whichever writers
-        committed before. Tables are append-only, so this filter is exact."""
+        committed before. Tables are append-only, so the commits the log
+        lists up to then are exact; joined on the partition column, they
+        prune the folders that are read."""
         if self.provider == "iceberg":
             if commit is not None:
                 return self.spark.sql(f"SELECT * FROM {self.qualified(table)} VERSION AS OF {int(commit)}")
             return self.spark.sql(f"SELECT * FROM {self.qualified(table)} TIMESTAMP AS OF '{timestamp}'")
-        df = self.read(table)
+        log = self.snapshots(table)
         if commit is not None:
-            timestamp = df.filter(F.col(COMMIT_COLUMN) == commit).agg(F.max(COMMITTED_AT).cast("string")).first()[0]
-            if timestamp is None:
+            found = log.filter(F.col(COMMIT_COLUMN) == commit).select(F.col(COMMITTED_AT).cast("string")).first()
+            if found is None:
                 raise ValueError(f"{table} has no commit {commit}")
-            return df.filter(F.col(COMMITTED_AT) <= F.lit(timestamp).cast("timestamp"))
-        return df.filter(F.col(COMMITTED_AT) <= as_of_column(timestamp).cast("timestamp"))
+            timestamp = found[0]
+        seen = log.filter(F.col(COMMITTED_AT) <= as_of_column(timestamp).cast("timestamp")).select(COMMIT_COLUMN)
+        return self.read(table).join(seen, COMMIT_COLUMN, "left_semi")
+
+    def read_latest(self, table: str, keys: list[str], before: str | None = None) -> DataFrame:
+        """Of the rows that share ``keys`` the one of the last commit (of one
+        writer: its commits sort in batch order); ``before``: of the commits
+        before that one. For tables whose writer writes a row again to
+        replace it: one grouped maximum, no window over a key's history."""
+        rows = self.read(table)
+        if before is not None:
+            rows = rows.filter(F.col(COMMIT_COLUMN) < before)
+        rest = F.struct(*[c for c in rows.columns if c not in keys])
+        return rows.groupBy(*keys).agg(F.max_by(rest, COMMIT_COLUMN).alias("_last")).select(*keys, "_last.*")
 
     def snapshots(self, table: str) -> DataFrame:
-        """O-61: one row per commit: id, commit time, rows."""
+        """O-61: one row per commit (id, commit time, rows), empty commits
+        included, from the commit log alone."""
         if self.provider == "iceberg":
             return self.spark.sql(f"SELECT * FROM {self.qualified(table)}.snapshots")
-        return (
-            self.read(table)
-            .groupBy(COMMIT_COLUMN)
-            .agg(F.min(COMMITTED_AT).alias(COMMITTED_AT), F.count("*").alias("rows"))
-        )
+        schema = T.StructType([T.StructField(COMMITTED_AT, T.TimestampType()), T.StructField("rows", T.LongType()),
+                               T.StructField(COMMIT_COLUMN, T.StringType())])
+        fs, path = self._file_system(self._commits_path(table))
+        log = (self.spark.read.schema(schema).parquet(self._commits_path(table)) if fs.exists(path)
+               else self.spark.createDataFrame([], schema))
+        return log.select(COMMIT_COLUMN, COMMITTED_AT, "rows")
+
+    def _commits_path(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/_commits/{table}"
 
     # -- maintenance: the table format's own procedures --------------------
     def expire_snapshots(self, table: str, older_than=None, keep_last: int = 1) -> None:
@@ -201,11 +254,7 @@ class TableStore:
         declared, _ = S.TABLES[table]
         if self.provider == "iceberg":
             return declared
-        try:
-            added = self.spark.read.schema("name string, type string").parquet(self._columns_path(table)).collect()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            added = []
+        fs, path = self._file_system(self._columns_path(table))
+        added = self.spark.read.schema("name string, type string").parquet(self._columns_path(table)).collect() if fs.exists(path) else []
         extra = {r["name"]: r["type"] for r in added}  # one row per added column
         return T.StructType(declared.fields + [T.StructField(n, T.DataType.fromDDL(extra[n])) for n in sorted(extra)])

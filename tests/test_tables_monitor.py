@@ -51,6 +51,48 @@ def test_commits_as_of_snapshots_expire_compact(spark, tmp_dir):
 
 
 
+def test_commit_log_retries_and_not_null(spark, tmp_dir):
+    store = TableStore(spark, root=os.path.join(tmp_dir, "t"))
+    ev = order_events_rows(_enriched(spark, 30, step_s=600))  # five hours
+    assert store.write("order_events", ev, "events", 0, committed_at="2024-01-01 00:00:00") == 30
+    assert store.write("order_events", ev.filter("1 = 0"), "events", 1, committed_at="2024-01-02 00:00:00") == 0
+    log = {r.commit: (r.committed_at, r.rows) for r in store.snapshots("order_events").collect()}
+    assert log == {"events-000000000000": (dt.datetime(2024, 1, 1), 30), "events-000000000001": (dt.datetime(2024, 1, 2), 0)}
+    assert store.read_as_of("order_events", commit="events-000000000001").count() == 30
+    # a retry that has rows of fewer hours leaves nothing of its first attempt
+    assert store.write("order_events", ev.filter("event_id < 'e003'"), "events", 0) == 3
+    assert sorted(r.event_id for r in store.read("order_events").collect()) == ["e000", "e001", "e002"]
+    assert [r.rows for r in store.snapshots("order_events").orderBy("commit").collect()] == [3, 0]
+    # listing opens no data file; an as-of read prunes by the log
+    opened = store.snapshots("order_events").inputFiles()
+    assert opened and all("/_commits/order_events/" in f for f in opened)
+    plan = store.read_as_of("order_events", "2024-01-02 12:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    # hours are the outer folders
+    assert {p.split("=")[0] for p in os.listdir(store.path("order_events")) if "=" in p} == {"event_hour"}
+    # NULL in a NOT NULL column fails the write, and the commit is not listed
+    empty = spark.createDataFrame([(None,) * 5], S.ORDER_QUALITY_SCHEMA.simpleString()[7:-1].replace(":", " "))
+    with pytest.raises(Exception, match="NOT NULL"):
+        store.write("order_quality", empty, "quality", 0)
+    assert store.snapshots("order_quality").count() == 0
+
+
+def test_an_append_only_sink_takes_a_batch_once(spark, tmp_dir):
+    from orderlens.tables.ledger import AppendLedger
+
+    sink = os.path.join(tmp_dir, "sink")
+    rows = spark.range(5)
+    for _ in range(3):  # the micro-batch is run again, by a new process too
+        ledger = AppendLedger(spark, os.path.join(tmp_dir, "ledger"))
+        ledger.append_once("topic", "quarantine-000000000007", lambda: rows.write.mode("append").parquet(sink))
+    assert spark.read.parquet(sink).count() == 5
+    assert ledger.append_once("topic", "quarantine-000000000008", lambda: rows.write.mode("append").parquet(sink))
+    assert spark.read.parquet(sink).count() == 10
+    with pytest.raises(ZeroDivisionError):  # a failed append is not recorded
+        ledger.append_once("topic", "quarantine-000000000009", lambda: 1 // 0)
+    assert ledger.append_once("topic", "quarantine-000000000009", lambda: None)
+
+
 def test_schema_evolution_and_ddl(spark, tmp_dir):
     store = TableStore(spark, root=os.path.join(tmp_dir, "t"))
     ev = order_events_rows(_enriched(spark, 3))
