@@ -66,13 +66,14 @@ def backfill_region(df: DataFrame, chunk: str = "1 day", ts: str = "event_timest
     return filled
 
 
-def illegal_transitions(df: DataFrame, chunk: str = "1 day", ts: str = "event_timestamp") -> DataFrame:
+def illegal_transitions(df: DataFrame, chunk: str = "1 day", ts: str = "event_timestamp", keep_legal: bool = False) -> DataFrame:
     """Events not allowed after the order's previous status: the first event
     of an order must be order_created; then created -> item_added /
     confirmed / cancelled; confirmed -> shipped / cancelled; shipped ->
     delivered; delivered and cancelled are terminal. The previous status is
     the last non-NULL status before the event (item_added has none).
-    Events without an order id belong to no order and are left out."""
+    Events without an order id belong to no order and are left out.
+    ``keep_legal`` keeps the allowed events too, with a NULL violation."""
     with_status = df.filter(F.col("order_id").isNotNull()).withColumn("_status", lifecycle_status("event_type"))
     prior = prior_non_null(with_status, "order_id", event_order(df, ts), ["_status"], chunk=chunk)
     prev = F.col("_status_prior")
@@ -84,39 +85,5 @@ def illegal_transitions(df: DataFrame, chunk: str = "1 day", ts: str = "event_ti
     violation = F.when(prev.isNull() & (F.col("event_type") != "order_created"), F.lit("first_event_not_created")).when(
         prev.isNotNull() & ~allowed, F.lit("transition_not_allowed")
     )
-    return (
-        prior.withColumns({"previous_status": prev, "violation": violation})
-        .filter(F.col("violation").isNotNull())
-        .drop("_status", "_status_prior")
-    )
-
-
-def backfill_region_stream(
-    valid: DataFrame, bound: str = "7 days", watermark: str = "10 minutes", ts: str = "event_timestamp"
-) -> DataFrame:
-    """O-41 on a stream (OVER windows are refused there): a time-bounded
-    stream-stream left join of every event with its order's order_created
-    event within ``bound`` before it. The created side is de-duplicated per
-    order within the watermark, so an order with several created events
-    cannot fan out. Fills only from the order_created event (the batch form
-    takes the latest earlier event); an event without a match is emitted
-    once the watermark passes it + ``bound``. Enriched input with TIMESTAMP
-    event time. The whole backfill of a stream, without bound and from any
-    earlier event, is the "backfill" output of ``streaming.jobs``."""
-    cols = ["shipping_province", "shipping_city", "payment_method"]
-    left = valid.withWatermark(ts, watermark)
-    created = (
-        valid.filter((F.col("event_type") == "order_created") & F.col("shipping_province").isNotNull())
-        .select(F.col("order_id").alias("_c_order"), F.col(ts).alias("_c_ts"), *[F.col(c).alias(f"_c_{c}") for c in cols])
-        .withWatermark("_c_ts", watermark)
-        .dropDuplicatesWithinWatermark(["_c_order"])
-    )
-    cond = (
-        (F.col("order_id") == F.col("_c_order"))
-        & (F.col("_c_ts") <= F.col(ts))
-        & (F.col(ts) <= F.col("_c_ts") + F.expr(f"INTERVAL {bound}"))
-    )
-    joined = left.join(created, cond, "leftOuter")
-    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_c_{c}")) for c in cols}).drop(
-        "_c_order", "_c_ts", *[f"_c_{c}" for c in cols]
-    )
+    judged = prior.withColumns({"previous_status": prev, "violation": violation}).drop("_status", "_status_prior")
+    return judged if keep_legal else judged.filter(F.col("violation").isNotNull())

@@ -12,9 +12,14 @@ Layout (each query has its own name and checkpoint under the shared root):
   The metrics writer also emits the cancellation spikes among the closed
   windows (same grouping), so no extra stateful query re-reads the stream.
 
+* ``order_lifecycle`` / ``order_state`` (opt-in) — the events of every order
+  judged in order and the live state of every order, see
+  ``streaming.lifecycle``.
+
 Sinks write through ``TableStore.write`` keyed by (query, batch_id), so a
 micro-batch re-run after a failure replaces its own output: restart from
-the checkpoint adds nothing twice.
+the checkpoint adds nothing twice. The Kafka quarantine can only be appended to
+and goes through a ledger.
 """
 
 from __future__ import annotations
@@ -33,14 +38,18 @@ from orderlens.operators import anomalies as A
 from orderlens.operators import quality as Q
 from orderlens.operators import windows as W
 from orderlens.operators.enrich import enrich_orders
-from orderlens.operators.lifecycle import backfill_region
 from orderlens.operators.parse import parse_events
 from orderlens.session import checkpoint_root
+from orderlens.streaming import lifecycle as L
+from orderlens.tables.ledger import AppendLedger
 from orderlens.tables.sinks import conform, not_null_violation, order_events_rows
 from orderlens.tables.store import COMMIT_COLUMN, HOUR_COLUMN, TableStore, commit_id, hour_key
 
 log = logging.getLogger("orderlens.streaming")
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 @dataclass
 class StreamSettings:
@@ -65,9 +74,12 @@ class StreamSettings:
     state_partitions: int | None = None
     # Which outputs to start: "events" (the shared foreachBatch), "metrics"
     # (tumbling + spikes), "sliding", and opt-in "rapid_fire" (a part of
-    # "events": the exact detector over the stored orders around a batch) and
-    # "backfill" (another: the exact region backfill of a batch's orders).
+    # "events": the exact detector over the stored orders around a batch),
+    # "lifecycle" (region backfill and transitions of every event within its
+    # order) and "order_state" (live state of every order).
     outputs: tuple[str, ...] = ("events", "metrics", "sliding")
+    order_expiry: str = S.ORDER_EXPIRY  # of the life-cycle state
+    clock_slack: str = "1 hour"  # by which the clock may go back between two runs
     rapid_fire: tuple[int, str] = (S.RAPID_FIRE_ORDERS, S.RAPID_FIRE_WINDOW)
 
 
@@ -95,14 +107,17 @@ def valid_event_stream(raw: DataFrame, check_kwargs: dict) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Micro-batch writer for every stateless output
 # ---------------------------------------------------------------------------
-def write_quarantine(invalid: DataFrame, store: TableStore, batch_id: int, settings: StreamSettings) -> None:
+def write_quarantine(invalid: DataFrame, store: TableStore, batch_id: int, settings: StreamSettings) -> int:
     """O-07: quarantine records to Kafka (when configured) or to the
-    order_quarantine table (key, value, failure_reason, event_timestamp)."""
+    order_quarantine table (key, value, failure_reason, event_timestamp).
+    Returns their number."""
     if settings.quarantine_kafka:
-        (Q.quarantine_messages(invalid).write.format("kafka").options(**settings.quarantine_kafka)
-         .option("topic", settings.quarantine_kafka.get("topic", S.QUARANTINE_TOPIC)).save())
-        return
-    store.write("order_quarantine", Q.quarantine_rows(invalid, settings.detected_at), "quarantine", batch_id)
+        topic = settings.quarantine_kafka.get("topic", S.QUARANTINE_TOPIC)
+        to_topic = Q.quarantine_messages(invalid).write.format("kafka").options(**settings.quarantine_kafka)
+        AppendLedger(store.spark, f"{store.root}/_appended").append_once(
+            topic, commit_id("quarantine", batch_id), lambda: to_topic.option("topic", topic).save())
+        return invalid.count()
+    return store.write("order_quarantine", Q.quarantine_rows(invalid, settings.detected_at), "quarantine", batch_id)
 
 
 def write_rapid_fire(enriched: DataFrame, store: TableStore, batch_id: int, settings: StreamSettings) -> None:
@@ -127,44 +142,21 @@ def write_rapid_fire(enriched: DataFrame, store: TableStore, batch_id: int, sett
     store.write("order_anomalies", A.anomalies(rapid=rapid, detected_at=settings.detected_at), "rapid_fire", batch_id)
 
 
-def write_backfill(enriched: DataFrame, store: TableStore, batch_id: int) -> None:
-    """O-41 for the orders of this micro-batch: the batch backfill over all
-    their events in order_events, however old, which already holds the batch.
-    A late event also changes what stored events after it are filled with, so
-    an order's events are written again, whole. order_events is read by column
-    and joined with the batch's order ids; no bound on time cuts it. The table
-    has no broker offset: events of one time are in the order of their ids."""
-    own = store.read("order_events").select(*S.ORDER_EVENTS_BACKFILLED_SCHEMA.fieldNames())
-    own = own.join(enriched.select("order_id").distinct(), "order_id", "left_semi")
-    store.write("order_events_backfilled", conform(backfill_region(own), S.ORDER_EVENTS_BACKFILLED_SCHEMA), "backfill",
-                batch_id)
-
-
-def backfilled_events(store: TableStore) -> DataFrame:
-    """The streamed events with their region filled as ``backfill_region``
-    fills them: of each order what its last commit holds."""
-    rows = store.read("order_events_backfilled")
-    last = rows.groupBy("order_id").agg(F.max(COMMIT_COLUMN).alias(COMMIT_COLUMN))
-    return rows.join(last, ["order_id", COMMIT_COLUMN], "left_semi").select(*S.ORDER_EVENTS_BACKFILLED_SCHEMA.fieldNames())
-
-
 def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, settings: StreamSettings) -> None:
     """All stateless outputs of one micro-batch from one parse."""
     checked = checked_events(batch, settings.check_kwargs).persist()
     try:
         valid, invalid = Q.split_checked(checked)
         enriched = enrich_orders(valid)
-        store.write("order_events", order_events_rows(enriched), "events", batch_id)
-        write_quarantine(invalid, store, batch_id, settings)
+        n_valid = store.write("order_events", order_events_rows(enriched), "events", batch_id)
+        n_invalid = write_quarantine(invalid, store, batch_id, settings)
         stamp = settings.detected_at
-        quality = Q.quality_metrics(checked, check_timestamp=stamp)
+        quality = Q.quality_row(store.spark, n_valid, n_invalid, check_timestamp=stamp)  # what was stored, counted by the writes
         store.write("order_quality", conform(quality, S.ORDER_QUALITY_SCHEMA), "quality", batch_id)
         large = A.large_orders(enriched, settings.large_order_threshold)
         store.write("order_anomalies", A.anomalies(large=large, detected_at=stamp), "large_orders", batch_id)
         if "rapid_fire" in settings.outputs:
             write_rapid_fire(enriched, store, batch_id, settings)
-        if "backfill" in settings.outputs:
-            write_backfill(enriched, store, batch_id)
     finally:
         checked.unpersist()
 
@@ -205,13 +197,7 @@ def write_metrics_batch(batch: DataFrame, batch_id: int, store: TableStore, sett
 
 def _table_writer(store: TableStore, table: str, source: str, shape):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The write samples its rows first: without persist the stateful
-        # stage of the micro-batch would run twice.
-        rows = shape(batch).persist()
-        try:
-            store.write(table, rows, source, batch_id)
-        finally:
-            rows.unpersist()
+        store.write(table, shape(batch), source, batch_id)
 
     return write
 
@@ -232,8 +218,8 @@ class OrderStreams:
         root = self.checkpoint_dir or f"{checkpoint_root(self.spark)}/streams"
         return f"{root.rstrip('/')}/{name}"
 
-    def _start(self, df: DataFrame, name: str, fn) -> StreamingQuery:
-        q = (df.writeStream.queryName(name).outputMode("append")
+    def _start(self, df: DataFrame, name: str, fn, mode: str = "append") -> StreamingQuery:
+        q = (df.writeStream.queryName(name).outputMode(mode)
              .option("checkpointLocation", self._checkpoint(name))
              .trigger(**self.settings.trigger).foreachBatch(fn).start())
         self.queries.append(q)
@@ -243,13 +229,14 @@ class OrderStreams:
         """Create missing tables, then start every query (unique names, own
         checkpoints)."""
         s, store = self.settings, self.store
-        for name in ("rapid_fire", "backfill"):
-            if name in s.outputs and ("events" not in s.outputs or store.provider != "parquet"):
-                raise ValueError(f"{name} reads the parquet order_events table that the events output writes")
+        if "rapid_fire" in s.outputs and ("events" not in s.outputs or store.provider != "parquet"):
+            raise ValueError("rapid_fire reads the parquet order_events table that the events output writes")
+        for name in ("lifecycle", "order_state"):
+            if name in s.outputs and store.provider != "parquet":
+                raise ValueError(f"{name} reads its own parquet table")
         store.create_tables()
         if s.state_store == "rocksdb":
-            self.spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+            self.spark.conf.set(STATE_PROVIDER, ROCKSDB)
             self.spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         if s.state_partitions:
             self.spark.conf.set("spark.sql.shuffle.partitions", str(int(s.state_partitions)))
@@ -268,6 +255,20 @@ class OrderStreams:
             self._start(sliding_stream(valid, s), "order_metrics_sliding",
                         _table_writer(store, "order_metrics_sliding", "sliding",
                                       lambda b: conform(b, S.ORDER_METRICS_SLIDING_SCHEMA)))
+        if "order_state" in s.outputs:
+            self._start(L.order_states(valid), "order_state", lambda b, i: L.write_states(b, i, store), "update")
+        if "lifecycle" in s.outputs:
+            # keyed state needs RocksDB; a query keeps what it was started with
+            before = self.spark.conf.get(STATE_PROVIDER, None)
+            self.spark.conf.set(STATE_PROVIDER, ROCKSDB)
+            try:
+                self._start(L.judged_events(valid, s.order_expiry, s.clock_slack), "order_lifecycle",
+                            lambda b, i: L.write_judged(b, i, store), "update")
+            finally:
+                if before is None:
+                    self.spark.conf.unset(STATE_PROVIDER)
+                else:
+                    self.spark.conf.set(STATE_PROVIDER, before)
         return self.queries
 
     def process_all_available(self) -> None:

@@ -95,87 +95,20 @@ def test_rapid_fire_stream_equals_batch(spark, tmp_dir):
         OrderStreams(spark, None, store, StreamSettings(outputs=("rapid_fire",))).start()
 
 
-def test_streaming_backfill_equals_batch(spark, tmp_dir):
+def test_unknown_payload_fields_survive(spark):
     import datetime as dt
 
     from orderlens import schemas as S
-    from orderlens.operators.lifecycle import backfill_region
-    from orderlens.streaming.jobs import backfilled_events
-
-    t = dt.datetime(2024, 1, 1, 10, 0)
-
-    def msg(i, etype, order, minutes, province=None):
-        payload = {"total_amount": 5.0, **({"shipping_address": {"province": province, "city": "C"}} if province else {})}
-        body = {"event_id": f"e{i}", "event_type": etype, "order_id": order, "customer_id": "c",
-                "timestamp": (t + dt.timedelta(minutes=minutes)).isoformat() + "+00:00", "payload": payload}
-        return (order.encode(), json.dumps(body).encode(), "t", 0, i, t)
-
-    day = 60 * 24
-    parts = [[msg(1, "order_created", "o1", 0, "P"), msg(2, "order_shipped", "o2", 6), msg(3, "order_created", "o3", 1)],
-             [msg(4, "order_shipped", "o1", 9 * day), msg(5, "order_confirmed", "o3", 2, "Q")],  # later than 7 days
-             [msg(6, "order_shipped", "o3", 10 * day), msg(7, "order_created", "o2", 5, "R"), msg(2, "order_shipped", "o2", 6)],
-             [msg(8, "order_confirmed", "o1", 8 * day, "S"), msg(9, "order_created", "o4", 0, "T")]]  # o1: before e4, and late
-    for k, part in enumerate(parts):
-        spark.createDataFrame(part, S.RAW_SCHEMA).coalesce(1).write.parquet(os.path.join(tmp_dir, "src", str(k)))
-    check = {"as_of": "2024-02-01 00:00:00", "max_age": "60 days"}
-    store = TableStore(spark, root=os.path.join(tmp_dir, "t"))
-    settings = StreamSettings(trigger={"availableNow": True}, outputs=("events", "backfill"), check_kwargs=check)
-    jobs = OrderStreams(spark, read_raw_files(spark, os.path.join(tmp_dir, "src", "*"), max_files_per_trigger=1), store, settings,
-                        checkpoint_dir=os.path.join(tmp_dir, "c"))
-    jobs.start()
-    jobs.process_all_available()
-    jobs.stop()
-    cols = ["event_id", "order_id", "shipping_province", "shipping_city", "payment_method"]
-    got = sorted(map(tuple, backfilled_events(store).select(cols).collect()), key=str)
-    batch = backfill_region(store.read("order_events")).select(cols).collect()
-    assert len(got) == 10 and got == sorted(map(tuple, batch), key=str)
-    assert {r[0]: r[2] for r in got} == {"e1": "P", "e2": "R", "e3": None, "e4": "S", "e5": "Q", "e6": "Q", "e7": "R", "e8": "S", "e9": "T"}
-    with pytest.raises(ValueError, match="backfill"):
-        OrderStreams(spark, None, store, StreamSettings(outputs=("backfill",))).start()
-
-
-def test_backfill_region_stream_and_payload_kept(spark, tmp_dir):
-    import datetime as dt
-
-    from orderlens import schemas as S
-    from orderlens.operators.lifecycle import backfill_region_stream
     from orderlens.streaming.jobs import valid_event_stream
     from orderlens.tables.sinks import order_events_rows
 
     t = dt.datetime(2024, 1, 1, 10, 0)
-
-    def msg(i, etype, order, minutes, province=None, extra=None):
-        payload = {"total_amount": 5.0, "currency": "EUR"}
-        if province:
-            payload["shipping_address"] = {"province": province, "city": "C"}
-        payload.update(extra or {})
-        body = {"event_id": f"e{i}", "event_type": etype, "order_id": order, "customer_id": "c",
-                "timestamp": (t + dt.timedelta(minutes=minutes)).isoformat() + "+00:00", "payload": payload}
-        return (order.encode(), json.dumps(body).encode(), "t", 0, i, t)
-
-    src = os.path.join(tmp_dir, "src")
-    rows = [msg(1, "order_created", "o1", 0, "P", {"gift_wrap": True}), msg(2, "order_shipped", "o1", 5),
-            msg(3, "order_shipped", "o2", 6), msg(4, "order_created", "o9", 60 * 24 * 9, "Q")]
-    spark.createDataFrame(rows[:3], S.RAW_SCHEMA).coalesce(1).write.parquet(os.path.join(src, "a"))
-    spark.createDataFrame(rows[3:], S.RAW_SCHEMA).coalesce(1).write.parquet(os.path.join(src, "b"))
-    check = {"as_of": "2024-02-01 00:00:00", "max_age": "60 days"}
-    stream = read_raw_files(spark, os.path.join(src, "*"), max_files_per_trigger=1)
-    out = backfill_region_stream(valid_event_stream(stream, check), bound="7 days")
-    q = (out.select("event_id", "shipping_province").writeStream.format("memory").queryName("backfill_test")
-         .outputMode("append").option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
-    q.processAllAvailable()
-    q.stop()
-    got = {r.event_id: r.shipping_province for r in spark.table("backfill_test").collect()}
-    # e2 gets its order's province; e3 has no created event and is emitted unfilled
-    # once the far-ahead event moves the watermark past its bound
-    assert got["e1"] == "P" and got["e2"] == "P" and got["e3"] is None
-
-    # unknown payload fields survive into the order_events rows
-    batch = valid_event_stream(spark.read.parquet(os.path.join(src, "a")), check)
-    from orderlens.operators.enrich import enrich_orders
-
-    stored = {r.event_id: r.payload for r in order_events_rows(enrich_orders(batch)).collect()}
-    assert json.loads(stored["e1"])["gift_wrap"] is True
+    body = {"event_id": "e1", "event_type": "order_created", "order_id": "o1", "customer_id": "c", "timestamp": t.isoformat() + "+00:00",
+            "payload": {"total_amount": 5.0, "shipping_address": {"province": "P"}, "gift_wrap": True}}
+    raw = spark.createDataFrame([(b"o1", json.dumps(body).encode(), "t", 0, 1, t)], S.RAW_SCHEMA)
+    batch = valid_event_stream(raw, {"as_of": "2024-02-01 00:00:00", "max_age": "60 days"})
+    (stored,) = order_events_rows(enrich_orders(batch)).collect()
+    assert json.loads(stored.payload)["gift_wrap"] is True
 
 
 def test_dirty_input_edges(spark):
