@@ -67,6 +67,66 @@ def count_in_trailing_range(
     return df.join(counts, df[row_id] == counts["_id"], "left").drop("_id")
 
 
+def distinct_in_trailing_range(
+    df: DataFrame, key: str, item: str, ts: str, row_id: str, width: str, out: str = "distinct_in_range"
+) -> DataFrame:
+    """For every row: the number of distinct ``item`` values among the rows of
+    the same key whose time lies in [ts - width, ts] (both ends included) —
+    ``count(DISTINCT item) OVER (PARTITION BY key ORDER BY ts RANGE width
+    PRECEDING)``, which Spark refuses.
+
+    An item counts by its first occurrence in the range, and that is one of
+    two kinds. A *fresh* occurrence has none before it within ``width``: it is
+    counted wherever it lies in the range. Any other follows its previous one
+    at a distance of at most ``width``: it is the first in the range exactly
+    if the interval between the two crosses the range's left edge. So the
+    count is the fresh occurrences in the range plus the intervals open at its
+    left edge, and both are running counts.
+
+    Rows are bucketed by ``width`` as in ``count_in_trailing_range``: the left
+    edge lies in the bucket before the row's, and an interval reaches at most
+    into the next bucket, where it is carried in. Partitions are (key,
+    bucket) and (key, item, bucket); equal times of an item are collapsed
+    first. Rows with a NULL key, item or time get NULL.
+    """
+    width_us = interval_seconds(width) * 1_000_000
+    base = df.select(F.col(key).alias("_k"), F.col(item).alias("_o"), epoch_micros(ts).alias("_t"), F.col(row_id).alias("_id")).filter(
+        F.col("_k").isNotNull() & F.col("_o").isNotNull() & F.col("_t").isNotNull())
+    points = base.select("_k", "_o", "_t", bucket_of_micros(F.col("_t"), width_us).alias("_b")).distinct()
+    ends = points.groupBy("_k", "_o", (F.col("_b") + 1).alias("_b")).agg(F.max("_t").alias("_end"))
+    before = F.lag("_t").over(Window.partitionBy("_k", "_o", "_b").orderBy("_t"))
+    points = points.withColumn("_p", before).join(ends, ["_k", "_o", "_b"], "left")
+    points = points.withColumn("_p", F.coalesce("_p", "_end"))
+    points = points.withColumn("_near", F.coalesce(F.col("_p") >= F.col("_t") - width_us, F.lit(False)))
+    left = bucket_of_micros(F.col("_p"), width_us)
+    nothing, one = F.lit(0), F.lit(1)
+
+    def mark(bucket, time, order, fresh, opened):
+        """A row of the sweep; at equal times a left edge (0) comes before
+        what happens then (1), a range's right edge (2) after it."""
+        return F.struct(bucket.alias("_b"), time.alias("_t"), order.alias("_ord"), fresh.alias("_fresh"), opened.alias("_open"))
+
+    happened = F.when(~F.col("_near"), F.array(mark(F.col("_b"), F.col("_t"), one, one, nothing))).otherwise(
+        F.filter(F.array(
+            mark(left, F.col("_p"), one, nothing, one),
+            mark(F.col("_b"), F.col("_t"), one, nothing, F.lit(-1)),
+            F.when(left != F.col("_b"), mark(F.col("_b"), F.lit(-(1 << 62)), one, nothing, one)),  # carried in
+        ), lambda m: m.isNotNull()))
+    sweep = points.select("_k", F.inline(happened)).withColumn("_at", F.lit(None).cast("long"))
+    asked = base.select("_k", "_t").distinct().withColumn("_b", bucket_of_micros(F.col("_t"), width_us))
+    edges = asked.select("_k", F.col("_t").alias("_at"), F.inline(F.array(
+        mark(F.col("_b"), F.col("_t"), F.lit(2), nothing, nothing),
+        mark(F.col("_b") - 1, F.col("_t") - width_us, F.lit(0), nothing, nothing))))
+    part = Window.partitionBy("_k", "_b")
+    upto = part.orderBy("_t", "_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = sweep.unionByName(edges).withColumns(
+        {"_upto": F.sum("_fresh").over(upto), "_opened": F.sum("_open").over(upto), "_total": F.sum("_fresh").over(part)})
+    share = F.when(F.col("_ord") == 2, F.col("_upto")).otherwise(F.col("_total") - F.col("_upto") + F.col("_opened"))
+    counts = swept.filter("_at is not null").groupBy("_k", "_at").agg(F.sum(share).alias(out))
+    each = base.join(counts.withColumnRenamed("_at", "_t"), ["_k", "_t"])
+    return df.join(each.select("_id", out).distinct(), df[row_id] == F.col("_id"), "left").drop("_id")
+
+
 def prior_non_null(
     df: DataFrame,
     key: str,

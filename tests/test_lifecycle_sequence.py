@@ -3,7 +3,7 @@ import random
 
 from orderlens.operators import lifecycle as L
 from orderlens.operators.enrich import enrich_orders
-from orderlens.operators.sequence import count_in_trailing_range, prior_non_null
+from orderlens.operators.sequence import count_in_trailing_range, distinct_in_trailing_range, prior_non_null
 from tests.helpers import events
 
 T0 = dt.datetime(2024, 1, 1, 23, 0)
@@ -83,3 +83,32 @@ def test_helpers_match_brute_force_with_hot_key(spark):
     for rid, k, t, v, off in rows:
         exp = sum(1 for o in rows if o[1] == k and 0 <= (t - o[2]).total_seconds() <= 7200)
         assert counts[rid] == exp, rid
+
+
+def test_distinct_items_in_a_trailing_range(spark):
+    """Against a count of every pair: items that occur again and again, ties,
+    a hot key, gaps of exactly the width, NULLs."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(700):
+        key = rnd.choice(["hot", "hot", "k1", "k2", None])
+        t = T0 + dt.timedelta(minutes=rnd.choice([rnd.randrange(0, 600), 60 * rnd.randrange(0, 10)]))
+        rows.append((f"r{i}", key, rnd.choice([None, *(f"o{k}" for k in range(9))]), None if i % 50 == 7 else t))
+    df = spark.createDataFrame(rows, "rid string, k string, o string, t timestamp").repartition(3)
+    for minutes in (1, 5, 60, 240):
+        got = {r.rid: r.n for r in distinct_in_trailing_range(df, "k", "o", "t", "rid", f"{minutes} minutes", out="n").collect()}
+        assert len(got) == len(rows)
+        for rid, k, o, t in rows:
+            known = k is not None and o is not None and t is not None
+            want = len({p for _, q, p, u in rows if q == k and p is not None and u is not None
+                        and dt.timedelta(0) <= t - u <= dt.timedelta(minutes=minutes)}) if known else None
+            assert got[rid] == want, (rid, minutes)
+
+
+def test_rapid_fire_counts_orders_not_events(spark):
+    from orderlens.operators.anomalies import rapid_fire
+
+    rows = [{"event_id": f"e{i}", "order_id": f"o{i % 3}", "customer_id": "c1", "ts": T0 + dt.timedelta(seconds=i), "total": 1.0}
+            for i in range(9)]  # three orders, each created three times
+    assert rapid_fire(events(spark, rows), n=5).count() == 0
+    assert {r.orders_in_window for r in rapid_fire(events(spark, rows), n=2).collect()} == {3}
