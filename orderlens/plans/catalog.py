@@ -320,7 +320,7 @@ def cancellation_spikes(spark, sf_dir):
 def _rapid_sql(n: int, width: str) -> str:
     return O.with_valid(f"""
 SELECT event_id, customer_id, order_id, event_timestamp, orders_in_window FROM (
-  SELECT *, count(*) OVER (PARTITION BY customer_id ORDER BY event_timestamp
+  SELECT *, count(DISTINCT order_id) OVER (PARTITION BY customer_id ORDER BY event_timestamp
                            RANGE BETWEEN INTERVAL '{width}' PRECEDING AND CURRENT ROW) AS orders_in_window
   FROM valid WHERE event_type = 'order_created' AND customer_id IS NOT NULL
 ) WHERE orders_in_window > {n}""")
@@ -343,10 +343,30 @@ def rapid_fire_1h(spark, sf_dir):
     return _rapid(spark, sf_dir, 1, "1 hour")
 
 
-@register("rapid_fire_24h", _rapid_sql(2, "24 hours"))
+@register("rapid_fire_24h", _rapid_sql(1, "24 hours"))
 def rapid_fire_24h(spark, sf_dir):
-    """O-34 at > 2 orders within 24 hours."""
-    return _rapid(spark, sf_dir, 2, "24 hours")
+    """O-34 at > 1 order within 24 hours (the adapter gives a customer one
+    order a day)."""
+    return _rapid(spark, sf_dir, 1, "24 hours")
+
+
+@register("rapid_fire_desks", """
+WITH ev AS (
+  SELECT 'DESK-' || c_mktsegment AS customer_id, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS order_id,
+         'ORD-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(again AS VARCHAR) AS event_id,
+         CAST(o_orderdate AS TIMESTAMP) + again * INTERVAL 2 MINUTE AS event_timestamp
+  FROM (SELECT *, unnest(range(0, CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END)) AS again FROM orders)
+  JOIN customer ON o_custkey = c_custkey)
+SELECT event_id, customer_id, order_id, event_timestamp, orders_in_window FROM (
+  SELECT *, count(DISTINCT order_id) OVER (PARTITION BY customer_id ORDER BY event_timestamp
+                                           RANGE BETWEEN INTERVAL 5 MINUTE PRECEDING AND CURRENT ROW) AS orders_in_window FROM ev
+) WHERE orders_in_window > 5""")
+def rapid_fire_desks(spark, sf_dir):
+    """O-34 with the documented parameters over the orders table: desks with
+    > 5 different orders within 5 minutes, orders created twice among them."""
+    r = A.rapid_fire(T.desk_orders(spark, sf_dir))
+    return r.select("event_id", "customer_id", "order_id", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+                    "orders_in_window")
 
 
 def _anomalies_sql():
@@ -359,21 +379,21 @@ FROM valid WHERE event_type = 'order_created' AND total_amount > 2000"""
 FROM ({_SPIKES_SQL})"""
     rapid = f"""SELECT 'rapid_fire', {O.AS_OF_SQL}, order_id, customer_id, shipping_province, total_amount, NULL,
        'orders_in_window=' || CAST(orders_in_window AS VARCHAR)
-FROM (SELECT *, count(*) OVER (PARTITION BY customer_id ORDER BY event_timestamp
+FROM (SELECT *, count(DISTINCT order_id) OVER (PARTITION BY customer_id ORDER BY event_timestamp
                               RANGE BETWEEN INTERVAL '24 hours' PRECEDING AND CURRENT ROW) AS orders_in_window
-      FROM valid WHERE event_type = 'order_created' AND customer_id IS NOT NULL) WHERE orders_in_window > 2"""
+      FROM valid WHERE event_type = 'order_created' AND customer_id IS NOT NULL) WHERE orders_in_window > 1"""
     return O.with_valid(f"{large}\nUNION ALL\n{spikes}\nUNION ALL\n{rapid}")
 
 
 @register("anomalies", _anomalies_sql())
 def anomalies(spark, sf_dir):
     """O-06: every detector in the order_anomalies shape (large orders,
-    1-minute cancellation spikes, rapid fire > 2 in 24 h)."""
+    1-minute cancellation spikes, rapid fire > 1 in 24 h)."""
     ev = B.valid_enriched(spark, sf_dir)
     out = A.anomalies(
         large=A.large_orders(ev),
         spikes=A.cancellation_spikes(ev),
-        rapid=A.rapid_fire(ev, n=2, window="24 hours"),
+        rapid=A.rapid_fire(ev, n=1, window="24 hours"),
         detected_at=B.AS_OF,
     )
     return out.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
@@ -663,9 +683,10 @@ def _fresh_store(spark) -> TableStore:
 # ---------------------------------------------------------------------------
 # Tables: commits, as-of reads, added columns
 # ---------------------------------------------------------------------------
-# Three commits of the daily quality rows: last day of each and commit time.
+# Four commits of the daily quality rows: last day of each and commit time.
+# The third holds no row.
 _COMMITS = (("2024-01-10", "2024-02-01 00:00:00"), ("2024-01-20", "2024-02-02 00:00:00"),
-            ("9999-12-31", "2024-02-03 00:00:00"))
+            ("2024-01-20", "2024-02-02 12:00:00"), ("9999-12-31", "2024-02-03 00:00:00"))
 _COMMITS_SQL = O.with_checked(f"""
 SELECT CAST(batch_date AS TIMESTAMP) AS check_timestamp, records_checked, records_valid, records_invalid,
        quarantine_rate, CASE {' '.join(f"WHEN batch_date <= DATE '{d}' THEN {n}" for n, (d, _) in enumerate(_COMMITS))} END AS n
@@ -673,7 +694,7 @@ FROM ({_DAILY})""")
 
 
 def _quality_table(spark, sf_dir) -> TableStore:
-    """order_quality with the daily rows in three commits; the last one
+    """order_quality with the daily rows in four commits; the last one
     also fills a column added before it."""
     store = _fresh_store(spark)
     daily = quality_metrics_daily(spark, sf_dir).withColumn("check_timestamp", F.col("batch_date").cast("timestamp"))
@@ -704,19 +725,18 @@ def table_as_of(spark, sf_dir):
 
 
 @register("table_commits", f"""
-SELECT 'quality-' || lpad(CAST(n AS VARCHAR), 12, '0') AS "commit",
-       CASE {' '.join(f"WHEN n = {n} THEN TIMESTAMP '{at}'" for n, (_, at) in enumerate(_COMMITS))} END AS committed_at,
-       count(*) AS "rows"
-FROM ({_COMMITS_SQL}) GROUP BY ALL""")
+SELECT 'quality-' || lpad(CAST(c.n AS VARCHAR), 12, '0') AS "commit", c.committed_at, count(r.n) AS "rows"
+FROM (VALUES {', '.join(f"({n}, TIMESTAMP '{at}')" for n, (_, at) in enumerate(_COMMITS))}) c(n, committed_at)
+LEFT JOIN ({_COMMITS_SQL}) r ON r.n = c.n GROUP BY c.n, c.committed_at""")
 def table_commits(spark, sf_dir):
-    """O-61: commits of the daily quality table."""
+    """O-61: commits of the daily quality table, the empty one included."""
     return _ntz(_quality_table(spark, sf_dir).snapshots("order_quality"), "committed_at")
 
 
-@register("table_added_column", "SELECT check_timestamp, records_checked, CASE WHEN n = 2 THEN 'v2' END AS checked_by "
+@register("table_added_column", "SELECT check_timestamp, records_checked, CASE WHEN n = 3 THEN 'v2' END AS checked_by "
                                 f"FROM ({_COMMITS_SQL})")
 def table_added_column(spark, sf_dir):
-    """O-64: a column added before the third commit; older rows read NULL."""
+    """O-64: a column added before the last commit; older rows read NULL."""
     return _ntz(_quality_table(spark, sf_dir).read("order_quality"), "check_timestamp").select(
         "check_timestamp", "records_checked", "checked_by")
 
@@ -767,31 +787,80 @@ SELECT * FROM (
 ) WHERE window_end <= (SELECT wm FROM bound)""", closed)
 
 
-@register("stream_order_metrics", _stream_metrics_sql())
-def stream_order_metrics(spark, sf_dir):
-    """O-70..O-77 end to end: the raw messages as daily files, read as a
-    stream (availableNow, several micro-batches), parsed, checked, enriched,
-    watermarked and aggregated with the chained exact distinct counts; the
-    hourly windows the stream emitted, read back from its order_metrics
-    table. Every run uses a fresh folder under the shared checkpoint root."""
+def _streamed(spark, sf_dir, **settings) -> TableStore:
+    """The tables after a stream over the raw messages is drained, in a fresh
+    folder under the shared checkpoint root. The files are as Spark wrote them,
+    in any order of event time."""
     from orderlens.sources.raw import read_raw_files
     from orderlens.streaming.jobs import OrderStreams, StreamSettings
 
     root = f"{checkpoint_root(spark, allow_local_fallback=True)}/stream-query-{uuid.uuid4().hex}"
-    files = T.write_daily_raw_files(spark, sf_dir, f"{root}/raw")
-    settings = StreamSettings(trigger={"availableNow": True}, check_kwargs=dict(B.CHECK_ARGS), tumbling="1 hour",
-                              detected_at=B.AS_OF, outputs=("metrics",))
+    files = T.write_raw_files(spark, sf_dir, f"{root}/raw")
+    per_trigger = settings.pop("files", None)
+    settings = StreamSettings(trigger={"availableNow": True}, check_kwargs=dict(B.CHECK_ARGS), detected_at=B.AS_OF, **settings)
     store = TableStore(spark, root=f"{root}/tables")
-    jobs = OrderStreams(spark, read_raw_files(spark, files, max_files_per_trigger=10), store,
+    jobs = OrderStreams(spark, read_raw_files(spark, files, max_files_per_trigger=per_trigger), store,
                         settings, checkpoint_dir=f"{root}/streams")
-    try:
-        jobs.start()
-        jobs.process_all_available()
-    finally:
-        jobs.stop()
+    jobs.start()
+    jobs.await_termination()
+    return store
+
+
+@register("stream_order_metrics", _stream_metrics_sql())
+def stream_order_metrics(spark, sf_dir):
+    """O-70..O-77 end to end: the raw messages read as a stream
+    (availableNow), parsed, checked, enriched, watermarked and aggregated with
+    the chained exact distinct counts; the hourly windows the stream emitted,
+    read back from its order_metrics table. All files come in one micro-batch,
+    so none is late whatever its place in time; late data is tested apart."""
+    store = _streamed(spark, sf_dir, tumbling="1 hour", outputs=("metrics",))
     m = store.read("order_metrics").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         *W.METRIC_COLUMNS,
     )
     return _round(m, money=["total_revenue"], ratios=["avg_order_value"])
+
+
+@register("stream_lifecycle", O.with_streamed(f"""
+SELECT event_id, order_id, event_type, event_timestamp,
+  last_value(shipping_province IGNORE NULLS) OVER w AS shipping_province,
+  last_value(shipping_city IGNORE NULLS) OVER w AS shipping_city,
+  last_value(payment_method IGNORE NULLS) OVER w AS payment_method, previous_status,
+  CASE WHEN previous_status IS NULL AND event_type <> 'order_created' THEN 'first_event_not_created'
+       WHEN (previous_status = 'created' AND event_type NOT IN ('order_item_added', 'order_confirmed', 'order_cancelled'))
+         OR (previous_status = 'confirmed' AND event_type NOT IN ('order_shipped', 'order_cancelled'))
+         OR (previous_status = 'shipped' AND event_type NOT IN ('order_delivered'))
+         OR previous_status IN ('delivered', 'cancelled') THEN 'transition_not_allowed' END AS violation
+FROM (
+  SELECT *, last_value(status IGNORE NULLS) OVER (PARTITION BY order_id ORDER BY event_timestamp, kafka_offset
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_status
+  FROM (SELECT *, {O.STATUS_SQL} AS status FROM streamed)
+)
+WINDOW w AS (PARTITION BY order_id ORDER BY event_timestamp, kafka_offset ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
+def stream_lifecycle(spark, sf_dir):
+    """O-41 and O-42 on a stream: keyed state per order fills regions and
+    judges transitions over several micro-batches of files in any order."""
+    from orderlens.streaming.lifecycle import lifecycle_events
+
+    store = _streamed(spark, sf_dir, outputs=("lifecycle",), files=4)
+    return _ntz(lifecycle_events(store), "event_timestamp").select(
+        "event_id", "order_id", "event_type", "event_timestamp", "shipping_province", "shipping_city", "payment_method",
+        "previous_status", "violation")
+
+
+@register("stream_order_state", O.with_streamed(f"""
+SELECT order_id,
+       arg_max(status, event_timestamp) FILTER (WHERE status IS NOT NULL) AS current_status,
+       round(arg_max(total_amount, event_timestamp), 2) AS last_total,
+       arg_max_null(customer_id, event_timestamp) AS customer_id,
+       min(event_timestamp) AS first_event_time, max(event_timestamp) AS last_event_time,
+       count(*) AS event_count
+FROM (SELECT *, {O.STATUS_SQL} AS status FROM streamed) GROUP BY order_id"""))
+def stream_order_state(spark, sf_dir):
+    """O-40 on a stream: the last state that the update-mode aggregation
+    wrote of every order, over several micro-batches."""
+    from orderlens.streaming.lifecycle import live_order_state
+
+    store = _streamed(spark, sf_dir, outputs=("order_state",), files=4)
+    return _round(_ntz(live_order_state(store), "first_event_time", "last_event_time"), money=["last_total"])

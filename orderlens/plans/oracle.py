@@ -152,6 +152,7 @@ parsed AS (
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE total_amount END AS total_amount,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE currency END AS currency,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE shipping_province END AS shipping_province,
+    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE shipping_city END AS shipping_city,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE payment_method END AS payment_method,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE items END AS items,
     kafka_offset % 127 = 0 AS malformed,
@@ -164,6 +165,14 @@ def with_parsed(select_sql: str, extra: str = "") -> str:
     return _with(PARSED_CTE, select_sql, extra)
 
 
+def with_streamed(select_sql: str, extra: str = "") -> str:
+    """Over the events that a stream of the raw messages stores: valid, and
+    without NULL in what order_events needs (that is quarantined)."""
+    return with_parsed(select_sql, f"""
+streamed AS (SELECT * FROM (SELECT *, {REASON_SQL} AS r FROM parsed) WHERE r = 'valid' AND customer_id IS NOT NULL)"""
+                       + (f",\n{extra}" if extra else ""))
+
+
 STATUS_SQL = """CASE event_type WHEN 'order_created' THEN 'created' WHEN 'order_confirmed' THEN 'confirmed'
     WHEN 'order_shipped' THEN 'shipped' WHEN 'order_delivered' THEN 'delivered'
     WHEN 'order_cancelled' THEN 'cancelled' END"""

@@ -203,27 +203,23 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_daily_raw_files(spark: SparkSession, sf_dir: str, path: str, faults: bool = True) -> str:
-    """Write ``raw_messages`` as one folder per broker day under ``path``
-    and return the glob a file stream source reads.
-
-    A file source replays files in modification-time order; parallel write
-    tasks finish in any order, so each file's modification time is set to
-    its day (plus its position within the day) afterwards: the stream then
-    sees the days in the order they would have arrived. Only file metadata
-    is touched (one call per file)."""
-    raw = raw_messages(spark, sf_dir, faults=faults).withColumn("day", F.to_date("timestamp"))
-    (raw.repartitionByRange(spark.sparkContext.defaultParallelism, "day", "timestamp")
-     .write.partitionBy("day").parquet(path))
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    days = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("day="))
-    base_ms = 1_000_000_000_000
-    for i, day in enumerate(days):
-        files = sorted(s.getPath().toString() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{day}"))
-                       if s.getPath().getName().endswith(".parquet"))
-        for j, f in enumerate(files):
-            stamp = base_ms + i * 86_400_000 + j * 1000
-            fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), stamp, stamp)
-    return f"{path}/day=*"
+def desk_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_created events of the ``orders`` table as its customers' market
+    segments place them: one desk a segment is the customer, so several orders
+    fall on one instant (a day's midnight). Orders whose number is a multiple
+    of 7 are created again two minutes later."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return o.join(c, o.o_custkey == c.c_custkey).selectExpr(
+        "concat('DESK-', c_mktsegment) AS customer_id", "concat('ORD-', CAST(o_orderkey AS STRING)) AS order_id",
+        "'order_created' AS event_type", "o_orderkey", "o_orderdate",
+        "explode(sequence(0, CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END)) AS again",
+    ).selectExpr(
+        "customer_id", "order_id", "event_type", "concat(order_id, '-', CAST(again AS STRING)) AS event_id",
+        "o_orderdate + make_interval(0, 0, 0, 0, 0, 2 * again, 0) AS event_timestamp")
+
+
+def write_raw_files(spark: SparkSession, sf_dir: str, path: str, faults: bool = True) -> str:
+    """Write ``raw_messages`` as Parquet files under ``path``, for a file stream."""
+    raw_messages(spark, sf_dir, faults=faults).write.parquet(path)
+    return path
