@@ -7,8 +7,8 @@ Layout (each query has its own name and checkpoint under the shared root):
   quarantine, the micro-batch quality row and the per-event large-order
   anomalies. Stateless, so it needs no watermark; late events are kept.
 * ``order_metrics`` / ``order_metrics_sliding`` — tumbling and sliding
-  window metrics with an event-time watermark, exact distinct counts by
-  chained aggregation, append mode.
+  window metrics with an event-time watermark, exact distinct counts from
+  panes, append mode.
   The metrics writer also emits the cancellation spikes among the closed
   windows (same grouping), so no extra stateful query re-reads the stream.
 
@@ -56,6 +56,7 @@ class StreamSettings:
     watermark: str = S.WATERMARK_DELAY
     tumbling: str = "1 minute"
     sliding: tuple[str, str] = ("5 minutes", "2 minutes")
+    approx: bool = False  # distinct counts of the windows by sketches (exact is the default)
     # Width of the cancellation-spike rule. At the width of ``tumbling`` the
     # spikes come from its closed windows, else from a query of their own.
     spike_window: str = "1 minute"
@@ -166,12 +167,12 @@ def process_events_batch(batch: DataFrame, batch_id: int, store: TableStore, set
 # ---------------------------------------------------------------------------
 def tumbling_stream(valid: DataFrame, settings: StreamSettings) -> DataFrame:
     wm = valid.withWatermark("event_timestamp", settings.watermark)
-    return W.metrics_rows(W.tumbling_metrics_chained(wm, settings.tumbling))
+    return W.metrics_rows(W.tumbling_metrics(wm, settings.tumbling, approx=settings.approx))
 
 
 def sliding_stream(valid: DataFrame, settings: StreamSettings) -> DataFrame:
     wm = valid.withWatermark("event_timestamp", settings.watermark)
-    return W.sliding_rows(W.sliding_metrics_chained(wm, *settings.sliding))
+    return W.sliding_rows(W.sliding_metrics(wm, *settings.sliding, approx=settings.approx))
 
 
 def spikes_stream(valid: DataFrame, settings: StreamSettings) -> DataFrame:

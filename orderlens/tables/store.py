@@ -135,8 +135,10 @@ class TableStore:
             {COMMITTED_AT: stamp, HOUR_COLUMN: hour, COMMIT_COLUMN: F.lit(key)}).hint("rebalance", HOUR_COLUMN)
         counted = Observation()
         self._begin_commit(table, key)
-        (out.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(HOUR_COLUMN, COMMIT_COLUMN)
-         .parquet(self.path(table)))
+        # Dynamic overwrite touches the folders of this commit only and stages
+        # each job's files apart, so writers of one table can commit at once.
+        (out.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(HOUR_COLUMN, COMMIT_COLUMN).parquet(self.path(table)))
         entry = self.spark.range(1).select(stamp.alias(COMMITTED_AT), F.lit(counted.get["rows"]).cast("long").alias("rows"))
         entry.coalesce(1).write.mode("overwrite").parquet(f"{self._commits_path(table)}/{COMMIT_COLUMN}={key}")
         return counted.get["rows"]

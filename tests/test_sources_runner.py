@@ -116,7 +116,7 @@ def test_dirty_input_edges(spark):
 
     from orderlens.functions.columns import as_of_column, parse_iso_timestamp
     from orderlens.operators.lifecycle import illegal_transitions
-    from orderlens.operators.windows import tumbling_metrics, tumbling_metrics_chained
+    from orderlens.operators.windows import tumbling_metrics
 
     aware = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone(dt.timedelta(hours=5)))
     texts = ["10:30:00", "2025", "2025-01-15T10:30:00+00:00", "2025-01-15T10:30:00.123Z", None]
@@ -134,7 +134,7 @@ def test_dirty_input_edges(spark):
     assert illegal_transitions(ev).collect() == []
     enriched = enrich_orders(ev)
     both = [f(enriched).select("window", "order_count", "unique_customers", "total_revenue", "event_count").collect()
-            for f in (tumbling_metrics, tumbling_metrics_chained)]
+            for f in (tumbling_metrics, lambda df: tumbling_metrics(df, pane="10 seconds"))]
     assert both[0] == both[1] and both[0][0].order_count == 2
     again = events(spark, [{"event_id": f"e{i % 3}", "order_id": f"o{i % 3}", "customer_id": "c", "ts": "2024-01-01 10:00:00", "total": 1.0}
                            for i in range(12)])

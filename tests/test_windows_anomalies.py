@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators import anomalies as A
@@ -45,20 +46,46 @@ def test_sliding_membership(spark):
     assert got == [(0, 2), (2, 2), (4, 1)]
 
 
-def test_chained_equals_count_distinct(spark):
-    ev = B.valid_enriched(spark, SF)
-    cols = W.METRIC_COLUMNS
-    for width in ("1 hour", "1 minute"):
-        a = W.metrics_rows(W.tumbling_metrics(ev, width)).withColumn("total_revenue", F.round("total_revenue", 2)) \
-            .withColumn("avg_order_value", F.round("avg_order_value", 4))
-        b = W.metrics_rows(W.tumbling_metrics_chained(ev, width)).withColumn("total_revenue", F.round("total_revenue", 2)) \
-            .withColumn("avg_order_value", F.round("avg_order_value", 4))
-        assert _rows(a, ("window_start",) + cols) == _rows(b, ("window_start",) + cols)
-    a = W.sliding_rows(W.sliding_metrics(ev)).withColumn("sliding_total_revenue", F.round("sliding_total_revenue", 2))
-    b = W.sliding_rows(W.sliding_metrics_chained(ev)).withColumn("sliding_total_revenue", F.round("sliding_total_revenue", 2))
-    drop = ("sliding_avg_order_value",)
-    keep = [c for c in ("window_start",) + W.SLIDING_COLUMNS if c not in drop]
-    assert _rows(a, keep) == _rows(b, keep)
+def test_panes_equal_count_distinct(spark):
+    """Tumbling and sliding windows, from panes of any width, against Spark's
+    own exact distinct counts per window."""
+    ev = B.valid_enriched(spark, SF).persist()
+    created = F.col("event_type") == "order_created"
+    for width, slide in (("1 hour", None), ("1 minute", None), ("5 minutes", "2 minutes"), ("6 hours", "90 minutes")):
+        window = F.window("event_timestamp", width, slide) if slide else F.window("event_timestamp", width)
+        want = ev.groupBy(window.alias("window"), F.col("shipping_province").alias("region")).agg(
+            F.count("*"), F.count_if(F.col("event_type") == "order_cancelled"),
+            F.round(F.sum(F.when(created, F.col("payload.total_amount"))), 2), F.count_distinct("order_id"),
+            F.count_distinct(F.when(created, F.col("customer_id"))))
+        want = sorted(map(repr, (tuple(r) for r in want.collect())))
+        for pane in {"1 minute": (None, "10 seconds")}.get(width, (None, "1 minute")):
+            got = W.window_facts(ev, width, slide, pane=pane).select(
+                "window", "region", "events", "cancellations", F.round("sales", 2), "orders", "buyers")
+            assert sorted(map(repr, (tuple(r) for r in got.collect()))) == want, (width, slide, pane)
+    ev.unpersist()
+    with pytest.raises(ValueError):
+        W.window_facts(ev, "5 minutes", "2 minutes", pane="2 minutes")
+
+
+def test_sketches_stay_within_their_error(spark):
+    """Distinct counts by sketches per pane, merged to hours and days; sums
+    and counts stay exact."""
+    n = 60_000
+    ev = spark.range(n).select(
+        F.expr("timestamp_seconds(1704067200 + id % 86400)").alias("event_timestamp"), F.lit("order_created").alias("event_type"),
+        F.expr("concat('o', id % 50000)").alias("order_id"), F.expr("concat('c', id % 7000)").alias("customer_id"),
+        F.lit("P").alias("shipping_province"), F.expr("named_struct('total_amount', 1.0D)").alias("payload"))
+    for width, pane in (("1 day", "1 hour"), ("1 day", None), ("6 hours", "1 hour")):
+        exact = {r["window"]: r for r in W.window_facts(ev, width).collect()}
+        rows = W.window_facts(ev, width, approx=True, pane=pane).collect()
+        assert len(rows) == len(exact)
+        for r in rows:
+            e = exact[r["window"]]
+            assert (r["events"], r["sales"], r["n_sales"]) == (e["events"], e["sales"], e["n_sales"])
+            for c in ("orders", "buyers"):
+                assert abs(r[c] - e[c]) <= 4 * 0.016 * e[c] + 1  # four standard errors
+    small = W.tumbling_metrics(ev.filter("1 = 0"), "1 hour", approx=True)
+    assert small.count() == 0
 
 
 def test_large_orders_and_spikes_thresholds(spark):
