@@ -200,9 +200,13 @@ def split_by_rules(df: DataFrame, rules=DEFAULT_RULES, as_of=None, quarantine=("
 UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
-def contract_clauses() -> list[tuple[str, Column]]:
-    """(clause, violated?) for the published event contract, in order."""
+def contract_clauses(timestamp_text: Column | None = None) -> list[tuple[str, Column]]:
+    """(clause, violated?) for the published event contract, in order.
+    ``timestamp_text``: the timestamp as the message has it; with it a
+    date-time that does not parse is told from one that is missing."""
     p = "payload"
+    no_time = F.col("event_timestamp").isNull()
+    given = timestamp_text.isNotNull() if timestamp_text is not None else F.lit(False)
     items = F.col(f"{p}.items")
     pm = F.col(f"{p}.payment_method")
     cur = F.col(f"{p}.currency")
@@ -211,7 +215,8 @@ def contract_clauses() -> list[tuple[str, Column]]:
         ("missing_event_type", F.col("event_type").isNull()),
         ("missing_order_id", F.col("order_id").isNull()),
         ("missing_customer_id", F.col("customer_id").isNull()),
-        ("missing_timestamp", F.col("event_timestamp").isNull()),
+        ("missing_timestamp", no_time & ~given),
+        ("timestamp_malformed", no_time & given),
         ("missing_payload", F.col(p).isNull()),
         ("event_id_not_uuid", ~F.col("event_id").rlike(UUID_PATTERN)),
         ("order_id_not_uuid", ~F.col("order_id").rlike(UUID_PATTERN)),
@@ -227,8 +232,10 @@ def contract_clauses() -> list[tuple[str, Column]]:
 
 
 def contract_violations(df: DataFrame) -> DataFrame:
-    """Adds ``contract_violations``: array of violated clause names."""
-    arr = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in contract_clauses()]))
+    """Adds ``contract_violations``: array of violated clause names. The
+    timestamp's text is taken from ``raw_value`` where the events carry it."""
+    text = F.get_json_object("raw_value", "$.timestamp") if "raw_value" in df.columns else None
+    arr = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in contract_clauses(text)]))
     return df.withColumn("contract_violations", arr)
 
 

@@ -206,7 +206,8 @@ _CONTRACT = [
     ("missing_event_type", "event_type IS NULL"),
     ("missing_order_id", "order_id IS NULL"),
     ("missing_customer_id", "customer_id IS NULL"),
-    ("missing_timestamp", "event_timestamp IS NULL"),
+    ("missing_timestamp", "event_timestamp IS NULL AND NOT time_malformed"),
+    ("timestamp_malformed", "time_malformed"),
     ("missing_payload", "malformed"),
     ("event_id_not_uuid", f"NOT regexp_matches(event_id, {_UUID})"),
     ("order_id_not_uuid", f"NOT regexp_matches(order_id, {_UUID})"),
@@ -253,8 +254,9 @@ per AS (
 ),
 h AS (
   SELECT 'ORD-' || CAST(o_orderkey AS VARCHAR) AS order_id,
-         'CUST-' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS customer_id, round(o_totalprice, 2) AS total_amount
-  FROM orders
+         'CUST-' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS customer_id,
+         round(coalesce(round(per.s, 2) + CASE WHEN o_orderkey % 97 = 0 THEN 1.0 ELSE 0.0 END, o_totalprice), 2) AS total_amount
+  FROM orders LEFT JOIN per ON per.order_id = 'ORD-' || CAST(o_orderkey AS VARCHAR)
 )
 SELECT h.order_id, h.customer_id, h.total_amount, round(coalesce(per.s, 0), 2) AS items_total,
        coalesce(per.n, 0) AS line_count, coalesce(per.bad, 0) AS bad_item_count
@@ -769,7 +771,7 @@ def raw_events_table(spark, sf_dir):
 def _stream_metrics_sql() -> str:
     closed = """
 valid_parsed AS (SELECT * FROM (SELECT *, {reason} AS r FROM parsed)
-                 WHERE r = 'valid' AND customer_id IS NOT NULL),  -- what order_events cannot store is quarantined
+                 WHERE r = 'valid' AND customer_id IS NOT NULL AND event_timestamp IS NOT NULL),  -- what order_events cannot store is quarantined
 bound AS (SELECT max(event_timestamp) - INTERVAL 10 MINUTE AS wm FROM valid_parsed)""".format(reason=O.REASON_SQL)
     return O.with_parsed("""
 SELECT * FROM (

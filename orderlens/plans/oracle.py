@@ -140,7 +140,8 @@ GROUP BY 1, 2, 3""", members)
 
 
 # The raw messages of the adapter, parsed: every 127th body is not JSON, so
-# all its fields are NULL (the message key and broker columns survive).
+# all its fields are NULL (the message key and broker columns survive); every
+# 157th has a bare date for a timestamp, which is NULL then.
 PARSED_CTE = EVENTS_CTE + """,
 parsed AS (
   SELECT message_key,
@@ -148,7 +149,8 @@ parsed AS (
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE event_type END AS event_type,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE order_id END AS order_id,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE customer_id END AS customer_id,
-    CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE event_timestamp END AS event_timestamp,
+    CASE WHEN kafka_offset % 127 <> 0 AND kafka_offset % 157 <> 0 THEN event_timestamp END AS event_timestamp,
+    kafka_offset % 127 <> 0 AND kafka_offset % 157 = 0 AS time_malformed,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE total_amount END AS total_amount,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE currency END AS currency,
     CASE WHEN kafka_offset % 127 = 0 THEN NULL ELSE shipping_province END AS shipping_province,
@@ -169,7 +171,8 @@ def with_streamed(select_sql: str, extra: str = "") -> str:
     """Over the events that a stream of the raw messages stores: valid, and
     without NULL in what order_events needs (that is quarantined)."""
     return with_parsed(select_sql, f"""
-streamed AS (SELECT * FROM (SELECT *, {REASON_SQL} AS r FROM parsed) WHERE r = 'valid' AND customer_id IS NOT NULL)"""
+streamed AS (SELECT * FROM (SELECT *, {REASON_SQL} AS r FROM parsed) WHERE r = 'valid'
+               AND customer_id IS NOT NULL AND event_timestamp IS NOT NULL)"""
                        + (f",\n{extra}" if extra else ""))
 
 

@@ -23,7 +23,10 @@ Mapping (fixed values):
 Injected faults (by event_id): %101 order_id NULL; %103 type 'bogus';
 %107 total 999999.0; %109 ts + 60 days; %113 ts - 400 days; %127 the raw
 message body is not JSON; %131 the first item's subtotal is 1 too high; %137
-its quantity is 0; %139 its product name is missing; %149 customer_id NULL.
+its quantity is 0; %139 its product name is missing; %149 customer_id NULL;
+%157 the timestamp in the raw message has no time of day.
+Order headers: total = sum of the order's lines, 1 too high where the order
+number is a multiple of 97.
 """
 
 from __future__ import annotations
@@ -146,7 +149,8 @@ def raw_messages(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataF
     timestamp) whose JSON bodies encode ``order_events``.
 
     Timestamps alternate between the ``+00:00`` and ``Z`` offset forms; with
-    faults on, every 127th body is not JSON at all.
+    faults on, every 127th body is not JSON at all and every 157th timestamp is a
+    bare date.
     """
     ev = order_events(spark, sf_dir, faults=faults)
     eid = F.col("kafka_offset")
@@ -154,6 +158,7 @@ def raw_messages(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataF
         F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
         F.when(eid % 2 == 0, F.lit("+00:00")).otherwise(F.lit("Z")),
     )
+    text_ts = F.when(F.lit(faults) & (eid % 157 == 0), F.date_format("event_timestamp", "yyyy-MM-dd")).otherwise(text_ts)
     body = F.to_json(
         F.struct(
             F.col("event_id"),
@@ -193,12 +198,17 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One order_created header per order: order_id, customer_id, total, time."""
+    """One order_created header per order: order_id, customer_id, total, time.
+    The total is the sum of the order's lines, but 1 too high where the order
+    number is a multiple of 97; an order without lines keeps its own total."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return o.select(
-        F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("order_id"),
+    sums = order_lines(spark, sf_dir).groupBy("order_id").agg(F.round(F.sum("subtotal"), 2).alias("lines_total"))
+    key = F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))
+    wrong = F.when(F.col("o_orderkey") % 97 == 0, 1.0).otherwise(0.0)
+    return o.withColumn("order_id", key).join(sums, "order_id", "left").select(
+        "order_id",
         F.concat(F.lit("CUST-"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("customer_id"),
-        F.round(F.col("o_totalprice"), 2).alias("total_amount"),
+        F.round(F.coalesce(F.col("lines_total") + wrong, "o_totalprice"), 2).alias("total_amount"),
         F.col("o_orderdate").alias("event_timestamp"),
     )
 
