@@ -99,6 +99,19 @@ def test_contract(spark):
     ]
 
 
+def test_contract_tells_malformed_from_missing_timestamps(spark):
+    import json
+
+    from orderlens import schemas as S
+    from orderlens.operators.parse import parse_events
+
+    bodies = [{"timestamp": t} if t != "absent" else {} for t in ("2024-01-01T10:00:00Z", "2024-01-01", "10:00", "soon", None, "absent")]
+    raw = spark.createDataFrame([(b"k", json.dumps(b).encode(), "t", 0, i, None) for i, b in enumerate(bodies)], S.RAW_SCHEMA)
+    got = Q.contract_violations(parse_events(raw)).orderBy("kafka_offset").collect()
+    found = [[v for v in r.contract_violations if "timestamp" in v] for r in got]
+    assert found == [[], ["timestamp_malformed"], ["timestamp_malformed"], ["timestamp_malformed"], ["missing_timestamp"], ["missing_timestamp"]]
+
+
 def test_items_total(spark):
     rows = [
         {"event_id": "1", "total": 3.0, "items": [("a", "A", 1, 1.0, 1.0), ("b", "B", 1, 2.0, 2.0)]},

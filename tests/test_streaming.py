@@ -13,6 +13,7 @@ from orderlens.plans import batch as B
 from orderlens.sources.raw import read_raw_files
 from orderlens.sources.testdata import raw_messages
 from orderlens.streaming.jobs import OrderStreams, StreamSettings, process_events_batch, valid_event_stream
+from orderlens.streaming.late import late_counts, late_events
 from orderlens.tables.store import TableStore
 
 CHECK = {"as_of": "2024-01-02 00:00:00", "max_age": "2 days"}
@@ -58,6 +59,32 @@ def test_late_data_kept_raw_dropped_from_windows(spark, tmp_dir):
     assert raw_ids == ["e1", "e2", "e3", "e4"]
     starts = sorted(r.window_start for r in store.read("order_metrics").collect())
     assert starts == [t, t + dt.timedelta(minutes=5)]
+    # what the windows dropped is told apart: kept = counted + late + still open
+    (lost,) = late_counts(store, "1 minute").collect()
+    assert (lost.window_start, lost.region, lost.kept, lost.counted, lost.late) == (t - dt.timedelta(minutes=20), "P", 1, 0, 1)
+    assert [r.event_id for r in late_events(store, "1 minute").collect()] == ["e3"]
+    counted = store.read("order_metrics").agg(F.sum("event_count")).first()[0]
+    assert len(raw_ids) == counted + 1 + 1  # e3 late, the window of e4 open
+    assert late_counts(store, "1 minute", since_hour="2024-01-01-10").count() == 0
+
+
+def test_late_events_of_a_window_that_counted_others(spark, tmp_dir):
+    from orderlens.operators.enrich import enrich_orders
+    from orderlens.tables.sinks import conform, order_events_rows
+    from tests.helpers import events
+
+    store = TableStore(spark, root=os.path.join(tmp_dir, "t"))
+    t = "2024-01-01 10:00:0"
+    for batch in range(3):  # one window, one event a micro-batch and region; the third is late
+        rows = [{"event_id": f"e{batch}{r}", "ts": f"{t}{batch}", "total": 1.0, "province": r, "order_id": "o", "customer_id": "c",
+                 "processing": f"{t}9"} for r in ("P", None)]
+        store.write("order_events", order_events_rows(enrich_orders(events(spark, rows))), "events", batch)
+    two = [(dt.datetime(2024, 1, 1, 10, 0), dt.datetime(2024, 1, 1, 10, 1), r, 2, 1) for r in ("P", None)]
+    closed = spark.createDataFrame(two, "window_start timestamp, window_end timestamp, region string, event_count long, order_count long")
+    none = {c: F.lit(None) for c in S.ORDER_METRICS_SCHEMA.fieldNames() if c not in closed.columns}
+    store.write("order_metrics", conform(closed.withColumns(none), S.ORDER_METRICS_SCHEMA), "tumbling", 5)
+    assert sorted((r.region or "", r.kept, r.counted, r.late) for r in late_counts(store, "1 minute").collect()) == [("", 3, 2, 1), ("P", 3, 2, 1)]
+    assert sorted(r.event_id for r in late_events(store, "1 minute").collect()) == ["e2None", "e2P"]
 
 
 def test_restart_and_retry_add_nothing_twice(spark, tmp_dir):
