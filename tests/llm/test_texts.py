@@ -341,7 +341,8 @@ def test_segmentations_decode_and_differ(docs, no_docs):
     for r in got:
         assert segment.decode(list(r.ids), MODEL) in texts[r.doc_id]
         assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.n_pieces
-        assert 0 < r.inclusion <= 1 and r.log_prob <= 1e-9
+        assert 0 <= r.inclusion <= 1 and math.isfinite(r.log_inclusion) and r.log_prob <= 1e-9
+        assert r.log_inclusion <= 0 and abs(math.exp(r.log_inclusion) - r.inclusion) < 1e-9
         if r.doc_id not in (None, 2):  # these ids are repeated
             assert (r.doc_id, r.ids_crc32) not in seen
             seen.add((r.doc_id, r.ids_crc32))
