@@ -90,6 +90,71 @@ QUERIES = {f.__name__: f for f in (op1_collision_search, op2_warc, op3_packing,
                                   op12_repair, op13_align)}
 
 ORACLE = {
+    "op12_repair": """
+WITH RECURSIVE crc AS (
+  SELECT *, xor(list_reduce(flatten(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+        || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END,
+      CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '') ELSE coalesce(text, ' ') END AS text,
+    unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM crc),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(role || ':' || text), copy) AS rn,
+    left(role, 1) AS i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN said = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'duplicate'
+      WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY rn) AS before FROM numbered),
+r AS (
+  SELECT conv_id, rn, i, role, text, fault IN ('blank', 'duplicate') IS TRUE AS gone, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS t FROM faulty),
+-- cost to go from a state (0 nothing, 1 system, 2 user, 3 assistant said last) before row rn; an insertion costs 5
+dp(conv_id, rn, b0, b1, b2, b3) AS (
+  SELECT conv_id, max(rn) + 1, 0, 10, 5, 0 FROM r GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, rn, least(r0, 5 + r2, 10 + r3), least(r1, 5 + r2, 10 + r3), least(r2, 5 + r3), least(r3, 5 + r2) FROM (
+    SELECT r.conv_id, r.rn,
+      least(2 + b0, CASE WHEN gone THEN 1000000000 ELSE t + least(CASE i WHEN 's' THEN b1 WHEN 'u' THEN b2 ELSE 1000000000 END, 1 + b2) END) AS r0,
+      least(2 + b1, CASE WHEN gone THEN 1000000000 ELSE t + least(CASE i WHEN 'u' THEN b2 ELSE 1000000000 END, 1 + b2) END) AS r1,
+      least(2 + b2, CASE WHEN gone THEN 1000000000 ELSE t + least(CASE i WHEN 'a' THEN b3 ELSE 1000000000 END, 1 + b3) END) AS r2,
+      least(2 + b3, CASE WHEN gone THEN 1000000000 ELSE t + least(CASE i WHEN 'u' THEN b2 ELSE 1000000000 END, 1 + b2) END) AS r3
+    FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.rn = dp.rn - 1)),
+-- the cheapest edits from the first row on: D before K before R (an insertion is never cheapest)
+trace(conv_id, rn, s, audit, lines) AS (
+  SELECT conv_id, 1, 0, '', CAST([] AS VARCHAR[]) FROM r GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, rn + 1, CASE e WHEN 'D' THEN s ELSE n END, audit || e,
+    CASE e WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+      ELSE list_append(lines, CASE n WHEN 3 THEN 'assistant' ELSE 'user' END || ':' || text) END
+  FROM (
+    SELECT *, CASE WHEN 2 + after[s + 1] = now THEN 'D'
+        WHEN (i = 's' AND s = 0) AND t + after[2] = now THEN 'K'
+        WHEN ((i = 'u' AND s <> 2) OR (i = 'a' AND s = 2)) AND t + after[n0 + 1] = now THEN 'K' ELSE 'R' END AS e,
+      CASE WHEN (i = 's' AND s = 0) AND 2 + after[s + 1] <> now AND t + after[2] = now THEN 1 ELSE n0 END AS n
+    FROM (
+      SELECT c.conv_id, c.rn, c.s, c.audit, c.lines, r.i, r.role, r.text, r.t, CASE c.s WHEN 2 THEN 3 ELSE 2 END AS n0,
+        [a.b0, a.b1, a.b2, a.b3][c.s + 1] AS now, [z.b0, z.b1, z.b2, z.b3] AS after
+      FROM trace c JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.rn = c.rn
+      JOIN dp a ON a.conv_id IS NOT DISTINCT FROM c.conv_id AND a.rn = c.rn
+      JOIN dp z ON z.conv_id IS NOT DISTINCT FROM c.conv_id AND z.rn = c.rn + 1))),
+counts AS (
+  SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal, max(rn) AS n
+  FROM faulty GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(dp.b0, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM o.conv_id AND dp.rn = 1
+LEFT JOIN trace f ON f.conv_id IS NOT DISTINCT FROM o.conv_id AND f.rn = c.n + 1
+""",
     "op9_pq_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
 ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
