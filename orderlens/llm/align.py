@@ -188,11 +188,12 @@ def align(docs: DataFrame, vocabulary: tuple[str, str], model_path: str, doc_id:
 
     A document's links are counted by pair before anything is shuffled, so a
     frequent pair has at most a row a document (a skewed join side, split by
-    AQE; where the counts are small the planner broadcasts them and no row
-    of a document moves). An empty table gives an empty result."""
+    AQE). The counts are joined by their pair at every size, never broadcast:
+    nothing bounds their number; they are unique and spread evenly, so each
+    task's share is the side to hash. An empty table gives an empty result."""
     aligned = stored(align_texts(docs, vocabulary, model_path, doc_id, text).withColumn("row", F.monotonically_increasing_id()))
     counts = stored(count_pairs(aligned))
-    sums = (aligned.select("row", F.inline("links")).join(counts, "pair").groupBy("row")
+    sums = (aligned.select("row", F.inline("links")).join(counts.hint("shuffle_hash"), "pair").groupBy("row")
             .agg(F.sum(F.col("n") * F.col("count")).alias("count_sum"), F.sum(F.when(F.col("best"), F.col("n"))).alias("n_best")))
     return aligned.drop("links").join(sums, "row", "left").select(
         "doc_id", *COUNTS, *(F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_best", "count_sum")), "groups_sha256")
