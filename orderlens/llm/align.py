@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +30,19 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import stored
 from orderlens.llm.packing import byte_bpe, public_vocabulary
 
-MEMO = 200_000  # windows a task remembers before it starts anew
+MEMO = 400_000  # windows a task remembers before it starts anew
 LONG = 64  # longer windows (in tokens) are aligned without being remembered
 TEXTS, BYTES = 256, 1 << 20  # texts handled together: at most so many, of at most so many bytes (or a single one)
 
 
 class Pieces:
-    """Byte lengths, byte strings and space marks of a vocabulary by id."""
+    """Byte lengths, byte strings, space marks and printed ids of a vocabulary
+    by id."""
 
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
+        self.size = [len(t) for t in tokens]
+        self.name = [str(k) for k in range(len(tokens))]
         self.length = np.array([len(t) for t in tokens], np.int64)
         self.spaced = np.array([t[:1] == b" " for t in tokens], bool)
 
@@ -63,33 +67,58 @@ def piece_level(model_path: str):
 
 def windows_of(a: np.ndarray, b: np.ndarray, left: Pieces, right: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """First token of each window in ``a`` and in ``b``, and their ends."""
-    start_a = np.cumsum(left.length[a]) - left.length[a]
-    start_b = np.cumsum(right.length[b]) - right.length[b]
-    anchors = np.intersect1d(start_a[left.spaced[a]], start_b[right.spaced[b]], assume_unique=True)
-    cut_a, cut_b = np.searchsorted(start_a, anchors), np.searchsorted(start_b, anchors)
-    return np.append(cut_a, len(a)), np.append(cut_b, len(b))
+    at_a, at_b = np.flatnonzero(left.spaced[a]), np.flatnonzero(right.spaced[b])
+    start_a = (np.cumsum(left.length[a]) - left.length[a])[at_a]
+    start_b = (np.cumsum(right.length[b]) - right.length[b])[at_b]
+    place = np.minimum(np.searchsorted(start_a, start_b), len(start_a) - 1)
+    shared = start_a[place] == start_b  # the candidate offsets that are in both
+    return np.append(at_a[place[shared]], len(a)), np.append(at_b[shared], len(b))
+
+
+def window_keys(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[bytes]:
+    """The ids of each window as bytes: those of ``a``, then those of ``b``
+    (marked, so that no two windows have one key)."""
+    n_a, n_b = np.diff(cut_a), np.diff(cut_b)
+    ids = np.empty(len(a) + len(b), np.int32)
+    ids[np.arange(len(a)) + np.repeat(cut_b[:-1], n_a)] = a
+    ids[np.arange(len(b)) + np.repeat(cut_a[1:], n_b)] = b | 1 << 30
+    raw, at = ids.tobytes(), (4 * (cut_a + cut_b)).tolist()
+    return [raw[lo:hi] for lo, hi in zip(at, at[1:])]
 
 
 def align_window(a: list[int], b: list[int], left: Pieces, right: Pieces) -> tuple[bytes, int, int, bytes]:
     """(groups as ``a1,a2|b1;...``, number of groups, of links, the links as
     64-bit codes a << 32 | b) of two token lists over the same bytes."""
-    groups, links = [], []
-    i = j = group_a = group_b = 0
-    end_a, end_b = len(left.tokens[a[0]]), len(right.tokens[b[0]])
+    name_a, name_b = left.name, right.name
+    if len(a) == 1 or len(b) == 1:  # one group, every pair linked
+        links = [x << 32 | y for x in a for y in b]
+        return f"{','.join([name_a[x] for x in a])}|{','.join([name_b[y] for y in b])}".encode(), 1, len(links), array("q", links).tobytes()
+    size_a, size_b = left.size, right.size
+    text, links, groups = [name_a[a[0]]], [], 0
+    group_b = [name_b[b[0]]]
+    rest_a, rest_b = iter(a), iter(b)
+    x, y = next(rest_a), next(rest_b)
+    gap = size_a[x] - size_b[y]  # how much further the token of a reaches
     while True:
-        links.append(a[i] << 32 | b[j])
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        if step_a and step_b:
-            groups.append(",".join(map(str, a[group_a : i + 1])) + "|" + ",".join(map(str, b[group_b : j + 1])))
-            group_a, group_b = i + 1, j + 1
-            if group_a == len(a):
-                return ";".join(groups).encode(), len(groups), len(links), np.array(links, np.int64).tobytes()
-        if step_a:
-            i += 1
-            end_a += len(left.tokens[a[i]])
-        if step_b:
-            j += 1
-            end_b += len(right.tokens[b[j]])
+        links.append(x << 32 | y)
+        if gap > 0:
+            y = next(rest_b)
+            gap -= size_b[y]
+            group_b.append(name_b[y])
+        elif gap < 0:
+            x = next(rest_a)
+            gap += size_a[x]
+            text.append("," + name_a[x])
+        else:
+            groups += 1
+            text.append("|" + ",".join(group_b))
+            x = next(rest_a, None)
+            if x is None:
+                return "".join(text).encode(), groups, len(links), array("q", links).tobytes()
+            y = next(rest_b)
+            gap = size_a[x] - size_b[y]
+            text.append(";" + name_a[x])
+            group_b = [name_b[y]]
 
 
 class Aligner:
@@ -100,24 +129,28 @@ class Aligner:
 
     def document(self, raw: bytes, a: list[int], b: list[int]) -> tuple:
         """(n_a, n_b, n_groups, n_links, groups_sha256, link codes, their
-        times) of a document whose tokens must both spell ``raw``."""
+        times) of a document whose tokens must both spell ``raw``. (A
+        byte-level BPE loses nothing, so its length tells.)"""
         left, right = self.left, self.right
-        if b"".join(map(left.tokens.__getitem__, a)) != raw or b"".join(map(right.tokens.__getitem__, b)) != raw:
+        if b"".join(map(right.tokens.__getitem__, b)) != raw or sum(map(left.size.__getitem__, a)) != len(raw):
             return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
         ids_a, ids_b = np.array(a, np.int32), np.array(b, np.int32)
-        cut_a, cut_b = (c.tolist() for c in windows_of(ids_a, ids_b, left, right))
-        key_a, key_b = ids_a.tobytes(), ids_b.tobytes()
-        memo, found = self.memo, []
-        for lo_a, hi_a, lo_b, hi_b in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]):
-            key = key_a[4 * lo_a : 4 * hi_a], key_b[4 * lo_b : 4 * hi_b]
-            got = memo.get(key)
-            if got is None:
-                got = align_window(a[lo_a:hi_a], b[lo_b:hi_b], left, right)
-                if hi_a - lo_a + hi_b - lo_b <= LONG:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[key] = got
-            found.append(got)
+        cut_a, cut_b = windows_of(ids_a, ids_b, left, right)
+        keys = window_keys(ids_a, ids_b, cut_a, cut_b)
+        cut_a, cut_b, memo = cut_a.tolist(), cut_b.tolist(), self.memo
+        found = list(map(memo.get, keys))
+        for w, known in enumerate(found):
+            if known is None:
+                key = keys[w]
+                got = memo.get(key)  # the same window may have come just before
+                if got is None:
+                    i, j, k, m = cut_a[w], cut_a[w + 1], cut_b[w], cut_b[w + 1]
+                    got = align_window(a[i:j], b[k:m], left, right)
+                    if j - i + m - k <= LONG:
+                        if len(memo) >= MEMO:
+                            memo.clear()
+                        memo[key] = got
+                found[w] = got
         texts, groups, links, codes = zip(*found)
         pairs, times = np.unique(np.frombuffer(b"".join(codes), np.int64), return_counts=True)
         return len(a), len(b), sum(groups), sum(links), hashlib.sha256(b";".join(texts)).hexdigest(), pairs, times
