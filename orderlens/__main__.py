@@ -29,6 +29,7 @@ def arguments() -> argparse.ArgumentParser:
     p.add_argument("--trigger", default="10 seconds")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--max-age", default=S.MAX_EVENT_AGE, help="older events are quarantined")
+    p.add_argument("--outputs", default="events,metrics,sliding", help="also: rapid_fire, lifecycle, order_state")
     return p
 
 
@@ -42,8 +43,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Ta
     trigger = {"availableNow": True} if a.available_now else {"processingTime": a.trigger}
     root = a.checkpoint_dir.rstrip("/")
     store = TableStore(spark, root=f"{root}/tables", provider=a.provider, catalog=a.catalog)
-    OrderStreams(spark, raw, store, StreamSettings(trigger=trigger, check_kwargs={"max_age": a.max_age}),
-                 checkpoint_dir=f"{root}/streams").run()
+    settings = StreamSettings(trigger=trigger, check_kwargs={"max_age": a.max_age}, outputs=tuple(a.outputs.split(",")))
+    OrderStreams(spark, raw, store, settings, checkpoint_dir=f"{root}/streams").run()
     return store
 
 
