@@ -39,6 +39,7 @@ from orderlens.tables.sinks import not_null_violation
 HOUR_COLUMN = "event_hour"
 COMMIT_COLUMN = "commit"
 COMMITTED_AT = "committed_at"
+HOUR_PARTS = 4  # tasks that share an hour of a micro-batch
 COMMIT_PROPERTY = "orderlens.commit"  # of an Iceberg snapshot
 
 
@@ -129,10 +130,15 @@ class TableStore:
         stamp = as_of_column(committed_at).cast("timestamp")
         refused = F.raise_error(F.lit(f"{table}: NULL in a column declared NOT NULL"))
         hour = F.when(not_null_violation(schema), refused.cast("string")).otherwise(hour_key(ts_col))
-        # AQE deals the rows by hour in parts of its advisory size: few files
-        # a commit, and a hot hour is split over tasks. Nothing is sampled.
         out = rows.select(*schema.fieldNames()).withColumns(
-            {COMMITTED_AT: stamp, HOUR_COLUMN: hour, COMMIT_COLUMN: F.lit(key)}).hint("rebalance", HOUR_COLUMN)
+            {COMMITTED_AT: stamp, HOUR_COLUMN: hour, COMMIT_COLUMN: F.lit(key)})
+        # Rows are dealt by hour, so a commit has few files; nothing is sampled.
+        # AQE splits a hot hour into parts of its advisory size. A streaming
+        # micro-batch plans without AQE: there an hour has a fixed few parts.
+        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            out = out.hint("rebalance", HOUR_COLUMN)
+        else:
+            out = out.repartition(HOUR_COLUMN, F.pmod(F.xxhash64(ts_col), F.lit(HOUR_PARTS)))
         counted = Observation()
         self._begin_commit(table, key)
         # Dynamic overwrite touches the folders of this commit only and stages
