@@ -357,19 +357,21 @@ def chunks(texts: list[str], limit: int = CHUNK_CHARS):
 
 
 def sample_segmentations(docs: DataFrame, model: str, k: int = 2, key: str = "doc_id", text: str = "text",
-                         with_ids: bool = False, seed: int = 0) -> DataFrame:
+                         with_ids: bool = False, seed: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
     """Up to ``k`` distinct segmentations of each row's whole text: doc_id,
     sample (from 0, by falling perturbed value), n_pieces, ids_crc32 (of
     little-endian unsigned 32-bit ids), log_prob, perturbed, inclusion (the
     chance to be above the (k+1)-th perturbed value: 1 where there is none) and
     log_inclusion, which weights long texts too (the chance itself is 0 there);
-    with ``with_ids`` also ids.
+    with ``with_ids`` also ids. ``carry`` names columns that each segmentation
+    of a row repeats unchanged.
 
     Draws are seeded by the row key, so rows of equal key and text get equal
     samples; a null key counts as the key 'null'. Null and empty texts have
     the empty segmentation alone. Decoding any of the ids gives the text back
     (a space mark in it as a space). Other columns are not read; an empty
     table gives an empty result."""
+    carried = docs.select(*carry).schema.fields
     kind = docs.schema[key].dataType.simpleString()
     extra = ", ids array<int>" if with_ids else ""
 
@@ -386,11 +388,15 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, key: str = "do
                 arrays = [b.column(0).take(pa.array(cols[0])), pa.array(cols[1], pa.int32()),
                           *(pa.array(c, t) for c, t in zip(cols[2:8], (pa.int64(), pa.int64(), *[pa.float64()] * 4)))]
                 if with_ids:
-                    arrays.append(pa.array([x.astype(np.int32) for x in cols[8]], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "sample", "n_pieces", "ids_crc32", "log_prob",
-                                                          "perturbed", "inclusion", "log_inclusion", "ids"][: len(arrays)])
-
-    return docs.select(F.col(key), F.col(text).cast("string"), F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("null")))).mapInArrow(
+                    ends = np.cumsum([0, *cols[2]], dtype=np.int32)
+                    arrays.append(pa.ListArray.from_arrays(ends, np.concatenate(cols[8]).astype(np.int32)))
+                names = ["doc_id", "sample", "n_pieces", "ids_crc32", "log_prob", "perturbed", "inclusion", "log_inclusion",
+                         "ids"][: len(arrays)]
+                arrays += [b.column(3 + i).take(pa.array(cols[0])) for i in range(len(carry))]
+                yield pa.RecordBatch.from_arrays(arrays, [*names, *carry])
+
+    extra += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in carried)
+    return docs.select(F.col(key), F.col(text).cast("string"), F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("null"))), *carry).mapInArrow(
         run, f"doc_id {kind}, sample int, n_pieces long, ids_crc32 long, log_prob double, perturbed double, inclusion double, log_inclusion double{extra}")
 
 
@@ -399,6 +405,21 @@ def processor(path: str) -> sentencepiece.SentencePieceProcessor:
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+@functools.lru_cache(maxsize=2)
+def spellings(path: str) -> list[bytes | None]:
+    """Each piece's bytes in a text; None for the special ones (controls, the
+    unknown one)."""
+    sp = processor(path)
+
+    def spelt(i):
+        if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
+            return None
+        piece = sp.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else piece.replace(chr(SPACE_MARK), " ").encode()
+
+    return [spelt(i) for i in range(sp.get_piece_size())]
+
+
 def decode(ids: list[int], model: str) -> str:
     return processor(model).decode(ids)
 
@@ -409,13 +430,24 @@ def decode_ids(rows: DataFrame, model: str, ids: str = "ids", out: str = "text")
     outside the vocabulary give null; other columns and repeated rows stay."""
     @F.pandas_udf("string")
     def text(col: pd.Series) -> pd.Series:
-        sp = processor(model)
-        n = sp.get_piece_size()
+        sp, words = processor(model), spellings(model)
+        n = len(words)
 
         def one(x):
-            if x is None or any(i is None or i != i or not 0 <= i < n for i in x):
+            if x is None:
                 return None
-            return sp.decode([int(i) for i in x])
+            if not (isinstance(x, np.ndarray) and x.dtype.kind == "i"):  # with nulls, or no ids at all
+                if any(i is None or i != i for i in x):
+                    return None
+                x = np.array(x, np.int64)
+            if len(x) and not (0 <= x.min() and x.max() < n):
+                return None
+            ids = x.tolist()
+            try:
+                spelt = b"".join([words[i] for i in ids]).decode()
+            except (TypeError, UnicodeDecodeError):  # a special piece, or bytes that are no characters
+                return sp.decode(ids)
+            return spelt[1:] if spelt.startswith(" ") and not sp.is_byte(ids[0]) else spelt
 
         return col.map(one)
 

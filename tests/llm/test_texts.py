@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -10,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens.llm import maxent, ngram_join, packing, quality, segment, substring
+from orderlens.llm import maxent, ngram_join, packing, quality, queries, segment, substring
 from orderlens.llm.words import U, mix, window_hashes, words_of
 
 
@@ -363,6 +364,26 @@ def test_segmentations_decode_as_rows(docs, no_docs):
     assert segment.decode_ids(odd.where("1 = 0"), MODEL).collect() == []
 
 
+def test_decoding_equals_sentencepiece(spark):
+    sp, rng = segment.processor(MODEL), random.Random(4)
+    n = sp.get_piece_size()
+    some = [i for i in range(n) if sp.is_byte(i)] * 3 + [i for i in range(n) if sp.id_to_piece(i).startswith("\u2581")][:400] + list(range(600))
+    rows = [(k, [rng.choice(some) for _ in range(rng.randint(0, 5))]) for k in range(3000)]
+    rows += [(3000 + i, [i, i]) for i in range(600)]
+    got = {r.k: r.text for r in segment.decode_ids(spark.createDataFrame(rows, "k int, ids array<int>"), MODEL).collect()}
+    assert got == {k: sp.decode(ids) for k, ids in rows}
+
+
+def test_segment_query_decodes_every_segmentation(spark, tmp_dir):
+    texts = ["", None, " ", "a  b\nc", "\u2581x y", "caf\u00e9 \U0001f600 na\u00efve", "the cat sat on the mat " * 40, "\t\x00odd"]
+    rows = [(i % 6, t) for i, t in enumerate(texts)] + [(None, "no key")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = queries.op5_segment(spark, tmp_dir).collect()
+    assert len(got) >= len(rows) and all(r.restored for r in got)
+    want = Counter((k, hashlib.sha256((t or "").replace("\u2581", " ").encode()).hexdigest()) for k, t in rows)
+    assert Counter((r.doc_id, r.decoded_sha256) for r in got if r.sample == 0) == want
+
+
 def test_segmentations_of_rare_words_avoid_the_shunned():
     """A word's second segmentation differs from the first, drawn by the masses left."""
     vocab = segment.vocabulary(MODEL)
