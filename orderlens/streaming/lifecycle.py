@@ -50,6 +50,7 @@ ORDER_STATE = T.StructType([
     T.StructField("folded", T.StructType([T.StructField("t", T.LongType())] + [
         T.StructField(c, T.StringType()) for c in ("event_id", *FILLED, "status")])),
     T.StructField("missed", T.BooleanType()),
+    T.StructField("arrived_ms", T.LongType()),  # when its newest events arrived
 ])
 JUDGED = ("kind string, event_id string, event_type string, order_id string, t long, own_city string, own_province string, "
           "own_payment string, shipping_city string, shipping_province string, payment_method string, previous_status string, "
@@ -87,7 +88,7 @@ def order_processor(expiry_us: int) -> StatefulProcessor:
             return out, folded
 
         def handleInputRows(self, key, rows, timerValues):
-            got = self.order.get() if self.order.exists() else None
+            got = self.order.get()
             events = [tuple(e) for e in got[0]] if got and got[0] else []
             folded = tuple(got[1]) if got and got[1] is not None else None
             missed = bool(got and got[2])
@@ -115,14 +116,17 @@ def order_processor(expiry_us: int) -> StatefulProcessor:
                 old = [e for e in events if e[0] < events[-1][0] - expiry_us]
                 if old:
                     folded, events = self.replay(folded, old)[1], events[len(old):]
-            self.order.update((events, folded, missed))
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(arrived + expiry_ms)
+            self.order.update((events, folded, missed, arrived))
+            if got is None:  # an order has one timer; where events came since, it is set again when it is due
+                self.handle.registerTimer(arrived + expiry_ms)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            due = self.order.get()[3] + expiry_ms
+            if due > max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()):
+                self.handle.registerTimer(due)
+                return
             self.order.clear()
-            yield Row(kind="expired", event_id=None, event_type=None, order_id=key[0], t=expiredTimerInfo.getExpiryTimeInMs() * 1000,
+            yield Row(kind="expired", event_id=None, event_type=None, order_id=key[0], t=due * 1000,
                       own_city=None, own_province=None, own_payment=None, shipping_city=None, shipping_province=None,
                       payment_method=None, previous_status=None, violation=None)
 

@@ -165,3 +165,62 @@ def test_outputs_need_their_own_parquet_tables(spark, tmp_dir):
             OrderStreams(spark, None, store, StreamSettings(outputs=(name,))).start()
 
 
+
+
+def test_an_order_asks_the_state_store_little():
+    """Two calls for an order that is known, three for a new one; the timer is
+    set again only when it is due."""
+    from types import SimpleNamespace as N
+
+    calls, kept = [], {}
+
+    class State:
+        def exists(self):
+            calls.append("exists")
+            return "v" in kept
+
+        def get(self):
+            calls.append("get")
+            return kept.get("v")
+
+        def update(self, value):
+            calls.append("update")
+            kept["v"] = value
+
+        def clear(self):
+            calls.append("clear")
+            kept.clear()
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return State()
+
+        def listTimers(self):
+            calls.append("list")
+            return iter(())
+
+        def deleteTimer(self, at):
+            calls.append("delete")
+
+        def registerTimer(self, at):
+            calls.append(f"timer {at}")
+
+    def row(i, arrived):
+        return N(t=i, event_id=f"e{i}", event_type="order_created", own_city=None, own_province=None, own_payment=None, arrived_ms=arrived)
+
+    def taken():
+        out = calls[:]
+        calls.clear()
+        return out
+
+    orders = L.order_processor(1_000_000)
+    orders.init(Handle())
+    assert len(list(orders.handleInputRows(("o",), iter([row(1, 100)]), None))) == 1 and taken() == ["get", "update", "timer 1100"]
+    assert len(list(orders.handleInputRows(("o",), iter([row(2, 700)]), None))) == 1 and taken() == ["get", "update"]
+
+    def expire(at, watermark):
+        return list(orders.handleExpiredTimer(("o",), N(getCurrentWatermarkInMs=lambda: watermark), N(getExpiryTimeInMs=lambda: at)))
+
+    assert expire(1100, 1200) == [] and taken() == ["get", "timer 1700"]
+    (gone,) = expire(1700, 1701)
+    assert (gone.kind, gone.order_id, gone.t) == ("expired", "o", 1_700_000) and taken() == ["get", "clear"] and not kept
