@@ -195,3 +195,20 @@ def test_program_creates_tables_and_drains_files(spark, tmp_dir):
     assert store.read("order_metrics_sliding").count() == 0  # created, no window closed yet
     with pytest.raises(SystemExit):
         arguments().parse_args(["--checkpoint-dir", tmp_dir])  # a source is needed
+
+
+def test_raw_files_can_be_read_by_several_tasks(spark, tmp_dir, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from orderlens.sources import testdata as T
+
+    rows = spark.range(4000).selectExpr(
+        "CAST(id AS BINARY) AS key", "CAST(repeat(sha2(CAST(id AS STRING), 256), 4) AS BINARY) AS value", "'t' AS topic",
+        "0 AS partition", "id AS offset", "current_timestamp() AS timestamp").coalesce(1)
+    monkeypatch.setattr(T, "raw_messages", lambda *_, **__: rows)
+    monkeypatch.setattr(T, "ROW_GROUP_BYTES", 1 << 17)
+    path = T.write_raw_files(spark, "unused", f"{tmp_dir}/raw")
+    (file,) = glob.glob(f"{path}/*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 1 and spark.read.parquet(path).count() == 4000
