@@ -62,12 +62,7 @@ def op1_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), chr(segment.SPACE_MARK), " ")  # the mark decodes to a space
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(text, 256).alias("text_sha256"))
-    found = segment.sample_segmentations(docs, model, with_ids=True, carry=("text_sha256",))
-    back = segment.decode_ids(found, model, out="decoded").withColumn("decoded_sha256", F.sha2("decoded", 256))
-    return back.withColumn("restored", F.col("decoded_sha256") == F.col("text_sha256")).drop("ids", "decoded", "text_sha256")
+    return segment.sample_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), check=True)
 
 
 def op8_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:

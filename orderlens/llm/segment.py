@@ -20,6 +20,7 @@ depend on partitions or batches. Work is shared by distinct words of a chunk.
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 import zlib
 
@@ -357,26 +358,25 @@ def chunks(texts: list[str], limit: int = CHUNK_CHARS):
 
 
 def sample_segmentations(docs: DataFrame, model: str, k: int = 2, key: str = "doc_id", text: str = "text",
-                         with_ids: bool = False, seed: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
+                         with_ids: bool = False, seed: int = 0, check: bool = False) -> DataFrame:
     """Up to ``k`` distinct segmentations of each row's whole text: doc_id,
     sample (from 0, by falling perturbed value), n_pieces, ids_crc32 (of
     little-endian unsigned 32-bit ids), log_prob, perturbed, inclusion (the
     chance to be above the (k+1)-th perturbed value: 1 where there is none) and
     log_inclusion, which weights long texts too (the chance itself is 0 there);
-    with ``with_ids`` also ids. ``carry`` names columns that each segmentation
-    of a row repeats unchanged.
+    with ``with_ids`` also ids; with ``check`` every segmentation is decoded:
+    decoded_sha256 (of the decoded text in UTF-8) and restored (it is the text).
 
     Draws are seeded by the row key, so rows of equal key and text get equal
     samples; a null key counts as the key 'null'. Null and empty texts have
     the empty segmentation alone. Decoding any of the ids gives the text back
     (a space mark in it as a space). Other columns are not read; an empty
     table gives an empty result."""
-    carried = docs.select(*carry).schema.fields
     kind = docs.schema[key].dataType.simpleString()
-    extra = ", ids array<int>" if with_ids else ""
+    extra = (", ids array<int>" if with_ids else "") + (", decoded_sha256 string, restored boolean" if check else "")
 
     def run(batches):
-        vocab = vocabulary(model)
+        vocab, spell = vocabulary(model), decoder(model)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             seeds = mix(b.column(2).to_numpy().view(U) ^ U(seed))
@@ -392,11 +392,14 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, key: str = "do
                     arrays.append(pa.ListArray.from_arrays(ends, np.concatenate(cols[8]).astype(np.int32)))
                 names = ["doc_id", "sample", "n_pieces", "ids_crc32", "log_prob", "perturbed", "inclusion", "log_inclusion",
                          "ids"][: len(arrays)]
-                arrays += [b.column(3 + i).take(pa.array(cols[0])) for i in range(len(carry))]
-                yield pa.RecordBatch.from_arrays(arrays, [*names, *carry])
-
-    extra += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in carried)
-    return docs.select(F.col(key), F.col(text).cast("string"), F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("null"))), *carry).mapInArrow(
+                if check:
+                    back = [(spell(row[-1].tolist()), texts[row[0]].replace(chr(SPACE_MARK), " ")) for row in rows]
+                    arrays += [pa.array([hashlib.sha256(d.encode()).hexdigest() for d, _ in back], pa.string()),
+                               pa.array([d == t for d, t in back], pa.bool_())]
+                    names += ["decoded_sha256", "restored"]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return docs.select(F.col(key), F.col(text).cast("string"), F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("null")))).mapInArrow(
         run, f"doc_id {kind}, sample int, n_pieces long, ids_crc32 long, log_prob double, perturbed double, inclusion double, log_inclusion double{extra}")
 
 
@@ -420,6 +423,20 @@ def spellings(path: str) -> list[bytes | None]:
     return [spelt(i) for i in range(sp.get_piece_size())]
 
 
+def decoder(path: str):
+    """Function from valid piece ids to their text."""
+    sp, words = processor(path), spellings(path)
+
+    def text(ids: list[int]) -> str:
+        try:
+            spelt = b"".join([words[i] for i in ids]).decode()
+        except (TypeError, UnicodeDecodeError):  # a special piece, or bytes that are no characters
+            return sp.decode(ids)
+        return spelt[1:] if spelt.startswith(" ") and not sp.is_byte(ids[0]) else spelt
+
+    return text
+
+
 def decode(ids: list[int], model: str) -> str:
     return processor(model).decode(ids)
 
@@ -430,8 +447,7 @@ def decode_ids(rows: DataFrame, model: str, ids: str = "ids", out: str = "text")
     outside the vocabulary give null; other columns and repeated rows stay."""
     @F.pandas_udf("string")
     def text(col: pd.Series) -> pd.Series:
-        sp, words = processor(model), spellings(model)
-        n = len(words)
+        spell, n = decoder(model), len(spellings(model))
 
         def one(x):
             if x is None:
@@ -442,12 +458,7 @@ def decode_ids(rows: DataFrame, model: str, ids: str = "ids", out: str = "text")
                 x = np.array(x, np.int64)
             if len(x) and not (0 <= x.min() and x.max() < n):
                 return None
-            ids = x.tolist()
-            try:
-                spelt = b"".join([words[i] for i in ids]).decode()
-            except (TypeError, UnicodeDecodeError):  # a special piece, or bytes that are no characters
-                return sp.decode(ids)
-            return spelt[1:] if spelt.startswith(" ") and not sp.is_byte(ids[0]) else spelt
+            return spell(x.tolist())
 
         return col.map(one)
 
