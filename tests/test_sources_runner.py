@@ -205,7 +205,7 @@ def test_raw_files_can_be_read_by_several_tasks(spark, tmp_dir, monkeypatch):
     from orderlens.sources import testdata as T
 
     rows = spark.range(4000).selectExpr(
-        "CAST(id AS BINARY) AS key", "CAST(repeat(sha2(CAST(id AS STRING), 256), 4) AS BINARY) AS value", "'t' AS topic",
+        "CAST(CAST(id AS STRING) AS BINARY) AS key", "CAST(repeat(sha2(CAST(id AS STRING), 256), 4) AS BINARY) AS value", "'t' AS topic",
         "0 AS partition", "id AS offset", "current_timestamp() AS timestamp").coalesce(1)
     monkeypatch.setattr(T, "raw_messages", lambda *_, **__: rows)
     monkeypatch.setattr(T, "ROW_GROUP_BYTES", 1 << 17)
